@@ -1,0 +1,24 @@
+"""Broadcast behind a checked size bound.
+
+A side is broadcast only after a cheap action has shown it holds at most
+``max_rows`` rows (``limit(max_rows + 1).count()`` stops reading once the
+bound is passed). Beyond the bound the plan keeps Spark's own choice:
+a shuffled join, still subject to AQE's runtime broadcast conversion,
+which applies its own byte-size threshold.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 100_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``."""
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
