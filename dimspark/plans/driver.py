@@ -9,12 +9,11 @@ that collecting them does not depend on the Python process time zone.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimspark.plans import music
+from dimspark.plans.registry import ntz, register
 from dimspark.plans.driver_views import (
     EVENTS_LOG_V_SQL,
     PLAYS_V_SQL,
@@ -26,22 +25,6 @@ from dimspark.plans.driver_views import (
     with_ctes,
 )
 
-Query = Callable[[SparkSession, str], DataFrame]
-REGISTRY: dict[str, tuple[Query, str | None]] = {}
-
-
-def register(name: str, sql: str | None):
-    def deco(fn: Query) -> Query:
-        REGISTRY[name] = (fn, sql)
-        return fn
-
-    return deco
-
-
-def ntz(df: DataFrame, *cols: str) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
-
-
 # ---------------------------------------------------------------- music facts
 
 SONGS_T_SQL = """songs_t AS (
@@ -261,15 +244,3 @@ def time_dim_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 def time_dim_short(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Time dimension, weekday as three-letter name."""
     return ntz(music.build_time(events_log_v(spark, sf_dir), "short"), "start_time")
-
-
-def queries() -> dict[str, Query]:
-    return {k: v[0] for k, v in REGISTRY.items()}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {k: v[1] for k, v in REGISTRY.items() if v[1] is not None}
-
-
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return table(spark, sf_dir, name)
