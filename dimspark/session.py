@@ -51,7 +51,7 @@ def build_session(
     # getOrCreate may return a running session: make the runtime SQL
     # settings hold for it as well.
     for k, v in conf.items():
-        if k.startswith("spark.sql."):
+        if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
             spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("WARN")
     return spark
