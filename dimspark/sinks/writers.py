@@ -70,15 +70,19 @@ def write_clustered(
     clustering: Sequence[str] = (),
     num_partitions: int | None = None,
 ) -> None:
-    """Hash-partition on the partition key, sort by clustering column.
-
-    Rows of one partition key land in one file, ordered by the clustering
-    column, as in a wide-row table; lookups on the key then read few
-    files and row groups.
+    """Rows laid out by partition key, sorted by clustering column.
+
+    Range partitioning on (partition key, clustering column) puts the rows
+    of one key in one file or a few adjacent ones, ordered as in a
+    wide-row table, so a lookup on the key reads few files and row groups
+    (min/max statistics). Because the clustering column is part of the
+    range, a key holding a large share of the rows is split over several
+    tasks and files instead of landing in one.
     """
-    n = num_partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    parts = df.repartition(int(n), *[F.col(c) for c in partition_keys])
-    parts.sortWithinPartitions(*partition_keys, *clustering).write.mode("overwrite").parquet(path)
+    n = int(num_partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cols = [*partition_keys, *clustering]
+    parts = df.repartitionByRange(n, *[F.col(c) for c in cols])
+    parts.sortWithinPartitions(*cols).write.mode("overwrite").parquet(path)
 
 
 def save_bucketed(

@@ -24,45 +24,9 @@ from pyspark.sql.streaming import StreamingQuery
 from dimspark.operators.upsert import insert_new_keys
 from dimspark.plans import music
 from dimspark.schemas import LOG_SCHEMA
+from dimspark.sinks.versioned import committed_versions, latest_before, read_latest, version_path  # noqa: F401
 from dimspark.sinks.writers import write_parquet
 
-VERSION_PREFIX = "v="
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    """Batch ids of the complete versions (those with a _SUCCESS marker)."""
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(VERSION_PREFIX):
-            if fs.exists(st.getPath().suffix("/_SUCCESS")):
-                out.append(int(name[len(VERSION_PREFIX):]))
-    return sorted(out)
-
-
-def version_path(root: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/{VERSION_PREFIX}{batch_id:012d}"
-
-
-def latest_before(spark: SparkSession, root: str, batch_id: int) -> str | None:
-    """Path of the newest complete version older than ``batch_id``."""
-    older = [v for v in committed_versions(spark, root) if v < batch_id]
-    return version_path(root, older[-1]) if older else None
-
-
-def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
-    vs = committed_versions(spark, root)
-    return spark.read.parquet(version_path(root, vs[-1])) if vs else None
-
 
 def make_batch_loader(spark: SparkSession, target_root: str, songs: DataFrame | None = None,
                       artists: DataFrame | None = None):
