@@ -8,16 +8,18 @@ trip is checked against the oracle.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimspark.plans import music, query_tables as qt
 from dimspark.plans.driver import SONGPLAYS_LOOKUP_SQL, USERS_UPSERT_SQL, _songplays_lookup, _time_sql
-from dimspark.plans.driver_tables import EVENT_ROWS_SQL, _event_rows
-from dimspark.plans.driver_views import PLAYS_V_SQL, events_log_v, with_ctes
+from dimspark.plans.driver_tables import EVENT_ROWS_SQL, SONGS_SESSIONS_SQL, SONGS_USERS_SQL, _event_rows
+from dimspark.plans.driver_views import PLAYS_V_SQL, events_log_v, plays_v, songs_v, with_ctes
 from dimspark.plans.registry import ntz, register
 from dimspark.session import scratch_dir
-from dimspark.sinks.writers import write_csv_quoted, write_parquet
+from dimspark.sinks.writers import save_bucketed, write_clustered, write_csv_quoted, write_parquet
 from dimspark.sources.files import read_logs, read_parquet_table
 from dimspark.streaming.log_stream import read_latest, start_log_stream
 
@@ -100,3 +102,66 @@ def stream_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return read_latest(spark, f"{target}/users")
+
+
+@register(
+    "warehouse_incremental",
+    with_ctes(PLAYS_V_SQL)
+    + """, p AS (SELECT * FROM plays_v WHERE page = 'NextSong'),
+f AS (SELECT * FROM p WHERE ts < TIMESTAMP '1997-01-01')
+SELECT 'songs' AS "table", COUNT(DISTINCT p_partkey) AS count FROM part
+UNION ALL SELECT 'artists', COUNT(DISTINCT p_brand) FROM part
+UNION ALL SELECT 'users', COUNT(DISTINCT userId) FROM p
+UNION ALL SELECT 'time', COUNT(DISTINCT date_trunc('second', ts)) FROM p
+UNION ALL SELECT 'songplays', (SELECT COUNT(*) FROM f)
+  + (SELECT COUNT(*) FROM p WHERE NOT EXISTS (
+       SELECT 1 FROM f WHERE f.userId = p.userId AND f.sessionId = p.sessionId))""",
+)
+def warehouse_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2 (S7 K4 K5 K11 K12 J7 Q4): two warehouse loads on versioned tables.
+
+    Load 1 stages the log before 1997, load 2 the whole log; the fact is
+    loaded with skip_loaded, so plays of a (user, session) already stored
+    are skipped (D12 kept as the reference's rule).
+    """
+    from dimspark.plans.loads import load_music_warehouse
+    from dimspark.plans.quality import row_counts
+    from dimspark.sinks.versioned import read_latest
+
+    logs = plays_v(spark, sf_dir)
+    songs = songs_v(spark, sf_dir)
+    root = scratch_dir(spark, "warehouse")
+    cut = F.lit("1997-01-01 00:00:00").cast("timestamp_ntz")
+    load_music_warehouse(spark, logs.where(F.col("ts") < cut), songs, root, fact_mode="skip_loaded")
+    load_music_warehouse(spark, logs, songs, root, fact_mode="skip_loaded")
+    names = ["songs", "artists", "users", "time", "songplays"]
+    return row_counts({n: read_latest(spark, f"{root}/{n}") for n in names})
+
+
+@register(
+    "session_item_stored",
+    "SELECT artist_name, song_title, duration FROM (" + SONGS_SESSIONS_SQL + ") WHERE session_id = 6930 AND item_session = 2",
+)
+def session_item_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C6 on the stored table (K14 O5 F7): written range-clustered by
+    (session_id, item_session), read back; the lookup filter is pushed to
+    the Parquet scan and skips row groups by min/max statistics."""
+    t = qt.songs_sessions(_event_rows(spark, sf_dir), order=["ts"])
+    path = scratch_dir(spark, "songs_sessions")
+    write_clustered(t, path, ["session_id"], ["item_session"])
+    return qt.session_item(spark.read.parquet(path), 6930, 2)
+
+
+@register(
+    "user_history_bucketed",
+    "SELECT item_session, artist_name, song_title, first_name, last_name FROM ("
+    + SONGS_USERS_SQL
+    + ") WHERE user_id = 681 AND session_id = 1046 ORDER BY item_session",
+)
+def user_history_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C7 on a bucketed table (K14): bucketed by the partition key
+    (user_id, session_id), sorted by the clustering column item_session."""
+    t = qt.songs_users(_event_rows(spark, sf_dir), order=["ts"])
+    name = "songs_users_" + uuid.uuid4().hex[:12]
+    save_bucketed(t, name, 8, ["user_id", "session_id"], ["item_session"], path=scratch_dir(spark, name))
+    return qt.user_session_history(spark.table(name), 681, 1046)
