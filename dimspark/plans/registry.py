@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimspark.session import apply_runtime_conf
+
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str | None]] = {}
 
@@ -17,7 +20,13 @@ def register(name: str, sql: str | None):
     def deco(fn: Query) -> Query:
         if name in REGISTRY:
             raise ValueError(f"query {name} registered twice")
-        REGISTRY[name] = (fn, sql)
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_runtime_conf(spark)
+            return fn(spark, sf_dir)
+
+        REGISTRY[name] = (run, sql)
         return fn
 
     return deco

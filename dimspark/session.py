@@ -57,6 +57,15 @@ def build_session(
     return spark
 
 
+def apply_runtime_conf(spark: SparkSession) -> SparkSession:
+    """Apply the library's runtime SQL settings (UTC, AQE, skew join) to a
+    session built elsewhere, e.g. by a launcher."""
+    for k, v in BASE_CONF.items():
+        if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
+            spark.conf.set(k, v)
+    return spark
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
