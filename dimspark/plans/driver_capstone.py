@@ -184,7 +184,8 @@ def two_level_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
 PIVOT_SQL = (
     """pv AS (SELECT "State Code", """
     + ", ".join(
-        f"""SUM(CASE WHEN "Race" = '{k}' THEN TRY_CAST("Count" AS INTEGER) END) AS {v}""" for k, v in SEGMENTS.items()
+        f"""CAST(SUM(CASE WHEN "Race" = '{k}' THEN TRY_CAST("Count" AS INTEGER) END) AS BIGINT) AS {v}"""
+        for k, v in SEGMENTS.items()
     )
     + """ FROM demo_v GROUP BY 1)"""
 )
