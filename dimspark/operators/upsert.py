@@ -46,20 +46,27 @@ def upsert_update(
     keys: Sequence[str],
     order: Sequence[str],
     update_cols: Sequence[str],
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """K12 ``ON CONFLICT (key) DO UPDATE SET c = EXCLUDED.c`` for ``update_cols``.
 
     Per key, the columns in ``update_cols`` take the last value by
     ``order``; all other columns keep the first value ever inserted.
+    ``columns`` are the stored value columns (default: every column of
+    ``incoming`` that is neither a key nor an order column). Rows that tie
+    on ``order`` are ranked by their values, so the result is fixed.
     One partially aggregated group-by over the batch, then (for a stored
     table) a full outer join on the key.
     """
     keys, order, update_cols = list(keys), list(order), list(update_cols)
-    others = [c for c in incoming.columns if c not in keys and c not in update_cols and c not in order]
-    ordk = F.struct(*[_q(c) for c in order])
+    if columns is None:
+        columns = [c for c in incoming.columns if c not in keys and c not in order]
+    values = [c for c in columns if c not in keys]
+    others = [c for c in values if c not in update_cols]
+    ordk = F.struct(*[_q(c).alias(f"o{i}") for i, c in enumerate(order)], *[_q(c) for c in values])
     aggs = [F.min_by(_q(c), ordk).alias(c) for c in others]
     aggs += [F.max_by(_q(c), ordk).alias(c) for c in update_cols]
-    cols = [c for c in incoming.columns if c not in order]
+    cols = [*keys, *values]
     batch = incoming.groupBy(*[_q(k) for k in keys]).agg(*aggs)
     if existing is None:
         return batch.select(*[_q(c) for c in cols])
