@@ -82,6 +82,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local"):
+        # A machine-local folder is invisible to other executors and lost
+        # with the machine: a cluster must name a shared one.
+        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder (e.g. on HDFS or S3)")
     root = tempfile.mkdtemp(prefix="dimspark-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root
