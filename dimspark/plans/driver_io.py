@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimspark.plans import music, query_tables as qt
@@ -165,3 +165,120 @@ def user_history_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = "songs_users_" + uuid.uuid4().hex[:12]
     save_bucketed(t, name, 8, ["user_id", "session_id"], ["item_session"], path=scratch_dir(spark, name))
     return qt.user_session_history(spark.table(name), 681, 1046)
+
+
+# ------------------------------------------------------------ label text files
+
+# Label files written from ``customer``: one file per block of 500 customer
+# keys (the key is unique, so no file grows with skew). Lines of a block, in
+# order: a header, an entry per customer *before* the first marker, the
+# start marker, the section entries (a customer with a negative balance
+# gets an entry without quotes, which the pattern skips), the end marker,
+# entries after it, the start marker once more and entries after that.
+# Only the section entries may come out.
+LABEL_BLOCK = 500
+_LABEL_CODE = "format_string('%03d', c_nationkey)"
+
+
+def _label_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dimspark.plans.driver_views import table
+    from dimspark.sources.labels import LABEL_SECTIONS
+
+    start, end, _ = LABEL_SECTIONS["country"]
+    c = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_nationkey", "c_name", "c_acctbal", (F.col("c_custkey") / LABEL_BLOCK).cast("bigint").alias("grp")
+    )
+    code = F.expr(_LABEL_CODE)
+
+    def entry(k1: int, line) -> Column:
+        return F.struct(F.lit(k1).alias("k1"), F.col("c_custkey").alias("k2"), line.alias("line"))
+
+    inside = F.when(
+        F.col("c_acctbal") >= 0, F.format_string("%s =  '%s'", code, F.col("c_name"))
+    ).otherwise(F.format_string("%s = %s", code, F.col("c_name")))
+    entries = c.select(
+        "grp",
+        F.explode(
+            F.array(
+                entry(1, F.format_string("%s =  '%s (before)'", code, F.col("c_name"))),
+                entry(3, inside),
+                entry(5, F.format_string("%s =  '%s (after)'", code, F.col("c_name"))),
+                entry(7, F.format_string("%s =  '%s (repeated)'", code, F.col("c_name"))),
+            )
+        ).alias("e"),
+    )
+
+    def marker(k1: int, text: str) -> Column:
+        return F.struct(
+            F.lit(k1).alias("k1"),
+            F.lit(0).cast("bigint").alias("k2"),
+            F.concat(F.lit(text), F.col("grp").cast("string"), F.lit(" */")).alias("line"),
+        )
+
+    markers = c.select("grp").distinct().select(
+        "grp",
+        F.explode(
+            F.array(
+                marker(0, "/* Label descriptions, block "),
+                marker(2, f"{start} - codes of block "),
+                marker(4, f"{end} - after block "),
+                marker(6, f"{start} - repeated in block "),
+            )
+        ).alias("e"),
+    )
+    return entries.unionByName(markers).select("grp", "e.k1", "e.k2", "e.line")
+
+
+LABEL_PAIRS_SQL = f"""lab AS (
+  SELECT CAST(c_custkey // {LABEL_BLOCK} AS BIGINT) AS block, m[1] AS code, m[2] AS label FROM (
+    SELECT c_custkey, UNNEST(list_zip(regexp_extract_all(line, '(\\d{{3}}) = *''(.*)''', 1),
+                                      regexp_extract_all(line, '(\\d{{3}}) = *''(.*)''', 2))) AS m
+    FROM (SELECT c_custkey,
+                 CASE WHEN c_acctbal >= 0 THEN printf('%03d =  ''%s''', c_nationkey, c_name)
+                      ELSE printf('%03d = %s', c_nationkey, c_name) END || chr(10) AS line
+          FROM customer)))"""
+
+
+def _label_pairs_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dimspark.sources.labels import named_label_pairs, read_label_files
+
+    path = scratch_dir(spark, "label_text")
+    rows = _label_text(spark, sf_dir)
+    # One task per block (repartition by the block), lines in file order;
+    # the partitioned writer then puts each block in a file of its own.
+    (
+        rows.repartition("grp")
+        .sortWithinPartitions("grp", "k1", "k2")
+        .select("grp", "line")
+        .write.mode("overwrite")
+        .partitionBy("grp")
+        .text(path)
+    )
+    pairs = named_label_pairs(read_label_files(spark, path), "country", with_file=True)
+    return pairs.select(
+        F.regexp_extract("file", r"grp=(\d+)", 1).cast("bigint").alias("block"), "code", "label"
+    )
+
+
+@register("label_sections", with_ctes(LABEL_PAIRS_SQL) + "SELECT block, code, label FROM lab")
+def label_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S13 T14 T19 (H1): label text files written from the customer table,
+    read back line by line; the country section of every file (between its
+    first two marker lines) gives the (code, label) pairs."""
+    return _label_pairs_written(spark, sf_dir)
+
+
+@register(
+    "label_country_dim",
+    with_ctes(LABEL_PAIRS_SQL)
+    + """SELECT country_id, country FROM (
+  SELECT TRY_CAST(code AS INTEGER) AS country_id, label AS country,
+         ROW_NUMBER() OVER (PARTITION BY TRY_CAST(code AS INTEGER) ORDER BY label) AS rn FROM lab)
+WHERE rn = 1""",
+)
+def label_country_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C10 (S13 P9 A5): DIM_country from the written label files, one row
+    per integer code (first label in label order)."""
+    from dimspark.plans import immigration as im
+
+    return im.build_code_dim(_label_pairs_written(spark, sf_dir), "country_id", "country")

@@ -1,4 +1,4 @@
-"""Label text sections -> (code, label) rows.
+"""Label text sections -> (code, label) rows.
 
 A label file holds many code lists, each in a section that starts at a
 line beginning with a start marker. The section used is the text between
@@ -6,10 +6,20 @@ the first line that begins with the start *or* the end marker and the
 next such line (both lines excluded); the pair pattern is then applied
 to that text, like ``re.findall`` over the joined lines.
 
-Spark plan: each file is one row (``wholetext``), the section is cut
-with one regular expression and the pairs come from
-``regexp_extract_all``, all per row. Many label files are read in
-parallel; there is no window, no shuffle and nothing on the driver.
+Spark plan: label files are read as lines, so a large file is split over
+many tasks like any text input. Each line carries its file and a
+position that orders the lines of one file: (start of the file block
+the line was read from, row id within that block's task). The marker
+lines are few; one aggregate per file gives the positions of its first
+two markers, and that per-file table (one row per file, broadcast only
+after a row-count check) is joined back to the lines. The pairs are
+then extracted line by line. Nothing holds a whole file: no row, task,
+group or driver call sees more than one line of text.
+
+A pair pattern is applied to each section line with its line break, so
+it must not match across lines. The four fixed patterns below each match
+within one line (one code per line), which gives the same pairs as
+``findall`` over the joined section text.
 """
 
 from __future__ import annotations
@@ -20,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimspark.functions.textfn import regex_pairs
+from dimspark.operators.broadcast import bounded_broadcast
 
 # Label-file sections as (start marker, end marker, pattern
 # of one code/label entry), as used for the four code dimensions.
@@ -30,33 +41,84 @@ LABEL_SECTIONS = {
     "country": ("/* I94CIT & I94RES", "/* I94PORT", "(\\d{3}) = *'(.*)'"),
 }
 
+# Upper bound on the number of label files for which the per-file section
+# bounds are broadcast; beyond it the bounds join is a shuffled join.
+MAX_BROADCAST_FILES = 100_000
+
 
 def read_label_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """One row per file: (file, text). ``wholetext`` must be passed as a
-    keyword; as an ``option`` the method's own default overrides it."""
+    """One row per line of every label file: (file, pos, line).
+
+    ``pos`` is a struct that orders the lines of one file. The line reader
+    splits a large file into blocks; a line belongs to the block it starts
+    in, and rows of one block are read in file order by one task, so
+    (block start, row id) follows the file.
+    """
     p = [paths] if isinstance(paths, str) else list(paths)
-    return spark.read.text(p, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"), F.col("value").alias("text")
+    return spark.read.text(p).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+        ).alias("pos"),
+        F.col("value").alias("line"),
+    )
+
+
+def text_lines(df: DataFrame, text: str = "text", key: str | None = None) -> DataFrame:
+    """(file, pos, line) rows of label text held in a string column, one
+    text per row (tests and small inline texts). ``key`` names the column
+    that tells texts apart (default: one text in ``df``)."""
+    src = F.col(key).cast("string") if key else F.lit("text")
+    return df.select(src.alias("file"), F.posexplode(F.split(F.col(text), "\n")).alias("i", "line")).select(
+        "file", F.struct(F.lit(0).cast("bigint").alias("block"), F.col("i").cast("bigint").alias("row")).alias("pos"),
+        "line",
     )
 
 
-def section(text, start: str, end: str) -> Column:
-    """The text between the first two lines that begin with ``start`` or ``end``."""
-    markers = f"(?:\\Q{start}\\E|\\Q{end}\\E)"
-    pattern = f"(?s)(?:\\A|\\n){markers}[^\\n]*\\n(.*?)(?<=\\n){markers}"
-    c = F.col(text) if isinstance(text, str) else text
-    return F.regexp_extract(c, pattern, 1)
+def _starts(line: Column, prefixes: Sequence[str]) -> Column:
+    cond = None
+    for p in prefixes:
+        c = F.startswith(line, F.lit(p))
+        cond = c if cond is None else cond | c
+    return cond
+
+
+def section_lines(lines: DataFrame, start: str, end: str) -> DataFrame:
+    """The (file, pos, line) rows strictly between the first two lines of
+    each file that begin with ``start`` or ``end`` (T19). A file with fewer
+    than two such lines has no section."""
+    marks = lines.where(_starts(F.col("line"), [start, end])).select("file", "pos")
+    first = marks.groupBy("file").agg(F.min("pos").alias("p0"))
+    second = (
+        marks.join(bounded_broadcast(first, MAX_BROADCAST_FILES), "file")
+        .where(F.col("pos") > F.col("p0"))
+        .groupBy("file")
+        .agg(F.min("p0").alias("p0"), F.min("pos").alias("p1"))
+    )
+    bounds = bounded_broadcast(second, MAX_BROADCAST_FILES)
+    return (
+        lines.join(bounds, "file")
+        .where((F.col("pos") > F.col("p0")) & (F.col("pos") < F.col("p1")))
+        .select("file", "pos", "line")
+    )
+
 
+def label_pairs(lines: DataFrame, start: str, end: str, pattern: str, with_file: bool = False) -> DataFrame:
+    """(code, label) rows of one section of every file in ``lines``.
 
-def label_pairs(df: DataFrame, start: str, end: str, pattern: str, text: str = "text") -> DataFrame:
-    """(code, label) rows of one section of every text row in ``df``."""
-    pairs = regex_pairs(section(text, start, end), pattern)
-    return df.select(F.explode(pairs).alias("p")).select(
-        F.col("p.code").alias("code"), F.col("p.label").alias("label")
+    Each section line is matched with its line break, as in the joined
+    text of the file.
+    """
+    sec = section_lines(lines, start, end)
+    pairs = regex_pairs(F.concat(F.col("line"), F.lit("\n")), pattern)
+    keep = ["file", "pos"] if with_file else []
+    return sec.select(*keep, F.explode(pairs).alias("p")).select(
+        *keep, F.col("p.code").alias("code"), F.col("p.label").alias("label")
     )
 
 
-def named_label_pairs(df: DataFrame, name: str, text: str = "text") -> DataFrame:
+def named_label_pairs(lines: DataFrame, name: str, with_file: bool = False) -> DataFrame:
     """``label_pairs`` for one of the sections in ``LABEL_SECTIONS``."""
     start, end, pattern = LABEL_SECTIONS[name]
-    return label_pairs(df, start, end, pattern, text)
+    return label_pairs(lines, start, end, pattern, with_file)

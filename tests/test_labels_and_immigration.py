@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from dimspark.plans import immigration as im
 from dimspark.sources.files import read_csv_dir
-from dimspark.sources.labels import LABEL_SECTIONS, label_pairs, named_label_pairs, read_label_files
+from dimspark.sources.labels import LABEL_SECTIONS, label_pairs, named_label_pairs, read_label_files, text_lines
 
 LABEL_TEXT = (
     "/* I94YR - 4 digit year */\n"
@@ -59,15 +59,41 @@ def test_label_sections_match_python_rule(spark, tmp_dir):
     with open(p, "w") as f:
         f.write(LABEL_TEXT)
     df = read_label_files(spark, os.path.dirname(p))
-    assert df.count() == 1
+    assert df.count() == len(LABEL_TEXT.splitlines())
     for name, (start, end, pattern) in LABEL_SECTIONS.items():
-        got = [tuple(r) for r in named_label_pairs(df, name).collect()]
+        got = [(r["code"], r["label"]) for r in named_label_pairs(df, name, with_file=True).orderBy("pos").collect()]
         assert got == _expected(LABEL_TEXT, start, end, pattern), name
         assert got, name
 
 
+def test_label_file_split_over_many_tasks(spark, tmp_dir):
+    """A label file read in many small blocks (one task each) gives the
+    same sections as the whole file; two files keep their own sections."""
+    d = os.path.join(tmp_dir, "labels_split")
+    os.makedirs(d)
+    filler = "".join(f"/* note {i} */\n" for i in range(200))
+    texts = {"a.SAS": filler + LABEL_TEXT + filler, "b.SAS": LABEL_TEXT.replace("MEXICO", "CANADA")}
+    for fname, text in texts.items():
+        with open(os.path.join(d, fname), "w") as f:
+            f.write(text)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    try:
+        df = read_label_files(spark, d)
+        assert df.rdd.getNumPartitions() > 10
+        for name, (start, end, pattern) in LABEL_SECTIONS.items():
+            got = named_label_pairs(df, name, with_file=True).orderBy("file", "pos").collect()
+            by_file = {}
+            for r in got:
+                by_file.setdefault(os.path.basename(r["file"]), []).append((r["code"], r["label"]))
+            for fname, text in texts.items():
+                assert by_file.get(fname, []) == _expected(text, start, end, pattern), (name, fname)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def _labels_df(spark):
-    return spark.createDataFrame([(LABEL_TEXT,)], "text string")
+    return text_lines(spark.createDataFrame([(LABEL_TEXT,)], "text string"))
 
 
 def test_code_dims_and_ports(spark):
@@ -185,5 +211,6 @@ def test_fact_immigration(spark):
 
 
 def test_label_pairs_generic(spark):
-    df = spark.createDataFrame([("/* A\n1 = x\n2 = y\n/* B\n3 = z\n",)], "text string")
-    assert [tuple(r) for r in label_pairs(df, "/* A", "/* B", r"(\d) = (\w)").collect()] == [("1", "x"), ("2", "y")]
+    df = text_lines(spark.createDataFrame([("/* A\n1 = x\n2 = y\n/* B\n3 = z\n",)], "text string"))
+    got = label_pairs(df, "/* A", "/* B", r"(\d) = (\w)", with_file=True).orderBy("pos").collect()
+    assert [(r["code"], r["label"]) for r in got] == [("1", "x"), ("2", "y")]
