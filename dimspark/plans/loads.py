@@ -41,7 +41,8 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     executor recomputes from the staged files.
     """
     write_parquet(df, path, mode="overwrite")
-    return df.sparkSession.read.parquet(path)
+    # The schema is known: reading back with it skips the inference job.
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _with_year_month(df: DataFrame) -> DataFrame:
