@@ -282,3 +282,81 @@ def label_country_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dimspark.plans import immigration as im
 
     return im.build_code_dim(_label_pairs_written(spark, sf_dir), "country_id", "country")
+
+
+# ------------------------------------------------- staging load, raw event CSV
+
+
+@register(
+    "staged_events_mapped",
+    """SELECT CAST(NULL AS VARCHAR) AS artist, CAST(NULL AS VARCHAR) AS auth,
+       CASE WHEN trim(props) <> '' THEN props END AS firstname, CAST(NULL AS VARCHAR) AS gender,
+       CAST(event_id AS INTEGER) AS iteminsession,
+       CASE WHEN trim(event_type) <> '' THEN event_type END AS lastname, value AS length,
+       CASE WHEN trim(event_type) <> '' THEN event_type END AS level, CAST(NULL AS VARCHAR) AS location,
+       CAST(NULL AS VARCHAR) AS method, CASE WHEN event_type = 'error' THEN 'Error' ELSE 'NextSong' END AS page,
+       CAST(NULL AS DOUBLE) AS registration, CAST(user_id AS INTEGER) AS sessionid, CAST(NULL AS VARCHAR) AS song,
+       CAST(NULL AS INTEGER) AS status, date_trunc('millisecond', ts) AS ts, CAST(NULL AS VARCHAR) AS useragent,
+       CAST(user_id AS VARCHAR) AS userid
+FROM events""",
+)
+def staged_events_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as JSON lines (ts in epoch ms) bulk-loaded into
+    the staging table: fields matched through the mapping, ts read as a
+    millisecond timestamp, blank text as NULL."""
+    from dimspark.schemas import LOG_SCHEMA, STAGING_EVENTS_MAPPING
+    from dimspark.sources.files import read_json_mapped
+    from dimspark.sources.staging import clean_strings
+
+    src = _events_as_log_json(spark, sf_dir, 4)
+    staged = clean_strings(read_json_mapped(spark, src, LOG_SCHEMA, STAGING_EVENTS_MAPPING, epoch_ms=["ts"]))
+    return ntz(staged, "ts")
+
+
+# The columns of a raw event CSV file, in file order.
+RAW_EVENT_FIELDS = [
+    "artist", "auth", "firstName", "gender", "itemInSession", "lastName", "length", "level", "location",
+    "method", "page", "registration", "sessionId", "song", "status", "ts", "userId",
+]
+
+
+def _raw_event_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The activity log as raw 17-column event CSV files with a header, in
+    two folders (song plays and other pages); other pages have no artist."""
+    p = plays_v(spark, sf_dir)
+    play = F.col("page") == "NextSong"
+    raw = p.select(
+        F.when(play, F.col("artist")).alias("artist"),
+        F.lit("Logged In").alias("auth"),
+        "firstName", "gender", "itemInSession", "lastName", "length", "level", "location",
+        F.lit("PUT").alias("method"),
+        "page",
+        F.lit(None).cast("double").alias("registration"),
+        "sessionId", "song",
+        F.lit(200).alias("status"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("ts"),
+        "userId",
+    ).select(*RAW_EVENT_FIELDS)
+    root = scratch_dir(spark, "event_data")
+    raw.where(play).write.mode("overwrite").option("header", True).csv(f"{root}/plays")
+    raw.where(~play).write.mode("overwrite").option("header", True).csv(f"{root}/other")
+    return root
+
+
+@register(
+    "event_csv_positional",
+    with_ctes(PLAYS_V_SQL)
+    + """SELECT artist, firstName, gender, CAST(itemInSession AS VARCHAR) AS itemInSession, lastName,
+       CAST(length AS VARCHAR) AS length, level, location, CAST(sessionId AS VARCHAR) AS sessionId, song,
+       CAST(userId AS VARCHAR) AS userId
+FROM plays_v WHERE page = 'NextSong'""",
+)
+def event_csv_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C9 (S9 P5 F6 K3 U1): raw event CSV files of two folders read in one
+    scan, 11 columns picked by position, rows without an artist dropped,
+    written as one quoted CSV table and read back (all text)."""
+    raw = qt.read_event_csv(spark, _raw_event_csv(spark, sf_dir))
+    compact = qt.compact_events(raw, positional=True)
+    out = scratch_dir(spark, "event_datafile_new")
+    write_csv_quoted(compact, out)
+    return qt.read_event_csv(spark, out)

@@ -46,6 +46,30 @@ LOG_SCHEMA = T.StructType(
     ]
 )
 
+# Staging table of the activity log (S5/S6): staging column -> JSON field,
+# in staging-table order (the role of the JSON-paths file). ``ts`` arrives
+# as epoch milliseconds and is staged as a timestamp.
+STAGING_EVENTS_MAPPING = {
+    "artist": "artist",
+    "auth": "auth",
+    "firstname": "firstName",
+    "gender": "gender",
+    "iteminsession": "itemInSession",
+    "lastname": "lastName",
+    "length": "length",
+    "level": "level",
+    "location": "location",
+    "method": "method",
+    "page": "page",
+    "registration": "registration",
+    "sessionid": "sessionId",
+    "song": "song",
+    "status": "status",
+    "ts": "ts",
+    "useragent": "userAgent",
+    "userid": "userId",
+}
+
 # Target tables (DDL for ``sinks.writers.create_table``).
 TABLE_DDL = {
     "songplays": "songplay_id STRING, start_time TIMESTAMP, user_id BIGINT, level STRING, song_id STRING, "
