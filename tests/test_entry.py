@@ -63,3 +63,46 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(sdf.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert _canon(sdf.columns, srows) == _canon(dcols, drows)
+
+
+# Operators no registered query may contain: all-pairs joins, Python
+# evaluation (UDFs, pandas functions), windows over whole groups, and
+# limits (outside the query whose limit is the feature).
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "PythonUDF", "InPandas", "InArrow",
+             "Window")
+LIMITS = ("GlobalLimit", "LocalLimit", "CollectLimit", "TakeOrderedAndProject")
+LIMIT_IS_FEATURE = {"limit_sorted"}
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_plan_shape(spark, name):
+    df = entry.queries()[name](spark, SF)
+    df.write.format("noop").mode("overwrite").save()
+    plan = _plan(df)
+    bad = [op for op in FORBIDDEN if op in plan]
+    assert not bad, (name, bad)
+    if name not in LIMIT_IS_FEATURE:
+        assert not [op for op in LIMITS if op in plan], name
+
+
+def test_flagship_scans_are_pruned(spark):
+    """The fact query reads only the columns it uses, and NULL-key filters
+    reach the Parquet scans."""
+    df = entry.entry(spark)
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for unused in ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_suppkey", "o_totalprice", "o_orderdate",
+                   "c_acctbal", "c_nationkey"):
+        assert unused not in plan, unused
+    assert "PushedFilters: [IsNotNull(l_orderkey), IsNotNull(l_partkey)]" in plan
+
+
+def test_date_filter_pushed_to_scan(spark):
+    df = entry.queries()["skip_loaded"](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(o_orderdate), LessThan(o_orderdate," in plan
+    assert "GreaterThanOrEqual(o_orderdate," in plan
