@@ -42,10 +42,37 @@ DRIVER_TABLES = {
 }
 
 
+# A scan gets at least one task per Parquet row group, never more: a file
+# written as one large row group is read by one task however big it is.
+# Tables of at least this size that come out of the scan with fewer
+# partitions than the cluster has cores are spread round-robin first.
+SPREAD_MIN_BYTES = 8 << 20
+
+
+def _bytes_on_disk(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def spread(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """``df`` spread over all cores when its scan would run in fewer tasks
+    than there are cores and the files are large enough to be worth a
+    shuffle. On a cluster a large table has many more scan partitions than
+    cores, so this returns ``df`` unchanged; filters and column pruning
+    still reach the scan below the repartition."""
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores or _bytes_on_disk(spark, path) < SPREAD_MIN_BYTES:
+        return df
+    return df.repartition(cores)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     ddl = DRIVER_TABLES.get(name)
-    return spark.read.schema(ddl).parquet(path) if ddl else spark.read.parquet(path)
+    df = spark.read.schema(ddl).parquet(path) if ddl else spark.read.parquet(path)
+    return spread(spark, df, path)
 
 
 def songs_v(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -106,3 +106,20 @@ def test_date_filter_pushed_to_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderdate), LessThan(o_orderdate," in plan
     assert "GreaterThanOrEqual(o_orderdate," in plan
+
+
+def test_spread_of_single_task_scans(spark, monkeypatch):
+    """A table whose scan runs in fewer tasks than cores is spread over all
+    cores once it is large enough; rows and pushed filters are unchanged."""
+    from dimspark.plans import driver_views as dv
+
+    plain = dv.table(spark, SF, "lineitem")
+    assert plain.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism  # small: not spread
+    monkeypatch.setattr(dv, "SPREAD_MIN_BYTES", 0)
+    spread = dv.table(spark, SF, "lineitem")
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread.count() == plain.count()
+    q = spread.where("l_linenumber = 3").select("l_orderkey")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(l_linenumber,3)" in plan and "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in plan
+    assert q.count() == plain.where("l_linenumber = 3").count()
