@@ -13,14 +13,18 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimspark.plans import immigration as im
 from dimspark.plans import music, query_tables as qt
 from dimspark.plans.driver import SONGPLAYS_LOOKUP_SQL, USERS_UPSERT_SQL, _songplays_lookup, _time_sql
 from dimspark.plans.driver_tables import EVENT_ROWS_SQL, SONGS_SESSIONS_SQL, SONGS_USERS_SQL, _event_rows
-from dimspark.plans.driver_views import PLAYS_V_SQL, events_log_v, plays_v, songs_v, with_ctes
+from dimspark.plans.driver_views import PLAYS_V_SQL, events_log_v, plays_v, songs_v, table, with_ctes
 from dimspark.plans.registry import ntz, register
+from dimspark.schemas import LOG_SCHEMA, STAGING_EVENTS_MAPPING
 from dimspark.session import scratch_dir
 from dimspark.sinks.writers import save_bucketed, write_clustered, write_csv_quoted, write_parquet
-from dimspark.sources.files import read_logs, read_parquet_table
+from dimspark.sources.files import read_json_mapped, read_logs, read_parquet_table
+from dimspark.sources.labels import LABEL_SECTIONS, named_label_pairs, read_label_files
+from dimspark.sources.staging import clean_strings
 from dimspark.streaming.log_stream import read_latest, start_log_stream
 
 
@@ -181,8 +185,6 @@ _LABEL_CODE = "format_string('%03d', c_nationkey)"
 
 
 def _label_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from dimspark.plans.driver_views import table
-    from dimspark.sources.labels import LABEL_SECTIONS
 
     start, end, _ = LABEL_SECTIONS["country"]
     c = table(spark, sf_dir, "customer").select(
@@ -240,7 +242,6 @@ LABEL_PAIRS_SQL = f"""lab AS (
 
 
 def _label_pairs_written(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from dimspark.sources.labels import named_label_pairs, read_label_files
 
     path = scratch_dir(spark, "label_text")
     rows = _label_text(spark, sf_dir)
@@ -279,7 +280,6 @@ WHERE rn = 1""",
 def label_country_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C10 (S13 P9 A5): DIM_country from the written label files, one row
     per integer code (first label in label order)."""
-    from dimspark.plans import immigration as im
 
     return im.build_code_dim(_label_pairs_written(spark, sf_dir), "country_id", "country")
 
@@ -304,9 +304,6 @@ def staged_events_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log as JSON lines (ts in epoch ms) bulk-loaded into
     the staging table: fields matched through the mapping, ts read as a
     millisecond timestamp, blank text as NULL."""
-    from dimspark.schemas import LOG_SCHEMA, STAGING_EVENTS_MAPPING
-    from dimspark.sources.files import read_json_mapped
-    from dimspark.sources.staging import clean_strings
 
     src = _events_as_log_json(spark, sf_dir, 4)
     staged = clean_strings(read_json_mapped(spark, src, LOG_SCHEMA, STAGING_EVENTS_MAPPING, epoch_ms=["ts"]))
