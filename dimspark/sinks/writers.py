@@ -88,7 +88,14 @@ def write_clustered(
 def save_bucketed(
     df: DataFrame, table: str, buckets: int, keys: Sequence[str], sort_by: Sequence[str] = (), path: str | None = None
 ) -> None:
-    """Bucketed, sorted catalog table so later joins on ``keys`` co-locate."""
+    """Bucketed, sorted catalog table so later joins on ``keys`` co-locate.
+
+    The write itself has no shuffle: each task writes one file per bucket
+    it holds, so a hot key does not load one writer. A later bucketed join
+    reads a bucket in one task without a shuffle, so AQE cannot split a
+    bucket that a hot key made large; for keys that may hold a large share
+    of the rows, ``write_clustered`` (range-split keys) is the safer layout.
+    """
     w = df.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys)
     if sort_by:
         w = w.sortBy(*sort_by)
