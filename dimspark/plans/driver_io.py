@@ -21,8 +21,16 @@ from dimspark.plans.driver_views import PLAYS_V_SQL, events_log_v, plays_v, song
 from dimspark.plans.registry import ntz, register
 from dimspark.schemas import LOG_SCHEMA, STAGING_EVENTS_MAPPING
 from dimspark.session import scratch_dir
-from dimspark.sinks.writers import save_bucketed, write_clustered, write_csv_quoted, write_parquet
-from dimspark.sources.files import read_json_mapped, read_logs, read_parquet_table
+from dimspark.sinks.writers import (
+    create_database,
+    create_table,
+    insert_into,
+    save_bucketed,
+    write_clustered,
+    write_csv_quoted,
+    write_parquet,
+)
+from dimspark.sources.files import read_json_mapped, read_logs, read_parquet_table, read_table
 from dimspark.sources.labels import LABEL_SECTIONS, named_label_pairs, read_label_files
 from dimspark.sources.staging import clean_strings
 from dimspark.streaming.log_stream import read_latest, start_log_stream
@@ -357,3 +365,42 @@ def event_csv_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "event_datafile_new")
     write_csv_quoted(compact, out)
     return qt.read_event_csv(spark, out)
+
+
+# ------------------------------------------------------------ catalog tables
+
+
+def _new_database(spark: SparkSession) -> str:
+    """A fresh database whose folder is under the shared checkpoint folder."""
+    name = "dw_" + uuid.uuid4().hex[:12]
+    create_database(spark, name, scratch_dir(spark, name))
+    return name
+
+
+@register("catalog_users", USERS_UPSERT_SQL)
+def catalog_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users table created from its DDL, loaded twice with
+    truncate-then-insert (the second load replaces the first), read back
+    by SQL."""
+    db = _new_database(spark)
+    create_table(spark, f"{db}.users")
+    logs = events_log_v(spark, sf_dir)
+    cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    insert_into(music.build_users(logs.where(F.col("ts") < cut), "upsert"), f"{db}.users", truncate=True)
+    insert_into(music.build_users(logs, "upsert"), f"{db}.users", truncate=True)
+    return read_table(spark, f"SELECT user_id, first_name, last_name, gender, level FROM {db}.users")
+
+
+@register("catalog_time", _time_sql("CAST(dayofweek(start_time) AS INTEGER)"))
+def catalog_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time table created from its DDL (partitioned by year and
+    month), loaded by two appends (log before and after a cut; their start
+    times are disjoint), read back by SQL."""
+    db = _new_database(spark)
+    create_table(spark, f"{db}.time")
+    logs = events_log_v(spark, sf_dir)
+    cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    insert_into(music.build_time(logs.where(F.col("ts") < cut), "number"), f"{db}.time")
+    insert_into(music.build_time(logs.where(F.col("ts") >= cut), "number"), f"{db}.time")
+    t = read_table(spark, f"SELECT start_time, hour, day, week, month, year, weekday FROM {db}.time")
+    return ntz(t, "start_time")

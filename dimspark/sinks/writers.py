@@ -109,8 +109,9 @@ def create_table(
     location: str | None = None,
 ) -> None:
     """K8: CREATE TABLE IF NOT EXISTS ... USING parquet [PARTITIONED BY]."""
-    cols = ddl or TABLE_DDL[name]
-    parts = TABLE_PARTITIONS.get(name, []) if partitioned_by is None else list(partitioned_by)
+    short = name.rsplit(".", 1)[-1]  # the DDL is looked up without the database
+    cols = ddl or TABLE_DDL[short]
+    parts = TABLE_PARTITIONS.get(short, []) if partitioned_by is None else list(partitioned_by)
     sql = f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet"
     if parts:
         sql += f" PARTITIONED BY ({', '.join(parts)})"
@@ -124,6 +125,26 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def create_database(spark: SparkSession, name: str) -> None:
-    """K8: CREATE DATABASE IF NOT EXISTS (the keyspace / database step)."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """K8: CREATE DATABASE IF NOT EXISTS (the keyspace / database step).
+
+    ``location`` puts the database folder in a shared place (otherwise the
+    session's warehouse folder)."""
+    sql = f"CREATE DATABASE IF NOT EXISTS {name}"
+    if location:
+        sql += f" LOCATION '{location}'"
+    spark.sql(sql)
+
+
+def drop_database(spark: SparkSession, name: str) -> None:
+    """K8: DROP DATABASE IF EXISTS ... CASCADE."""
+    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+def insert_into(df: DataFrame, table: str, truncate: bool = False) -> None:
+    """K4/K5 on a catalog table: INSERT INTO (append) or INSERT OVERWRITE
+    (``truncate``). Columns are matched by name: ``df`` is put in the
+    table's column order first (partition columns last), since the insert
+    itself maps columns by position."""
+    cols = df.sparkSession.table(table).columns
+    df.select(*[F.col(f"`{c}`") for c in cols]).write.insertInto(table, overwrite=truncate)
