@@ -24,7 +24,7 @@ from dimspark.operators.upsert import insert_new_keys, skip_loaded
 from dimspark.plans import immigration as im
 from dimspark.plans import music
 from dimspark.plans.quality import check_non_empty, check_unique
-from dimspark.sinks.versioned import latest_before, next_version, read_latest, write_version
+from dimspark.sinks.versioned import next_version, read_current, read_latest, write_delta, write_version
 from dimspark.sinks.writers import write_parquet
 from dimspark.sources.files import read_csv_dir, read_logs, read_records, read_songs
 from dimspark.sources.labels import named_label_pairs, read_label_files
@@ -96,6 +96,9 @@ def load_music_warehouse(
     (J7), ``append`` adds every play (K4), ``overwrite`` replaces the fact.
     Dimensions are upserted into the previous version (K11/K12) unless
     ``truncate_dims`` (K5) rebuilds them from the staged rows alone.
+    The fact is append-only: ``append`` and ``skip_loaded`` write only the
+    load's new rows (a delta folder), so a load's write grows with the new
+    rows, not with the whole fact table.
     """
     if fact_mode not in FACT_MODES:
         raise ValueError(f"fact_mode must be one of {FACT_MODES}")
@@ -122,13 +125,14 @@ def load_music_warehouse(
         plays = music.build_songplays(ev, songs_t, artists_t, match="lookup")
     else:
         plays = music.build_songplays(ev, so, match=match)
-    last = latest_before(spark, f"{root}/songplays", v)
-    current = spark.read.parquet(last) if last else None
-    if current is not None and fact_mode != "overwrite":
+    current = read_current(spark, f"{root}/songplays", before=v)
+    if current is None or fact_mode == "overwrite":
+        write_version(plays, f"{root}/songplays", v)
+    else:
+        # Append-only fact: write only this load's rows as a delta.
         if fact_mode == "skip_loaded":
             plays = skip_loaded(plays, current, ["user_id", "session_id"], ["user_id", "session_id"])
-        plays = current.unionByName(plays)
-    write_version(plays, f"{root}/songplays", v)
+        write_delta(plays, f"{root}/songplays", v)
     return check_non_empty({n: read_latest(spark, f"{root}/{n}") for n in ("songs", "artists", "users", "time", "songplays")})
 
 

@@ -1,9 +1,21 @@
-"""Versioned tables: each load writes a new folder ``v=<id>`` under a table root.
+"""Versioned tables: each load writes a new folder under a table root.
 
-Upserts compute the next table from the current one, so they must never
-overwrite the path they read. A version counts once its ``_SUCCESS``
+Two kinds of folder:
+
+* ``v=<id>``: the whole table as of load ``id`` (dimensions after an
+  upsert, a fact after an overwrite),
+* ``d=<id>``: only the rows load ``id`` added (append-only facts), so an
+  hourly load writes its new rows, never the whole fact table again.
+
+The table is the newest complete ``v=`` folder plus every ``d=`` folder
+after it, read in one multi-path scan. ``compact`` folds the deltas into
+a new ``v=`` folder when their number grows.
+
+Upserts compute the next table from the current one, so they never
+overwrite the path they read. A folder counts once its ``_SUCCESS``
 marker exists (Spark writes it when the job commits), so a load that
-died half-way is ignored and simply re-run with the same id.
+died half-way is ignored and simply re-run with the same id, which
+rewrites exactly its own folder.
 """
 
 from __future__ import annotations
@@ -13,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from dimspark.sinks.writers import write_parquet
 
 VERSION_PREFIX = "v="
+DELTA_PREFIX = "d="
 
 
 def _fs(spark: SparkSession, path: str):
@@ -21,33 +34,53 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    """Ids of the complete versions (those with a _SUCCESS marker)."""
+def _committed(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(id, prefix) of the complete folders under ``root``, by id."""
     fs, p = _fs(spark, root)
     if not fs.exists(p):
         return []
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(VERSION_PREFIX):
-            if fs.exists(st.getPath().suffix("/_SUCCESS")):
-                out.append(int(name[len(VERSION_PREFIX):]))
+        for prefix in (VERSION_PREFIX, DELTA_PREFIX):
+            if st.isDirectory() and name.startswith(prefix) and fs.exists(st.getPath().suffix("/_SUCCESS")):
+                out.append((int(name[len(prefix):]), prefix))
     return sorted(out)
 
 
-def version_path(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/{VERSION_PREFIX}{version:012d}"
+def committed_versions(spark: SparkSession, root: str) -> list[int]:
+    """Ids of the complete loads (full versions and deltas)."""
+    return [i for i, _ in _committed(spark, root)]
 
 
-def latest_before(spark: SparkSession, root: str, version: int) -> str | None:
-    """Path of the newest complete version older than ``version``."""
-    older = [v for v in committed_versions(spark, root) if v < version]
-    return version_path(root, older[-1]) if older else None
+def version_path(root: str, version: int, delta: bool = False) -> str:
+    return f"{root.rstrip('/')}/{DELTA_PREFIX if delta else VERSION_PREFIX}{version:012d}"
+
+
+def current_paths(spark: SparkSession, root: str, before: int | None = None) -> list[str]:
+    """Folders that make up the table (before load ``before``, if given):
+    the newest full version and the deltas after it."""
+    done = [(i, k) for i, k in _committed(spark, root) if before is None or i < before]
+    bases = [i for i, k in done if k == VERSION_PREFIX]
+    base = bases[-1] if bases else -1
+    paths = [version_path(root, base)] if bases else []
+    return paths + [version_path(root, i, delta=True) for i, k in done if k == DELTA_PREFIX and i > base]
+
+
+def read_current(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
+    paths = current_paths(spark, root, before)
+    return spark.read.parquet(*paths) if paths else None
 
 
 def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
-    vs = committed_versions(spark, root)
-    return spark.read.parquet(version_path(root, vs[-1])) if vs else None
+    """The table as of its newest complete load."""
+    return read_current(spark, root)
+
+
+def latest_before(spark: SparkSession, root: str, version: int) -> str | None:
+    """Path of the newest complete full version older than ``version``."""
+    older = [i for i, k in _committed(spark, root) if k == VERSION_PREFIX and i < version]
+    return version_path(root, older[-1]) if older else None
 
 
 def next_version(spark: SparkSession, root: str) -> int:
@@ -59,3 +92,19 @@ def write_version(df: DataFrame, root: str, version: int, partition_by=()) -> st
     path = version_path(root, version)
     write_parquet(df, path, partition_by)
     return path
+
+
+def write_delta(df: DataFrame, root: str, version: int, partition_by=()) -> str:
+    """Rows added by load ``version``; the table before it is not rewritten."""
+    path = version_path(root, version, delta=True)
+    write_parquet(df, path, partition_by)
+    return path
+
+
+def compact(spark: SparkSession, root: str) -> str | None:
+    """Write the current table (base + deltas) as a new full version, so
+    later reads scan one folder instead of many."""
+    cur = read_current(spark, root)
+    if cur is None:
+        return None
+    return write_version(cur, root, next_version(spark, root))

@@ -95,3 +95,27 @@ def test_load_immigration(spark, tmp_dir):
     with pytest.raises(DataQualityError):
         loads.load_immigration(spark, lab, airports, demo, empty_t, rec_path, os.path.join(tmp_dir, "cap2"))
     assert spark.read.parquet(os.path.join(out, "DIM_state")).where(F.col("avg_temp") == 20.0).count() == 1
+
+
+def test_fact_loads_write_deltas(spark, tmp_dir):
+    """Appending loads write only their new rows; compaction folds the
+    deltas into one full version with the same rows."""
+    from dimspark.sinks.versioned import DELTA_PREFIX, VERSION_PREFIX, compact, read_current, version_path
+
+    root = os.path.join(tmp_dir, "dw")
+    songs = read_songs(spark, write_song_tree(tmp_dir))
+    nov = os.path.join(tmp_dir, "nov")
+    write_json_lines(os.path.join(nov, "a.json"), LOGS_NOV)
+    ev_all = read_logs(spark, write_log_tree(tmp_dir))
+    loads.load_music_warehouse(spark, read_logs(spark, nov), songs, root)
+    loads.load_music_warehouse(spark, ev_all, songs, root, fact_mode="skip_loaded")
+    fact = os.path.join(root, "songplays")
+    names = {n for n in os.listdir(fact) if n.startswith((VERSION_PREFIX, DELTA_PREFIX))}
+    assert names == {os.path.basename(version_path(fact, 0)), os.path.basename(version_path(fact, 1, delta=True))}
+    assert spark.read.parquet(version_path(fact, 1, delta=True)).count() == 3  # the new plays only
+    before = rows(read_current(spark, fact))
+    assert len(before) == 7
+    compact(spark, fact)
+    assert committed_versions(spark, fact) == [0, 1, 2]
+    assert rows(spark.read.parquet(version_path(fact, 2))) == before
+    assert rows(read_current(spark, fact)) == before
