@@ -33,11 +33,23 @@ def insert_new_keys(
     Within the batch the first row by ``order`` is kept; a key already
     stored keeps its stored row.
     """
+    new = new_key_rows(existing, incoming, keys, order)
+    if existing is None:
+        return new
+    return existing.unionByName(new.select(*[_q(c) for c in existing.columns]))
+
+
+def new_key_rows(
+    existing: DataFrame | None, incoming: DataFrame, keys: Sequence[str], order: Sequence[str]
+) -> DataFrame:
+    """The rows K11 adds: the first batch row of every key not stored yet.
+
+    Stored rows never change under DO NOTHING, so an insert-only table can
+    be loaded by writing just these rows (a delta)."""
     batch = keep_first(incoming, keys, order)
     if existing is None:
         return batch
-    new = batch.join(existing.select(*[_q(k) for k in keys]), list(keys), "left_anti")
-    return existing.unionByName(new.select(*[_q(c) for c in existing.columns]))
+    return batch.join(existing.select(*[_q(k) for k in keys]), list(keys), "left_anti")
 
 
 def upsert_update(

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimspark.operators.upsert import insert_new_keys, skip_loaded
+from dimspark.operators.upsert import new_key_rows, skip_loaded
 from dimspark.plans import immigration as im
 from dimspark.plans import music
 from dimspark.plans.quality import check_non_empty, check_unique
@@ -110,15 +110,21 @@ def load_music_warehouse(
         return None if truncate_dims else read_latest(spark, f"{root}/{name}")
 
     v = next_version(spark, f"{root}/songplays")
-    dims = {
-        "songs": insert_new_keys(prev("songs"), music.build_songs(so, "distinct"), ["song_id"], music.SONG_COLUMNS[1:]),
-        "artists": insert_new_keys(prev("artists"), music.build_artists(so, "distinct"), ["artist_id"],
-                                   music.ARTIST_COLUMNS[1:]),
-        "users": music.build_users(ev, "upsert", existing=prev("users")),
-        "time": insert_new_keys(prev("time"), music.build_time(ev, "number"), ["start_time"], ["start_time"]),
+    # Insert-only dimensions (K11): write just the new keys as a delta once
+    # the table exists. Users (K12) change in place: a new full version.
+    insert_only = {
+        "songs": (music.build_songs(so, "distinct"), ["song_id"], music.SONG_COLUMNS),
+        "artists": (music.build_artists(so, "distinct"), ["artist_id"], music.ARTIST_COLUMNS),
+        "time": (music.build_time(ev, "number"), ["start_time"], music.TIME_COLUMNS),
     }
-    for name, df in dims.items():
-        write_version(df, f"{root}/{name}", v)
+    for name, (batch, key, cols) in insert_only.items():
+        stored = prev(name)
+        new = new_key_rows(stored, batch, key, [c for c in cols if c not in key]).select(*cols)
+        if stored is None:
+            write_version(new, f"{root}/{name}", v)
+        else:
+            write_delta(new, f"{root}/{name}", v)
+    write_version(music.build_users(ev, "upsert", existing=prev("users")), f"{root}/users", v)
     songs_t = read_latest(spark, f"{root}/songs")
     artists_t = read_latest(spark, f"{root}/artists")
     if match == "lookup":
@@ -186,7 +192,11 @@ def load_new_logs(spark: SparkSession, log_paths: str | Sequence[str], tables_ro
     logs = read_logs(spark, log_paths)
     v = max(next_version(spark, f"{root}/users"), next_version(spark, f"{root}/time"))
     users = music.build_users(logs, "upsert", existing=read_latest(spark, f"{root}/users"))
-    time_t = insert_new_keys(read_latest(spark, f"{root}/time"), music.build_time(logs), ["start_time"], ["start_time"])
+    stored_time = read_latest(spark, f"{root}/time")
+    new_time = new_key_rows(stored_time, music.build_time(logs), ["start_time"], ["start_time"])
     write_version(users, f"{root}/users", v)
-    write_version(time_t, f"{root}/time", v)
+    if stored_time is None:
+        write_version(new_time, f"{root}/time", v)
+    else:
+        write_delta(new_time, f"{root}/time", v)
     return v

@@ -6,7 +6,8 @@ picked up by a Structured Streaming file source; each micro-batch runs
 the same batch builders through ``foreachBatch``:
 
 * users: K12 upsert merged into the previous version of the table,
-* time: K11 insert of start times not yet stored,
+* time: K11 insert of start times not yet stored (only the new ones are
+  written, as a delta folder),
 * songplays: the batch's plays written to their own batch folder.
 
 Every table version is written to a new folder named by the batch id,
@@ -21,10 +22,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from dimspark.operators.upsert import insert_new_keys
+from dimspark.operators.upsert import new_key_rows
 from dimspark.plans import music
 from dimspark.schemas import LOG_SCHEMA
-from dimspark.sinks.versioned import committed_versions, latest_before, read_latest, version_path  # noqa: F401
+from dimspark.sinks.versioned import committed_versions, read_current, read_latest, version_path  # noqa: F401
 from dimspark.sinks.writers import write_parquet
 
 
@@ -35,18 +36,14 @@ def make_batch_loader(spark: SparkSession, target_root: str, songs: DataFrame |
 
     def load(batch: DataFrame, batch_id: int) -> None:
         users_root, time_root = f"{root}/users", f"{root}/time"
-        prev_users = latest_before(spark, users_root, batch_id)
-        users = music.build_users(
-            batch, "upsert", existing=spark.read.parquet(prev_users) if prev_users else None
-        )
+        # The tables as of the batches before this one: a re-run batch never
+        # reads its own output.
+        users = music.build_users(batch, "upsert", existing=read_current(spark, users_root, before=batch_id))
         write_parquet(users, version_path(users_root, batch_id))
 
-        prev_time = latest_before(spark, time_root, batch_id)
-        new_time = music.build_time(batch, "number")
-        time_t = insert_new_keys(
-            spark.read.parquet(prev_time) if prev_time else None, new_time, ["start_time"], ["start_time"]
-        )
-        write_parquet(time_t, version_path(time_root, batch_id))
+        stored_time = read_current(spark, time_root, before=batch_id)
+        new_time = new_key_rows(stored_time, music.build_time(batch, "number"), ["start_time"], ["start_time"])
+        write_parquet(new_time, version_path(time_root, batch_id, delta=stored_time is not None))
 
         if songs is not None and artists is not None:
             plays = music.build_songplays(batch, songs, artists, match="lookup")
