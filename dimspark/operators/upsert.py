@@ -116,7 +116,10 @@ def skip_loaded(new: DataFrame, loaded: DataFrame, new_keys: Sequence[str], load
 
     Same result as the correlated ``NOT IN (SELECT ... WHERE s.k = se.k)``:
     a left anti join on plain equality, so rows with a NULL key are kept.
+    The loaded side is reduced to its distinct keys first (a partially
+    aggregated group-by): a stored fact has many rows per key, and only
+    the key set matters, so far fewer rows are shuffled into the join.
     """
-    l = loaded.select(*[_q(k).alias(f"__sk{i}") for i, k in enumerate(loaded_keys)])
+    l = loaded.select(*[_q(k).alias(f"__sk{i}") for i, k in enumerate(loaded_keys)]).distinct()
     conds = [new[f"`{a}`"] == l[f"__sk{i}"] for i, a in enumerate(new_keys)]
     return new.join(l, conds, "left_anti")
