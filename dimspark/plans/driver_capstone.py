@@ -134,10 +134,32 @@ def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return im.valid_ports_cities(im.port_list(ports_v(spark, sf_dir)))
 
 
-@register("valid_port_cities", with_ctes(PORTS_V_SQL, VALID_CITIES_SQL) + "SELECT * FROM valid")
+def supplier_ports_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A port label list that grows with the data: one port per supplier,
+    'S<key>' -> 'SUPPLIER#..., <suffix>' (suffix as in ``ports_v``)."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    j = s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+    suffix = F.when(F.col("r_regionkey") < 3, F.substring("r_name", 1, 2)).otherwise(F.col("r_name"))
+    return j.select(
+        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("code"),
+        F.concat(F.upper("s_name"), F.lit(", "), suffix, F.lit("   ")).alias("label"),
+    )
+
+
+SUPPLIER_PORTS_V_SQL = """ports_v AS (
+  SELECT 'S' || CAST(s.s_suppkey AS VARCHAR) AS code,
+         upper(s.s_name) || ', ' || CASE WHEN r.r_regionkey < 3 THEN substr(r.r_name, 1, 2) ELSE r.r_name END
+           || '   ' AS label
+  FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+
+
+@register("valid_port_cities", with_ctes(SUPPLIER_PORTS_V_SQL, VALID_CITIES_SQL) + "SELECT * FROM valid")
 def valid_port_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C12 (F8 T15 T16 T17 T18): US ports and their title-cased cities."""
-    return _valid(spark, sf_dir)
+    """C12 (F8 T15 T16 T17 T18): US ports and their title-cased cities, over
+    a port list of one port per supplier."""
+    return im.valid_ports_cities(im.port_list(supplier_ports_v(spark, sf_dir)))
 
 
 @register("title_case", f"SELECT p_partkey, {_title_sql('p_name')} AS title FROM part")
