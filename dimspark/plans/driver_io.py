@@ -59,8 +59,8 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     "csv_roundtrip",
     with_ctes(PLAYS_V_SQL, EVENT_ROWS_SQL)
     + """, r AS (
-  SELECT TRY_CAST(CAST(sessionId AS VARCHAR) AS INTEGER) AS session_id,
-         TRY_CAST(CAST(itemInSession AS VARCHAR) AS INTEGER) AS item_session,
+  SELECT TRY_CAST(CAST(sessionId AS VARCHAR) AS BIGINT) AS session_id,
+         TRY_CAST(CAST(itemInSession AS VARCHAR) AS BIGINT) AS item_session,
          artist AS artist_name, song AS song_title,
          TRY_CAST(CAST(length AS VARCHAR) AS FLOAT) AS duration
   FROM ev)
@@ -87,8 +87,8 @@ def _events_as_log_json(spark: SparkSession, sf_dir: str, files: int) -> str:
         *[F.col(c) for c in logs.columns if c not in ("ts", "userId", "sessionId", "itemInSession")],
         F.unix_millis(F.col("ts").cast("timestamp")).alias("ts"),
         F.col("userId").cast("string").alias("userId"),
-        F.col("sessionId").cast("int").alias("sessionId"),
-        F.col("itemInSession").cast("int").alias("itemInSession"),
+        F.col("sessionId").cast("bigint").alias("sessionId"),
+        F.col("itemInSession").cast("bigint").alias("itemInSession"),
     )
     path = scratch_dir(spark, "log_json")
     raw.repartition(files, "userId").write.mode("overwrite").json(path)
@@ -299,11 +299,11 @@ def label_country_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     "staged_events_mapped",
     """SELECT CAST(NULL AS VARCHAR) AS artist, CAST(NULL AS VARCHAR) AS auth,
        CASE WHEN trim(props) <> '' THEN props END AS firstname, CAST(NULL AS VARCHAR) AS gender,
-       CAST(event_id AS INTEGER) AS iteminsession,
+       CAST(event_id AS BIGINT) AS iteminsession,
        CASE WHEN trim(event_type) <> '' THEN event_type END AS lastname, value AS length,
        CASE WHEN trim(event_type) <> '' THEN event_type END AS level, CAST(NULL AS VARCHAR) AS location,
        CAST(NULL AS VARCHAR) AS method, CASE WHEN event_type = 'error' THEN 'Error' ELSE 'NextSong' END AS page,
-       CAST(NULL AS DOUBLE) AS registration, CAST(user_id AS INTEGER) AS sessionid, CAST(NULL AS VARCHAR) AS song,
+       CAST(NULL AS DOUBLE) AS registration, CAST(user_id AS BIGINT) AS sessionid, CAST(NULL AS VARCHAR) AS song,
        CAST(NULL AS INTEGER) AS status, date_trunc('millisecond', ts) AS ts, CAST(NULL AS VARCHAR) AS useragent,
        CAST(user_id AS VARCHAR) AS userid
 FROM events""",

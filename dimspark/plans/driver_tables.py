@@ -41,8 +41,8 @@ EVENT_ROWS_SQL = """ev AS (SELECT * FROM plays_v WHERE artist IS NOT NULL AND ar
 SONGS_SESSIONS_SQL = (
     with_ctes(PLAYS_V_SQL, EVENT_ROWS_SQL)
     + """, r AS (
-  SELECT TRY_CAST(CAST(sessionId AS VARCHAR) AS INTEGER) AS session_id,
-         TRY_CAST(CAST(itemInSession AS VARCHAR) AS INTEGER) AS item_session,
+  SELECT TRY_CAST(CAST(sessionId AS VARCHAR) AS BIGINT) AS session_id,
+         TRY_CAST(CAST(itemInSession AS VARCHAR) AS BIGINT) AS item_session,
          artist AS artist_name, song AS song_title,
          TRY_CAST(CAST(length AS VARCHAR) AS FLOAT) AS duration, ts
   FROM ev)
@@ -56,9 +56,9 @@ SELECT session_id, item_session, artist_name, song_title, duration FROM (
 SONGS_USERS_SQL = (
     with_ctes(PLAYS_V_SQL, EVENT_ROWS_SQL)
     + """, r AS (
-  SELECT TRY_CAST(CAST(userId AS VARCHAR) AS INTEGER) AS user_id,
-         TRY_CAST(CAST(sessionId AS VARCHAR) AS INTEGER) AS session_id,
-         TRY_CAST(CAST(itemInSession AS VARCHAR) AS INTEGER) AS item_session,
+  SELECT TRY_CAST(CAST(userId AS VARCHAR) AS BIGINT) AS user_id,
+         TRY_CAST(CAST(sessionId AS VARCHAR) AS BIGINT) AS session_id,
+         TRY_CAST(CAST(itemInSession AS VARCHAR) AS BIGINT) AS item_session,
          firstName AS first_name, lastName AS last_name, artist AS artist_name, song AS song_title, ts
   FROM ev)
 SELECT user_id, session_id, item_session, first_name, last_name, artist_name, song_title FROM (
@@ -71,7 +71,7 @@ SELECT user_id, session_id, item_session, first_name, last_name, artist_name, so
 MUSIC_HIST_SQL = (
     with_ctes(PLAYS_V_SQL, EVENT_ROWS_SQL)
     + """, r AS (
-  SELECT song AS song_title, TRY_CAST(CAST(userId AS VARCHAR) AS INTEGER) AS user_id,
+  SELECT song AS song_title, TRY_CAST(CAST(userId AS VARCHAR) AS BIGINT) AS user_id,
          firstName AS first_name, lastName AS last_name, ts
   FROM ev)
 SELECT song_title, user_id, first_name, last_name FROM (

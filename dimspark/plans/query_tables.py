@@ -64,8 +64,8 @@ def _last_wins(rows: DataFrame, keys: Sequence[str], cols: Sequence[str], order:
 def songs_sessions(events: DataFrame, order: Sequence[str] = ()) -> DataFrame:
     """C6 table: PRIMARY KEY (session_id, item_session)."""
     rows = events.select(
-        F.col("sessionId").cast("string").try_cast("int").alias("session_id"),
-        F.col("itemInSession").cast("string").try_cast("int").alias("item_session"),
+        F.col("sessionId").cast("string").try_cast("bigint").alias("session_id"),
+        F.col("itemInSession").cast("string").try_cast("bigint").alias("item_session"),
         F.col("artist").alias("artist_name"),
         F.col("song").alias("song_title"),
         F.col("length").cast("string").try_cast("float").alias("duration"),
@@ -77,9 +77,9 @@ def songs_sessions(events: DataFrame, order: Sequence[str] = ()) -> DataFrame:
 def songs_users(events: DataFrame, order: Sequence[str] = ()) -> DataFrame:
     """C7 table: PRIMARY KEY ((user_id, session_id), item_session)."""
     rows = events.select(
-        F.col("userId").cast("string").try_cast("int").alias("user_id"),
-        F.col("sessionId").cast("string").try_cast("int").alias("session_id"),
-        F.col("itemInSession").cast("string").try_cast("int").alias("item_session"),
+        F.col("userId").cast("string").try_cast("bigint").alias("user_id"),
+        F.col("sessionId").cast("string").try_cast("bigint").alias("session_id"),
+        F.col("itemInSession").cast("string").try_cast("bigint").alias("item_session"),
         F.col("firstName").alias("first_name"),
         F.col("lastName").alias("last_name"),
         F.col("artist").alias("artist_name"),
@@ -98,7 +98,7 @@ def music_hist(events: DataFrame, order: Sequence[str] = ()) -> DataFrame:
     """C8 table: PRIMARY KEY (song_title, user_id)."""
     rows = events.select(
         F.col("song").alias("song_title"),
-        F.col("userId").cast("string").try_cast("int").alias("user_id"),
+        F.col("userId").cast("string").try_cast("bigint").alias("user_id"),
         F.col("firstName").alias("first_name"),
         F.col("lastName").alias("last_name"),
         *[F.col(c) for c in order],

@@ -4,6 +4,11 @@ Reading with a declared schema skips the inference pass over the data.
 Spark's JSON and CSV readers make every field nullable whatever the
 schema says, so NOT NULL is enforced by checks (``plans.quality``), not
 by the flags below.
+
+Identifiers that count events (session ids, item numbers, user ids) are
+64-bit here, where the reference declares 32-bit int: at the target scale
+they pass 2^31, and a 32-bit column would fail the cast or turn them into
+NULLs. Values that fit in 32 bits read the same either way.
 """
 
 from pyspark.sql import types as T
@@ -29,7 +34,7 @@ LOG_SCHEMA = T.StructType(
         T.StructField("auth", T.StringType()),
         T.StructField("firstName", T.StringType()),
         T.StructField("gender", T.StringType()),
-        T.StructField("itemInSession", T.IntegerType()),
+        T.StructField("itemInSession", T.LongType()),
         T.StructField("lastName", T.StringType()),
         T.StructField("length", T.DoubleType()),
         T.StructField("level", T.StringType()),
@@ -37,7 +42,7 @@ LOG_SCHEMA = T.StructType(
         T.StructField("method", T.StringType()),
         T.StructField("page", T.StringType()),
         T.StructField("registration", T.DoubleType()),
-        T.StructField("sessionId", T.IntegerType()),
+        T.StructField("sessionId", T.LongType()),
         T.StructField("song", T.StringType()),
         T.StructField("status", T.IntegerType()),
         T.StructField("ts", T.LongType()),
@@ -73,7 +78,7 @@ STAGING_EVENTS_MAPPING = {
 # Target tables (DDL for ``sinks.writers.create_table``).
 TABLE_DDL = {
     "songplays": "songplay_id STRING, start_time TIMESTAMP, user_id BIGINT, level STRING, song_id STRING, "
-    "artist_id STRING, session_id INT, location STRING, user_agent STRING, year INT, month INT",
+    "artist_id STRING, session_id BIGINT, location STRING, user_agent STRING, year INT, month INT",
     "users": "user_id BIGINT, first_name STRING, last_name STRING, gender STRING, level STRING",
     "songs": "song_id STRING, title STRING, artist_id STRING, year INT, duration DOUBLE",
     "artists": "artist_id STRING, name STRING, location STRING, latitude DOUBLE, longitude DOUBLE",
