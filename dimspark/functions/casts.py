@@ -19,14 +19,23 @@ def try_cast(c, to: str) -> Column:
     return as_col(c).try_cast(to)
 
 
-def cast_type_columns(df: DataFrame, from_type: str = "double", to: str = "int") -> DataFrame:
+def cast_type_columns(
+    df: DataFrame, from_type: str = "double", to: str = "int", wide: Iterable[str] = (), wide_to: str = "bigint"
+) -> DataFrame:
     """P10: cast every column whose type is ``from_type`` to ``to``.
 
     One ``select`` built from ``df.dtypes``; doubles are cut towards zero.
+    Columns named in ``wide`` (identifiers that may pass 2^31) go to
+    ``wide_to`` instead, so they are never cut to NULL.
     """
+    wide = set(wide)
+
+    def target(name: str) -> str:
+        return wide_to if name in wide else to
+
     return df.select(
         [
-            (try_cast(F.col(f"`{name}`"), to) if dtype == from_type else F.col(f"`{name}`")).alias(name)
+            (try_cast(F.col(f"`{name}`"), target(name)) if dtype == from_type else F.col(f"`{name}`")).alias(name)
             for name, dtype in df.dtypes
         ]
     )

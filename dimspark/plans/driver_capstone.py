@@ -221,9 +221,9 @@ def state_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SUMMARY_SQL = """sm AS (
   SELECT "State Code", "State",
-         TRY_CAST(SUM(TRY_CAST("Total Population" AS DOUBLE)) AS INTEGER) AS total_population,
-         TRY_CAST(SUM(TRY_CAST("Number of Veterans" AS DOUBLE)) AS INTEGER) AS num_veterans,
-         TRY_CAST(SUM(TRY_CAST("Foreign-born" AS DOUBLE)) AS INTEGER) AS foreign_born,
+         TRY_CAST(SUM(TRY_CAST("Total Population" AS DOUBLE)) AS BIGINT) AS total_population,
+         TRY_CAST(SUM(TRY_CAST("Number of Veterans" AS DOUBLE)) AS BIGINT) AS num_veterans,
+         TRY_CAST(SUM(TRY_CAST("Foreign-born" AS DOUBLE)) AS BIGINT) AS foreign_born,
          ROUND(AVG(TRY_CAST("Average Household Size" AS DOUBLE)), 2) AS avg_hh_size
   FROM (SELECT * FROM (
           SELECT *, ROW_NUMBER() OVER (PARTITION BY "State Code", "City"
@@ -331,6 +331,10 @@ def _int(x: str) -> str:
     return f"TRY_CAST(trunc({x}) AS INTEGER)"
 
 
+def _bigint(x: str) -> str:
+    return f"TRY_CAST(trunc({x}) AS BIGINT)"
+
+
 def _sas(x: str) -> str:
     return f"CASE WHEN {x} IS NOT NULL AND {x} <> 0 THEN CAST(DATE '1960-01-01' + CAST(floor({x}) AS INTEGER) AS DATE) END"
 
@@ -338,8 +342,8 @@ def _sas(x: str) -> str:
 FACT_SQL = (
     with_ctes(PORTS_V_SQL, VALID_CITIES_SQL, RECORDS_V_SQL)
     + f""", f AS (
-  SELECT {_int('cicid')} AS im_id, i94port AS port_id, {_int('i94visa')} AS visa_id, i94addr AS state_id,
-         {_int('i94mode')} AS mode_id, {_int('i94cit')} AS country_id_cit, {_int('i94res')} AS country_id_res,
+  SELECT {_bigint('cicid')} AS im_id, i94port AS port_id, {_int('i94visa')} AS visa_id, i94addr AS state_id,
+         {_int('i94mode')} AS mode_id, {_bigint('i94cit')} AS country_id_cit, {_bigint('i94res')} AS country_id_res,
          {_int('i94yr')} AS im_yr, {_int('i94mon')} AS im_mon, {_int('i94bir')} AS bir_yr, gender,
          {_sas(_int('depdate'))} AS depdate, {_sas(_int('arrdate'))} AS arrdate
   FROM records_v WHERE i94port IN (SELECT port_id FROM valid))
