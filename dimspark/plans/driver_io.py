@@ -103,6 +103,11 @@ def json_time_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(music.build_time(read_logs(spark, path), "number"), "start_time")
 
 
+# An availableNow stream stops by itself once the files present are loaded;
+# this bound only turns a stuck stream into an error.
+STREAM_TIMEOUT_SEC = 1800
+
+
 @register("stream_users", USERS_UPSERT_SQL)
 def stream_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """§2.10: log files loaded as a stream, one file per micro-batch; the
@@ -110,7 +115,9 @@ def stream_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _events_as_log_json(spark, sf_dir, 4)
     target = scratch_dir(spark, "stream_tables")
     q = start_log_stream(spark, src, target, scratch_dir(spark, "stream_ckpt"), max_files_per_trigger=1)
-    q.awaitTermination()
+    if not q.awaitTermination(STREAM_TIMEOUT_SEC):
+        q.stop()
+        raise TimeoutError(f"log stream did not finish within {STREAM_TIMEOUT_SEC} s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return read_latest(spark, f"{target}/users")
