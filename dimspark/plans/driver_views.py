@@ -118,7 +118,9 @@ def plays_v(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_retailprice").alias("length"),
         F.col("o_orderpriority").alias("level"),
         F.col("o_orderstatus").alias("location"),
-        F.when(F.col("l_returnflag") == "N", F.lit("NextSong")).otherwise(F.lit("Home")).alias("page"),
+        # Null-safe test (a NULL flag is 'Home' either way): ``page = 'NextSong'``
+        # then simplifies to ``l_returnflag <=> 'N'``, which reaches the scan.
+        F.when(F.col("l_returnflag").eqNullSafe("N"), F.lit("NextSong")).otherwise(F.lit("Home")).alias("page"),
         F.col("l_orderkey").alias("sessionId"),
         F.when(F.col("l_linenumber") == 1, F.lit(None).cast("string")).otherwise(F.col("p_name")).alias("song"),
         F.col("l_shipdate").alias("ts"),
