@@ -13,6 +13,13 @@ run time (skew join). ``salt_buckets`` adds static salting on top for
 plans that run without AQE: fact rows get a salt from a hash of their
 own columns and the (already unique) dimension rows are copied once per
 salt value, so the result is exact and no row is dropped.
+
+Fact rows whose key has a NULL can never match, but an outer join keeps
+them, and in a shuffled join they all hash to one partition. The left
+joins therefore add one join key, ``__nk``: 0 for rows with a full key
+and a hash bucket of the row (1..NULL_KEY_BUCKETS) otherwise, with 0 on
+the dimension side. NULL-key rows then spread over many partitions and
+still match nothing.
 """
 
 from __future__ import annotations
@@ -21,6 +28,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimspark.operators.dedupe import keep_first
 
@@ -33,6 +41,24 @@ def _conds(facts: DataFrame, dim: DataFrame, fact_keys, dim_keys):
     return [facts[f"`{a}`"] == dim[f"`{b}`"] for a, b in zip(fact_keys, dim_keys)]
 
 
+# Buckets over which fact rows with a NULL join key are spread.
+NULL_KEY_BUCKETS = 1024
+
+
+def null_key_bucket(df: DataFrame, keys: Sequence[str], buckets: int = NULL_KEY_BUCKETS):
+    """0 when every key column is set, else a bucket 1..``buckets`` from a
+    hash of the whole row (the same row always gets the same bucket)."""
+    any_null = None
+    for k in keys:
+        c = _q(k).isNull()
+        any_null = c if any_null is None else any_null | c
+    hashable = [_q(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    if not hashable:
+        return F.lit(0).cast("bigint")
+    spread = F.pmod(F.xxhash64(*hashable), F.lit(buckets)) + 1
+    return F.when(any_null, spread).otherwise(F.lit(0).cast("bigint"))
+
+
 def lookup_left(
     facts: DataFrame,
     dim: DataFrame,
@@ -57,12 +83,13 @@ def lookup_left(
     ).where(F.expr(" AND ".join(f"{t} IS NOT NULL" for t in tmp_keys)))
     ord_cols = [tmp_vals[values.index(o)] for o in order] if order else tmp_vals
     d = keep_first(d, tmp_keys, ord_cols)
-    f = facts
+    f = facts.withColumn("__nk", null_key_bucket(facts, fact_keys))
+    d = d.withColumn("__nk", F.lit(0).cast("bigint"))
     join_keys = list(zip(fact_keys, tmp_keys))
     if salt_buckets and salt_buckets > 1:
         f = f.withColumn("__salt", F.pmod(F.xxhash64(*[_q(c) for c in facts.columns]), F.lit(salt_buckets)))
         d = d.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<bigint>")))
-    conds = [f[f"`{a}`"] == d[b] for a, b in join_keys]
+    conds = [f[f"`{a}`"] == d[b] for a, b in join_keys] + [f["__nk"] == d["__nk"]]
     if salt_buckets and salt_buckets > 1:
         conds.append(f["__salt"] == d["__salt"])
     out = f.join(d, conds, "left")
@@ -73,9 +100,13 @@ def left_join_all(
     facts: DataFrame, dim: DataFrame, fact_keys: Sequence[str], dim_keys: Sequence[str], values: Sequence[str]
 ) -> DataFrame:
     """Plain left equi-join; a fact matching k dimension rows gives k rows."""
-    d = dim.select(*[_q(k).alias(f"__lk{i}") for i, k in enumerate(dim_keys)], *[_q(v) for v in values])
-    conds = [facts[f"`{a}`"] == d[f"__lk{i}"] for i, a in enumerate(fact_keys)]
-    return facts.join(d, conds, "left").select(*[facts[f"`{c}`"] for c in facts.columns], *[d[f"`{v}`"] for v in values])
+    d = dim.select(
+        *[_q(k).alias(f"__lk{i}") for i, k in enumerate(dim_keys)], *[_q(v) for v in values],
+        F.lit(0).cast("bigint").alias("__nk"),
+    )
+    f = facts.withColumn("__nk", null_key_bucket(facts, fact_keys))
+    conds = [f[f"`{a}`"] == d[f"__lk{i}"] for i, a in enumerate(fact_keys)] + [f["__nk"] == d["__nk"]]
+    return f.join(d, conds, "left").select(*[f[f"`{c}`"] for c in facts.columns], *[d[f"`{v}`"] for v in values])
 
 
 def inner_join(

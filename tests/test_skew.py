@@ -90,3 +90,35 @@ def test_aggregates_on_hot_key(spark):
     avg = {r["grp"]: r["avg"] for r in two_level_avg(df, "k", "ts", mapping, "grp").collect()}
     hot_avg = round(sum(r[3] for r in data if r[1] == "hot") / (N // 3), 2)
     assert avg["H"] == hot_avg
+
+
+def test_null_keys_spread_and_never_match(spark):
+    """A third of the facts have a NULL key: left joins and the skip-loaded
+    anti join keep them (values NULL), match none of them, and give the
+    same rows as without the spreading column."""
+    from dimspark.operators.lookup import left_join_all, null_key_bucket
+    from dimspark.operators.upsert import skip_loaded
+
+    data = [(i, None if i % 3 == 0 else f"k{i % 50}", i % 7) for i in range(3000)]
+    facts = spark.createDataFrame(data, "id long, k string, s int").repartition(8)
+    dim = spark.createDataFrame([(f"k{j}", j) for j in range(0, 50, 2)], "k string, v int")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force shuffled joins
+    try:
+        got = lookup_left(facts, dim, ["k"], ["k"], ["v"])
+        want = {i: (None if k is None or int(k[1:]) % 2 else int(k[1:])) for i, k, _ in data}
+        assert {r["id"]: r["v"] for r in got.collect()} == want
+        assert got.count() == len(data)
+        all3 = left_join_all(facts, dim, ["k"], ["k"], ["v"])
+        assert rows(all3) == rows(got)
+        loaded = spark.createDataFrame([("k2", 1), (None, 2)], "k string, s int")
+        kept = skip_loaded(facts, loaded, ["k"], ["k"])
+        assert sorted(r["id"] for r in kept.collect()) == sorted(i for i, k, _ in data if k != "k2")
+        # NULL-key rows land in many shuffle partitions, not one
+        b = facts.withColumn("b", null_key_bucket(facts, ["k"]))
+        nulls = b.where("k IS NULL")
+        assert nulls.where("b = 0").count() == 0
+        assert nulls.select("b").distinct().count() > 100
+        assert b.where("k IS NOT NULL AND b <> 0").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
