@@ -29,15 +29,25 @@ def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool)
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*[_q(k) for k in keys]).distinct()
+    # Rank by the order columns, then by the other columns (ties). A value
+    # column that is also an order column is carried once, in the order
+    # part: rows tied on the order agree on it anyway.
+    extra = [c for c in rest if c not in order]
     ranked = F.struct(
         F.struct(*[_q(c).alias(f"o{i}") for i, c in enumerate(order)]).alias("o"),
-        F.struct(*[_q(c) for c in rest]).alias("r"),
+        F.struct(*[_q(c) for c in extra]).alias("r"),
     )
     agg = F.max(ranked) if last else F.min(ranked)
+
+    def value(c: str):
+        if c in order:
+            return F.col("__pick.o").getField(f"o{order.index(c)}").alias(c)
+        return F.col("__pick.r").getField(c).alias(c)
+
     return (
         df.groupBy(*[_q(k) for k in keys])
         .agg(agg.alias("__pick"))
-        .select(*[_q(k) for k in keys], *[F.col("__pick.r").getField(c).alias(c) for c in rest])
+        .select(*[_q(k) for k in keys], *[value(c) for c in rest])
         .select(*[_q(c) for c in df.columns])
     )
 
