@@ -76,11 +76,26 @@ def upsert_update(
         columns = [c for c in incoming.columns if c not in keys and c not in order]
     values = [c for c in columns if c not in keys]
     others = [c for c in values if c not in update_cols]
-    ordk = F.struct(*[_q(c).alias(f"o{i}") for i, c in enumerate(order)], *[_q(c) for c in values])
-    aggs = [F.min_by(_q(c), ordk).alias(c) for c in others]
-    aggs += [F.max_by(_q(c), ordk).alias(c) for c in update_cols]
+    # One struct per row: the order, then every value column (ties ranked
+    # by the values). Its minimum is the first row of the key, its maximum
+    # the last; the values are read from those two structs, so each
+    # partial-aggregate row carries two structs, not one per column.
+    ordk = F.struct(*[_q(c).alias(f"__o{i}") for i, c in enumerate(order)], *[_q(c) for c in values])
+    aggs = []
+    if others:
+        aggs.append(F.min(ordk).alias("__first"))
+    if update_cols:
+        aggs.append(F.max(ordk).alias("__last"))
     cols = [*keys, *values]
-    batch = incoming.groupBy(*[_q(k) for k in keys]).agg(*aggs)
+    batch = (
+        incoming.groupBy(*[_q(k) for k in keys])
+        .agg(*aggs)
+        .select(
+            *[_q(k) for k in keys],
+            *[F.col("__first").getField(c).alias(c) for c in others],
+            *[F.col("__last").getField(c).alias(c) for c in update_cols],
+        )
+    )
     if existing is None:
         return batch.select(*[_q(c) for c in cols])
     batch = batch.withColumn("__in_batch", F.lit(True))

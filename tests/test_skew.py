@@ -62,7 +62,7 @@ def test_upserts_on_hot_key(spark):
         first = min(rs, key=lambda r: (r[3], r[0]))
         last = max(rs, key=lambda r: (r[3], r[0]))
         assert got[k] == (first[4], last[2])
-    assert "partial_min_by" in _plan(users)
+    assert "partial_min" in _plan(users) and "partial_max" in _plan(users)
     replaced = upsert_replace(None, df, ["k"], ["ts", "id"])
     assert replaced.count() == len(by_key)
 
