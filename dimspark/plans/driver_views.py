@@ -154,7 +154,7 @@ def events_log_v(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("length"),
         F.col("event_type").alias("level"),
         F.lit(None).cast("string").alias("location"),
-        F.when(F.col("event_type") == "error", F.lit("Error")).otherwise(F.lit("NextSong")).alias("page"),
+        F.when(F.col("event_type").eqNullSafe("error"), F.lit("Error")).otherwise(F.lit("NextSong")).alias("page"),
         F.col("user_id").alias("sessionId"),
         F.lit(None).cast("string").alias("song"),
         F.col("ts"),
