@@ -24,7 +24,15 @@ from dimspark.operators.upsert import new_key_rows, skip_loaded
 from dimspark.plans import immigration as im
 from dimspark.plans import music
 from dimspark.plans.quality import check_non_empty, check_unique
-from dimspark.sinks.versioned import next_version, read_current, read_latest, write_delta, write_version
+from dimspark.sinks.versioned import (
+    compact,
+    deltas_since_base,
+    next_version,
+    read_current,
+    read_latest,
+    write_delta,
+    write_version,
+)
 from dimspark.sinks.writers import write_parquet
 from dimspark.sources.files import read_csv_dir, read_logs, read_records, read_songs
 from dimspark.sources.labels import named_label_pairs, read_label_files
@@ -88,6 +96,7 @@ def load_music_warehouse(
     fact_mode: str = "skip_loaded",
     truncate_dims: bool = False,
     match: str = "lookup",
+    compact_after: int | None = 24,
 ) -> dict[str, int]:
     """Staged tables -> versioned fact and dimension tables.
 
@@ -98,7 +107,9 @@ def load_music_warehouse(
     ``truncate_dims`` (K5) rebuilds them from the staged rows alone.
     The fact is append-only: ``append`` and ``skip_loaded`` write only the
     load's new rows (a delta folder), so a load's write grows with the new
-    rows, not with the whole fact table.
+    rows, not with the whole fact table. A table with more than
+    ``compact_after`` deltas since its last full version is compacted after
+    the load (24: a day of hourly loads; ``None`` never compacts).
     """
     if fact_mode not in FACT_MODES:
         raise ValueError(f"fact_mode must be one of {FACT_MODES}")
@@ -109,7 +120,9 @@ def load_music_warehouse(
     def prev(name: str) -> DataFrame | None:
         return None if truncate_dims else read_latest(spark, f"{root}/{name}")
 
-    v = next_version(spark, f"{root}/songplays")
+    # One id for the whole load, above every table's newest folder (a
+    # compaction may have given one table a higher id than the others).
+    v = max(next_version(spark, f"{root}/{n}") for n in ("songs", "artists", "users", "time", "songplays"))
     # Insert-only dimensions (K11): write just the new keys as a delta once
     # the table exists. Users (K12) change in place: a new full version.
     insert_only = {
@@ -139,6 +152,10 @@ def load_music_warehouse(
         if fact_mode == "skip_loaded":
             plays = skip_loaded(plays, current, ["user_id", "session_id"], ["user_id", "session_id"])
         write_delta(plays, f"{root}/songplays", v)
+    if compact_after is not None:
+        for name in ("songs", "artists", "time", "songplays"):
+            if deltas_since_base(spark, f"{root}/{name}") > compact_after:
+                compact(spark, f"{root}/{name}")
     return check_non_empty({n: read_latest(spark, f"{root}/{n}") for n in ("songs", "artists", "users", "time", "songplays")})
 
 

@@ -101,6 +101,13 @@ def write_delta(df: DataFrame, root: str, version: int, partition_by=()) -> str:
     return path
 
 
+def deltas_since_base(spark: SparkSession, root: str) -> int:
+    """Number of delta folders a read of the table scans besides its base."""
+    return max(len(current_paths(spark, root)) - 1, 0) if any(
+        k == VERSION_PREFIX for _, k in _committed(spark, root)
+    ) else len(current_paths(spark, root))
+
+
 def compact(spark: SparkSession, root: str) -> str | None:
     """Write the current table (base + deltas) as a new full version, so
     later reads scan one folder instead of many."""

@@ -119,3 +119,24 @@ def test_fact_loads_write_deltas(spark, tmp_dir):
     assert committed_versions(spark, fact) == [0, 1, 2]
     assert rows(spark.read.parquet(version_path(fact, 2))) == before
     assert rows(read_current(spark, fact)) == before
+
+
+def test_warehouse_compacts_after_many_deltas(spark, tmp_dir):
+    """With compact_after=1, the second delta triggers a compaction; the
+    tables read the same before and after, and later loads still land."""
+    from dimspark.sinks.versioned import deltas_since_base, read_current
+
+    root = os.path.join(tmp_dir, "dw")
+    songs = read_songs(spark, write_song_tree(tmp_dir))
+    nov = os.path.join(tmp_dir, "nov")
+    write_json_lines(os.path.join(nov, "a.json"), LOGS_NOV)
+    ev_nov, ev_all = read_logs(spark, nov), read_logs(spark, write_log_tree(tmp_dir))
+    loads.load_music_warehouse(spark, ev_nov, songs, root, compact_after=1)
+    loads.load_music_warehouse(spark, ev_all, songs, root, fact_mode="append", compact_after=1)
+    c3 = loads.load_music_warehouse(spark, ev_all, songs, root, fact_mode="append", compact_after=1)
+    fact = os.path.join(root, "songplays")
+    assert deltas_since_base(spark, fact) == 0  # two deltas were folded into a full version
+    assert c3["songplays"] == 4 + 7 + 7
+    c4 = loads.load_music_warehouse(spark, ev_all, songs, root, fact_mode="append", compact_after=1)
+    assert c4["songplays"] == 4 + 7 + 7 + 7
+    assert read_current(spark, os.path.join(root, "time")).count() == c4["time"]
