@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from dimspark.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -49,11 +50,11 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    missing = set(catalog.queries()) - set(catalog.oracle_sql())
     assert not missing, missing
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, duck, name):
     sdf = entry.queries()[name](spark, SF)
     srows = [tuple(r) for r in sdf.collect()]
@@ -78,7 +79,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_plan_shape(spark, name):
     df = entry.queries()[name](spark, SF)
     df.write.format("noop").mode("overwrite").save()
