@@ -7,13 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimspark.llm import substring_dedup
+from dimspark.llm import decontaminate, near_dedup, packing, substring_dedup
 from dimspark.session import apply_runtime_conf
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": substring_dedup.query,
+    "op3_near_dedup": near_dedup.query,
+    "op8_decontaminate": decontaminate.query,
+    "op10_packing": packing.query,
 }
 
 # Only what SQL can express; the others are tested against brute force.
