@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimspark.llm import decontaminate, near_dedup, packing, substring_dedup
+from dimspark.llm import chat, decontaminate, near_dedup, packing, sharding, substring_dedup, toxicity
+from dimspark.llm.ship import ship
 from dimspark.session import apply_runtime_conf
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,7 +16,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": substring_dedup.query,
     "op3_near_dedup": near_dedup.query,
+    "op6_toxicity": toxicity.query,
+    "op7_sharding": sharding.query,
     "op8_decontaminate": decontaminate.query,
+    "op9_chat_format": chat.query,
     "op10_packing": packing.query,
 }
 
@@ -27,6 +31,7 @@ def _with_settings(fn: Query) -> Query:
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_runtime_conf(spark)
+        ship(spark)
         return fn(spark, sf_dir)
 
     return run
