@@ -62,7 +62,17 @@ def store(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     the lineage, and a lost executor loses nothing."""
     path = scratch_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.scratch_path = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete tables made by store() that nothing will read again."""
+    for df in stored:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_chunks(spark: SparkSession, docs: DataFrame, text: str, chunk_bytes: int = CHUNK_BYTES) -> Chunks:

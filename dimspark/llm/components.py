@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimspark.llm.chunks import store
+from dimspark.llm.chunks import discard, store
 
 
 class UnionFind:
@@ -63,7 +63,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     )
     before = _sum(edges)
     while before[0]:
-        edges = store(spark, _small_star(_large_star(edges)), "links")
+        old, edges = edges, store(spark, _small_star(_large_star(edges)), "links")
+        discard(old)
         now = _sum(edges)
         if now == before:
             break

@@ -265,11 +265,28 @@ def matches(
     return every.groupBy(id_col, "hash").applyInArrow(_merge(id_col), f"`{id_col}` {kind}, {FOUND}")
 
 
-def remove(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """docs without those that hold a window of an item. Rows whose id is
-    null are kept or dropped together."""
-    bad = matches(docs, items, id_col=id_col, **options).where("n_hit > 0").select(F.col(id_col).alias("__id")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__id")), "left_anti")
+def _clean(shared, text_col: str):
+    def run(batches):
+        for rows in slices(batches, text_col, 2 << 20):
+            _, hit, *_ = find(rows.column(text_col), shared.value)
+            yield rows.filter(pa.array(hit == 0))
+
+    return run
+
+
+def remove(
+    docs: DataFrame,
+    items: DataFrame,
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+    window: int = 10,
+    block_words: int = 1 << 20,
+) -> DataFrame:
+    """docs without those that hold a window of an item: a filter per block."""
+    for block in _blocks(items, item_id_col, item_text_col, window, block_words):
+        docs = docs.mapInArrow(_clean(docs.sparkSession.sparkContext.broadcast(block), text_col), docs.schema)
+    return docs
 
 
 def query(spark, sf_dir: str) -> DataFrame:

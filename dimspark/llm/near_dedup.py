@@ -27,8 +27,8 @@ across them.
 Defined results: a null or empty text has no shingles, links with nothing
 and is its own component; a text of fewer words than a shingle counts as
 one shingle, its whole word sequence; rows that share an id are one node,
-linked by whatever any of its rows links; an empty table gives an empty
-table; further columns are not read.
+linked by whatever any of its rows links; rows without an id are left
+out; an empty table gives an empty table; further columns are not read.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimspark.llm.chunks import store
+from dimspark.llm.chunks import discard, store
 from dimspark.llm.components import UnionFind, components
 from dimspark.llm.text import SPACED_LOWER, U64, Words, mix, pair_hash, scan, slices
 
@@ -228,7 +228,7 @@ def near_duplicates(
     is reachable over links of Jaccard similarity >= percent/100) and kept
     (it is its own component's least id). bands x rows <= 65536."""
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
     signed = store(
         spark,
         texts.mapInArrow(_sign("id", "text", shingle, bands, rows), "id long, n long, one long, two long, bands array<long>"),
@@ -254,7 +254,7 @@ def near_duplicates(
     # Buckets in which the comparison with the least member leaves more than one component.
     named = member.join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
     split = named.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band")
-    left = store(spark, named.join(split, "band", "left_semi"), "split-buckets")
+    left = split_members = store(spark, named.join(split, "band", "left_semi"), "split-buckets")
     families = components(left.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
     left = left.select("id", "label").distinct().join(
         families.select(F.col("node").alias("id"), F.col("label").alias("family")), "id"
@@ -262,7 +262,9 @@ def near_duplicates(
     meet = _blocks(left, block).join(text, "id")
     more = meet.groupBy("family", "lo", "hi").applyInArrow(_compare(shingle, percent), "a long, b long")
 
-    final = components(links.unionByName(more)).select(F.col("node").alias("rep"), F.col("label").alias("component"))
+    final = components(links.unionByName(more))  # written: what only it needed can go
+    discard(member, text, links, split_members)
+    final = final.select(F.col("node").alias("rep"), F.col("label").alias("component"))
     of = classes.select("n", "one", "two", "rep").join(final, "rep", "left")
     out = signed.drop("bands").join(of, ["n", "one", "two"], "left")
     component = F.coalesce("component", "rep", "id")
@@ -270,6 +272,14 @@ def near_duplicates(
     return found.withColumn("kept", F.col("id") == F.col("component_id")).withColumnRenamed("id", id_col)
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """docs with one row of each group of near duplicates: that of the
+    least id. Rows without an id are kept."""
+    kept = near_duplicates(docs, id_col=id_col, **options).where("kept").select(F.col(id_col).alias("__kept"))
+    one = docs.join(kept, F.col(id_col) == F.col("__kept"), "left_semi").dropDuplicates([id_col])
+    return one.unionByName(docs.where(F.col(id_col).isNull()))
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     """op3: components of documents whose 3-word shingle sets agree to 85 %."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

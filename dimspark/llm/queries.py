@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimspark.llm import chat, decontaminate, near_dedup, packing, sharding, substring_dedup, toxicity
+from dimspark.llm import chat, decontaminate, near_dedup, packing, sharding, substring_dedup, token_output, toxicity
 from dimspark.llm.ship import ship
 from dimspark.session import apply_runtime_conf
 
@@ -16,6 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": substring_dedup.query,
     "op3_near_dedup": near_dedup.query,
+    "op4_token_output": token_output.query,
     "op6_toxicity": toxicity.query,
     "op7_sharding": sharding.query,
     "op8_decontaminate": decontaminate.query,
