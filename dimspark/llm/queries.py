@@ -7,7 +7,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimspark.llm import chat, decontaminate, near_dedup, packing, sharding, substring_dedup, token_output, toxicity
+from dimspark.llm import (
+    chat,
+    decontaminate,
+    lm_score,
+    near_dedup,
+    packing,
+    quality,
+    sharding,
+    substring_dedup,
+    token_output,
+    toxicity,
+)
 from dimspark.llm.ship import ship
 from dimspark.session import apply_runtime_conf
 
@@ -15,8 +26,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": substring_dedup.query,
+    "op2_quality": quality.query,
     "op3_near_dedup": near_dedup.query,
     "op4_token_output": token_output.query,
+    "op5_lm_score": lm_score.query,
     "op6_toxicity": toxicity.query,
     "op7_sharding": sharding.query,
     "op8_decontaminate": decontaminate.query,
@@ -25,7 +38,7 @@ QUERIES: dict[str, Query] = {
 }
 
 # Only what SQL can express; the others are tested against brute force.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_lm_score": lm_score.SQL}
 
 
 def _with_settings(fn: Query) -> Query:

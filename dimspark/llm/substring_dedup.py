@@ -29,7 +29,7 @@ Defined results: a null or empty text has no words and stays as it is; a
 text of fewer than ``window`` words is never cut; repeated rows with one
 id count as different occurrences, in an order fixed by the stored chunks;
 an empty table gives an empty table; further columns are kept as they are,
-whatever their names (columns beginning with ``__`` excepted).
+but for ``n_words`` and ``n_removed``, which are replaced.
 """
 
 from __future__ import annotations
@@ -225,6 +225,7 @@ def remove_repeats(
     table that the returned DataFrame still reads; drop it when done.
     """
     spark = docs.sparkSession
+    docs = docs.drop("n_words", "n_removed")
     stored = C.write_chunks(spark, docs, text_col)
     n, columns = stored.buckets, docs.columns
 
@@ -278,10 +279,9 @@ def remove_repeats(
     prints = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(ask_prints, C.ASK)
     firsts = C.store(spark, prints.groupBy("bucket").applyInArrow(_first, C.ANSWER), "recompress-firsts")
     schema = T.StructType(
-        [f for f in docs.schema.fields if f.name not in ("n_words", "n_removed")]
+        docs.schema.fields
         + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
     )
-    columns = [f.name for f in schema.fields[:-2]]
     both = shared.unionByName(firsts)
     return by_chunk.cogroup(both.groupBy("chunk")).applyInArrow(cut_words, schema), stored
 
