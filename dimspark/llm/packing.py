@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from dimspark.llm.chunks import store
 from dimspark.llm.text import slices
-from dimspark.llm.tokens import WordEncoder, default_path
+from dimspark.llm.tokens import default_path, encoder
 
 Config = tuple[tuple[int, int], ...]  # ((length, how many), ...)
 
@@ -177,9 +177,9 @@ def plan(histogram: dict[int, int], capacity: int, rounds: int = 60, slack: floa
 
 def _pieces(path: str, capacity: int, end: int, id_col: str, text_col: str):
     def cut(batches):
-        encoder = WordEncoder(path)
+        words = encoder(path)
         for b in slices(batches, text_col, 2 << 20):
-            ids, offsets = encoder.encode(b.column(text_col), end)
+            ids, offsets = words.encode(b.column(text_col), end)
             raw = memoryview(ids.astype("<u4").view(np.uint8))
             size = np.diff(offsets)
             n = -(-size // capacity)
