@@ -41,11 +41,19 @@ def cast_type_columns(
     )
 
 
-def select_renamed(df: DataFrame, columns: Iterable[str], renames: Mapping[str, str]) -> DataFrame:
-    """Keep ``columns`` in order, renaming those found in ``renames``."""
-    return df.select([F.col(f"`{c}`").alias(renames.get(c, c)) for c in columns])
+def select_renamed(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    """The columns named in ``names``, in its order, under their new names."""
+    return df.selectExpr(*(f"`{old}` AS `{new}`" for old, new in names.items()))
 
 
 def rename_columns(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
     """Rename in place, other columns untouched."""
     return df.withColumnsRenamed(dict(renames))
+
+
+def as_id(df: DataFrame, name: str) -> Column:
+    """A whole-number id column as bigint. Text is cast with NULL for what is
+    no number; a number is cast directly, so that a filter on the id still
+    reaches the scan."""
+    c = F.col(f"`{name}`")
+    return c.try_cast("bigint") if dict(df.dtypes)[name] == "string" else c.cast("bigint")

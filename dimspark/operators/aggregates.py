@@ -24,12 +24,11 @@ def count_by(df: DataFrame, keys: Sequence[str], name: str = "count") -> DataFra
 def sum_text_as_int(c) -> Column:
     """SUM over a text column of whole numbers, as a whole number.
 
-    Non-numbers count as NULL (try_cast). The reference casts the sum to
-    a 32-bit integer; here it stays 64-bit, since a total over a large
-    table passes 2^31 and a 32-bit cast would turn it into NULL.
+    Non-numbers count as NULL (try_cast). Numbers are read and added as
+    64-bit integers, exactly; a 32-bit total would pass 2^31.
     """
     col = _q(c) if isinstance(c, str) else c
-    return F.sum(col.try_cast("double")).try_cast("bigint")
+    return F.sum(col.try_cast("bigint"))
 
 
 def round_avg(c, digits: int = 2) -> Column:

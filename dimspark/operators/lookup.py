@@ -16,10 +16,11 @@ salt value, so the result is exact and no row is dropped.
 
 Fact rows whose key has a NULL can never match, but an outer join keeps
 them, and in a shuffled join they all hash to one partition. The left
-joins therefore add one join key, ``__nk``: 0 for rows with a full key
-and a hash bucket of the row (1..NULL_KEY_BUCKETS) otherwise, with 0 on
-the dimension side. NULL-key rows then spread over many partitions and
-still match nothing.
+joins therefore add one join key, ``__nk``: 0 for rows with a full key and
+a hash of the row otherwise. On the dimension side it is 0 too, computed
+from the key so that the optimizer cannot fold the equality into a filter
+and drop it from the exchange. NULL-key rows then spread over all
+partitions and still match nothing.
 """
 
 from __future__ import annotations
@@ -41,22 +42,19 @@ def _conds(facts: DataFrame, dim: DataFrame, fact_keys, dim_keys):
     return [facts[f"`{a}`"] == dim[f"`{b}`"] for a, b in zip(fact_keys, dim_keys)]
 
 
-# Buckets over which fact rows with a NULL join key are spread.
-NULL_KEY_BUCKETS = 1024
-
-
-def null_key_bucket(df: DataFrame, keys: Sequence[str], buckets: int = NULL_KEY_BUCKETS):
-    """0 when every key column is set, else a bucket 1..``buckets`` from a
-    hash of the whole row (the same row always gets the same bucket)."""
-    any_null = None
+def null_key_spread(df: DataFrame, keys: Sequence[str]):
+    """0 when every key column is set, else an odd hash of the whole row
+    (the same row always gets the same value)."""
+    any_null = F.lit(False)
     for k in keys:
-        c = _q(k).isNull()
-        any_null = c if any_null is None else any_null | c
+        any_null = any_null | _q(k).isNull()
     hashable = [_q(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    if not hashable:
-        return F.lit(0).cast("bigint")
-    spread = F.pmod(F.xxhash64(*hashable), F.lit(buckets)) + 1
-    return F.when(any_null, spread).otherwise(F.lit(0).cast("bigint"))
+    return F.when(any_null, F.xxhash64(*hashable).bitwiseOR(F.lit(1))).otherwise(F.lit(0).cast("bigint"))
+
+
+def zero_of(keys: Sequence[str]):
+    """0, as an expression over the key columns that is not a constant."""
+    return F.pmod(F.xxhash64(*[_q(k) for k in keys]), F.lit(1)).cast("bigint")
 
 
 def lookup_left(
@@ -83,8 +81,8 @@ def lookup_left(
     ).where(F.expr(" AND ".join(f"{t} IS NOT NULL" for t in tmp_keys)))
     ord_cols = [tmp_vals[values.index(o)] for o in order] if order else tmp_vals
     d = keep_first(d, tmp_keys, ord_cols)
-    f = facts.withColumn("__nk", null_key_bucket(facts, fact_keys))
-    d = d.withColumn("__nk", F.lit(0).cast("bigint"))
+    f = facts.withColumn("__nk", null_key_spread(facts, fact_keys))
+    d = d.withColumn("__nk", zero_of(tmp_keys))
     join_keys = list(zip(fact_keys, tmp_keys))
     if salt_buckets and salt_buckets > 1:
         f = f.withColumn("__salt", F.pmod(F.xxhash64(*[_q(c) for c in facts.columns]), F.lit(salt_buckets)))
@@ -102,9 +100,9 @@ def left_join_all(
     """Plain left equi-join; a fact matching k dimension rows gives k rows."""
     d = dim.select(
         *[_q(k).alias(f"__lk{i}") for i, k in enumerate(dim_keys)], *[_q(v) for v in values],
-        F.lit(0).cast("bigint").alias("__nk"),
+        zero_of(dim_keys).alias("__nk"),
     )
-    f = facts.withColumn("__nk", null_key_bucket(facts, fact_keys))
+    f = facts.withColumn("__nk", null_key_spread(facts, fact_keys))
     conds = [f[f"`{a}`"] == d[f"__lk{i}"] for i, a in enumerate(fact_keys)] + [f["__nk"] == d["__nk"]]
     return f.join(d, conds, "left").select(*[f[f"`{c}`"] for c in facts.columns], *[d[f"`{v}`"] for v in values])
 

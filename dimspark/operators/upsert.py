@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimspark.operators.dedupe import keep_first, keep_last
-from dimspark.operators.lookup import null_key_bucket
+from dimspark.operators.lookup import null_key_spread, zero_of
 
 
 def _q(c: str):
@@ -137,9 +137,9 @@ def skip_loaded(new: DataFrame, loaded: DataFrame, new_keys: Sequence[str], load
     the key set matters, so far fewer rows are shuffled into the join.
     """
     l = loaded.select(*[_q(k).alias(f"__sk{i}") for i, k in enumerate(loaded_keys)]).distinct()
-    l = l.withColumn("__nk", F.lit(0).cast("bigint"))
+    l = l.withColumn("__nk", zero_of(l.columns))
     # Rows with a NULL key are kept and match nothing: spread them over
-    # many partitions instead of hashing them all to one.
-    n = new.withColumn("__nk", null_key_bucket(new, new_keys))
+    # all partitions instead of hashing them all to one.
+    n = new.withColumn("__nk", null_key_spread(new, new_keys))
     conds = [n[f"`{a}`"] == l[f"__sk{i}"] for i, a in enumerate(new_keys)] + [n["__nk"] == l["__nk"]]
     return n.join(l, conds, "left_anti").drop("__nk")

@@ -153,11 +153,10 @@ def artists_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "songs_first_wins",
-    """SELECT song_id, title, artist_id, year, duration FROM (
-  SELECT p_partkey AS song_id, p_name AS title, p_brand AS artist_id, p_size AS year,
-         p_retailprice AS duration,
-         ROW_NUMBER() OVER (PARTITION BY p_name ORDER BY p_partkey NULLS FIRST) AS rn
-  FROM part WHERE p_partkey IS NOT NULL) WHERE rn = 1""",
+    with_ctes(SONGS_V_SQL)
+    + """SELECT song_id, title, artist_id, year, duration FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY title ORDER BY song_id) AS rn
+  FROM songs_v WHERE song_id IS NOT NULL) WHERE rn = 1""",
 )
 def songs_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ON CONFLICT (title) DO NOTHING, load order = song_id."""

@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from dimspark.functions.casts import cast_type_columns
 from dimspark.functions.textfn import py_title, regex_pairs
 from dimspark.functions.timefn import SAS_EPOCH, sas_days_to_date
-from dimspark.operators.broadcast import bounded_broadcast
 from dimspark.plans import immigration as im
 from dimspark.plans.driver_views import table, with_ctes
 from dimspark.plans.registry import register
@@ -206,7 +205,7 @@ def two_level_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
 PIVOT_SQL = (
     """pv AS (SELECT "State Code", """
     + ", ".join(
-        f"""CAST(SUM(CASE WHEN "Race" = '{k}' THEN TRY_CAST("Count" AS INTEGER) END) AS BIGINT) AS {v}"""
+        f"""CAST(SUM(CASE WHEN "Race" = '{k}' THEN TRY_CAST("Count" AS BIGINT) END) AS BIGINT) AS {v}"""
         for k, v in SEGMENTS.items()
     )
     + """ FROM demo_v GROUP BY 1)"""
@@ -221,9 +220,9 @@ def state_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SUMMARY_SQL = """sm AS (
   SELECT "State Code", "State",
-         TRY_CAST(SUM(TRY_CAST("Total Population" AS DOUBLE)) AS BIGINT) AS total_population,
-         TRY_CAST(SUM(TRY_CAST("Number of Veterans" AS DOUBLE)) AS BIGINT) AS num_veterans,
-         TRY_CAST(SUM(TRY_CAST("Foreign-born" AS DOUBLE)) AS BIGINT) AS foreign_born,
+         CAST(SUM(TRY_CAST("Total Population" AS BIGINT)) AS BIGINT) AS total_population,
+         CAST(SUM(TRY_CAST("Number of Veterans" AS BIGINT)) AS BIGINT) AS num_veterans,
+         CAST(SUM(TRY_CAST("Foreign-born" AS BIGINT)) AS BIGINT) AS foreign_born,
          ROUND(AVG(TRY_CAST("Average Household Size" AS DOUBLE)), 2) AS avg_hh_size
   FROM (SELECT * FROM (
           SELECT *, ROW_NUMBER() OVER (PARTITION BY "State Code", "City"
@@ -393,14 +392,11 @@ def sas_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT * FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""",
 )
 def semi_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of customers in a key list, as a left-semi join.
-
-    The key list is broadcast only after a row-count check.
-    """
+    """Orders of customers in a key list, as a left-semi join."""
     keys = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == "BUILDING").select(
         F.col("c_custkey").alias("o_custkey")
     )
-    return table(spark, sf_dir, "orders").join(bounded_broadcast(keys, im.CODE_LIST_MAX_ROWS), "o_custkey", "left_semi")
+    return table(spark, sf_dir, "orders").join(keys, "o_custkey", "left_semi")
 
 
 @register(

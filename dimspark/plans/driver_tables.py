@@ -121,11 +121,11 @@ def music_hist_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "title_listeners",
-    "SELECT user_id, first_name, last_name FROM (" + MUSIC_HIST_SQL + ") WHERE song_title = 'red widget'",
+    "SELECT user_id, first_name, last_name FROM (" + MUSIC_HIST_SQL + ") WHERE song_title = 'blue gear 1'",
 )
 def title_listeners(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C8 query (F7): every listener of one title, once per user."""
-    return qt.song_listeners(qt.music_hist(_event_rows(spark, sf_dir), order=["ts"]), "red widget")
+    return qt.song_listeners(qt.music_hist(_event_rows(spark, sf_dir), order=["ts"]), "blue gear 1")
 
 
 # ------------------------------------------------------------- keyed loads
@@ -147,9 +147,8 @@ def pk_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     "skip_loaded",
     """SELECT * FROM orders n
 WHERE n.o_orderdate >= TIMESTAMP '1998-01-01'
-  AND n.o_custkey NOT IN (SELECT DISTINCT s.o_custkey FROM orders s
-                          WHERE s.o_orderdate < TIMESTAMP '1998-01-01'
-                            AND s.o_custkey = n.o_custkey AND s.o_orderpriority = n.o_orderpriority)""",
+  AND NOT EXISTS (SELECT 1 FROM orders old WHERE old.o_orderdate < TIMESTAMP '1998-01-01'
+                  AND old.o_custkey = n.o_custkey AND old.o_orderpriority = n.o_orderpriority)""",
 )
 def skip_loaded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New rows whose (customer, priority) is not loaded yet.

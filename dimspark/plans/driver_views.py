@@ -14,7 +14,7 @@ oracle. They must stay in step.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -42,44 +42,29 @@ DRIVER_TABLES = {
 }
 
 
-# A scan gets at least one task per Parquet row group, never more: a file
-# written as one large row group is read by one task however big it is.
-# Tables of at least this size that come out of the scan with fewer
-# partitions than the cluster has cores are spread round-robin first.
-SPREAD_MIN_BYTES = 8 << 20
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    ddl = DRIVER_TABLES.get(name)
+    return spark.read.schema(ddl).parquet(path) if ddl else spark.read.parquet(path)
 
 
-def _bytes_on_disk(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
+# Part names are few; a block of part keys makes a title, so that a bounded
+# number of songs share one at any scale factor.
+SONGS_PER_TITLE = 8
 
 
-def spread(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """``df`` spread over all cores when its scan would run in fewer tasks
-    than there are cores and the files are large enough to be worth a
-    shuffle. On a cluster a large table has many more scan partitions than
-    cores, so this returns ``df`` unchanged; filters and column pruning
-    still reach the scan below the repartition."""
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores or _bytes_on_disk(spark, path) < SPREAD_MIN_BYTES:
-        return df
-    return df.repartition(cores)
+def _title() -> Column:
+    return F.concat_ws(" ", "p_name", (F.col("p_partkey") / SONGS_PER_TITLE).cast("bigint").cast("string"))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    ddl = DRIVER_TABLES.get(name)
-    df = spark.read.schema(ddl).parquet(path) if ddl else spark.read.parquet(path)
-    return spread(spark, df, path)
+TITLE_SQL = f"p_name || ' ' || CAST(p_partkey // {SONGS_PER_TITLE} AS VARCHAR)"
 
 
 def songs_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     return p.select(
         F.col("p_partkey").alias("song_id"),
-        F.col("p_name").alias("title"),
+        _title().alias("title"),
         F.col("p_brand").alias("artist_id"),
         F.col("p_brand").alias("artist_name"),
         F.col("p_type").alias("artist_location"),
@@ -90,8 +75,8 @@ def songs_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-SONGS_V_SQL = """songs_v AS (
-  SELECT p_partkey AS song_id, p_name AS title, p_brand AS artist_id, p_brand AS artist_name,
+SONGS_V_SQL = f"""songs_v AS (
+  SELECT p_partkey AS song_id, {TITLE_SQL} AS title, p_brand AS artist_id, p_brand AS artist_name,
          p_type AS artist_location, CAST(p_size AS DOUBLE) AS artist_latitude,
          CAST(NULL AS DOUBLE) AS artist_longitude, p_retailprice AS duration, p_size AS year
   FROM part)"""
@@ -122,20 +107,20 @@ def plays_v(spark: SparkSession, sf_dir: str) -> DataFrame:
         # then simplifies to ``l_returnflag <=> 'N'``, which reaches the scan.
         F.when(F.col("l_returnflag").eqNullSafe("N"), F.lit("NextSong")).otherwise(F.lit("Home")).alias("page"),
         F.col("l_orderkey").alias("sessionId"),
-        F.when(F.col("l_linenumber") == 1, F.lit(None).cast("string")).otherwise(F.col("p_name")).alias("song"),
+        F.when(F.col("l_linenumber") == 1, F.lit(None).cast("string")).otherwise(_title()).alias("song"),
         F.col("l_shipdate").alias("ts"),
         F.col("l_linestatus").alias("userAgent"),
         F.col("o_custkey").alias("userId"),
     )
 
 
-PLAYS_V_SQL = """plays_v AS (
+PLAYS_V_SQL = f"""plays_v AS (
   SELECT p.p_brand AS artist, c.c_name AS firstName, l.l_linestatus AS gender,
          l.l_linenumber AS itemInSession, c.c_mktsegment AS lastName, p.p_retailprice AS length,
          o.o_orderpriority AS level, o.o_orderstatus AS location,
          CASE WHEN l.l_returnflag = 'N' THEN 'NextSong' ELSE 'Home' END AS page,
          l.l_orderkey AS sessionId,
-         CASE WHEN l.l_linenumber = 1 THEN NULL ELSE p.p_name END AS song,
+         CASE WHEN l.l_linenumber = 1 THEN NULL ELSE {TITLE_SQL} END AS song,
          l.l_shipdate AS ts, l.l_linestatus AS userAgent, o.o_custkey AS userId
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey

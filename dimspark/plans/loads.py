@@ -38,7 +38,13 @@ from dimspark.sources.files import read_csv_dir, read_logs, read_records, read_s
 from dimspark.sources.labels import named_label_pairs, read_label_files
 from dimspark.sources.staging import clean_strings
 
-FACT_MODES = ("overwrite", "append", "skip_loaded")
+FACT_MODES = ("overwrite", "append", "new_plays", "skip_sessions")
+
+# What makes a stored play the same as a staged one, by fact mode.
+SAME_PLAY = {
+    "new_plays": ["user_id", "session_id", "item_in_session", "start_time"],
+    "skip_sessions": ["user_id", "session_id"],
+}
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
@@ -93,19 +99,25 @@ def load_music_warehouse(
     staging_events: DataFrame,
     staging_songs: DataFrame,
     tables_root: str,
-    fact_mode: str = "skip_loaded",
+    fact_mode: str = "new_plays",
     truncate_dims: bool = False,
     match: str = "lookup",
     compact_after: int | None = 24,
+    load_id: int | None = None,
 ) -> dict[str, int]:
     """Staged tables -> versioned fact and dimension tables.
 
-    Staging text is cleaned (blank -> NULL). ``fact_mode``:
-    ``skip_loaded`` keeps plays whose (user, session) is not loaded yet
-    (J7), ``append`` adds every play (K4), ``overwrite`` replaces the fact.
+    Staging text is cleaned (blank -> NULL). Plays without a user are not
+    loaded (the fact's user is NOT NULL). ``fact_mode``: ``new_plays`` adds
+    the plays that are not stored yet, by user, session, item and time;
+    ``skip_sessions`` skips every play of a stored (user, session), so
+    later plays of such a session are lost (J7); ``append`` adds every play
+    (K4), ``overwrite`` replaces the fact. ``load_id`` names the load: run
+    again with the same id after a failure, it reads what was stored before
+    that id and rewrites its own folders only (default: a new id).
     Dimensions are upserted into the previous version (K11/K12) unless
     ``truncate_dims`` (K5) rebuilds them from the staged rows alone.
-    The fact is append-only: ``append`` and ``skip_loaded`` write only the
+    The fact is append-only: all modes but ``overwrite`` write only the
     load's new rows (a delta folder), so a load's write grows with the new
     rows, not with the whole fact table. A table with more than
     ``compact_after`` deltas since its last full version is compacted after
@@ -117,12 +129,14 @@ def load_music_warehouse(
     ev = stage(clean_strings(staging_events), f"{root}/_staging/events")
     so = stage(clean_strings(staging_songs), f"{root}/_staging/songs")
 
-    def prev(name: str) -> DataFrame | None:
-        return None if truncate_dims else read_latest(spark, f"{root}/{name}")
-
     # One id for the whole load, above every table's newest folder (a
     # compaction may have given one table a higher id than the others).
-    v = max(next_version(spark, f"{root}/{n}") for n in ("songs", "artists", "users", "time", "songplays"))
+    names = ("songs", "artists", "users", "time", "songplays")
+    v = max(next_version(spark, f"{root}/{n}") for n in names) if load_id is None else load_id
+
+    def prev(name: str) -> DataFrame | None:
+        return None if truncate_dims else read_current(spark, f"{root}/{name}", before=v)
+
     # Insert-only dimensions (K11): write just the new keys as a delta once
     # the table exists. Users (K12) change in place: a new full version.
     insert_only = {
@@ -141,22 +155,23 @@ def load_music_warehouse(
     songs_t = read_latest(spark, f"{root}/songs")
     artists_t = read_latest(spark, f"{root}/artists")
     if match == "lookup":
-        plays = music.build_songplays(ev, songs_t, artists_t, match="lookup")
+        plays = music.build_songplays(ev, songs_t, artists_t, match="lookup", item=True)
     else:
-        plays = music.build_songplays(ev, so, match=match)
+        plays = music.build_songplays(ev, so, match=match, item=True)
+    plays = plays.where(F.col("user_id").isNotNull())
     current = read_current(spark, f"{root}/songplays", before=v)
     if current is None or fact_mode == "overwrite":
         write_version(plays, f"{root}/songplays", v)
     else:
         # Append-only fact: write only this load's rows as a delta.
-        if fact_mode == "skip_loaded":
-            plays = skip_loaded(plays, current, ["user_id", "session_id"], ["user_id", "session_id"])
+        if fact_mode in SAME_PLAY:
+            plays = skip_loaded(plays, current, SAME_PLAY[fact_mode], SAME_PLAY[fact_mode])
         write_delta(plays, f"{root}/songplays", v)
     if compact_after is not None:
         for name in ("songs", "artists", "time", "songplays"):
             if deltas_since_base(spark, f"{root}/{name}") > compact_after:
                 compact(spark, f"{root}/{name}")
-    return check_non_empty({n: read_latest(spark, f"{root}/{n}") for n in ("songs", "artists", "users", "time", "songplays")})
+    return check_non_empty({n: read_latest(spark, f"{root}/{n}") for n in names})
 
 
 def load_immigration(

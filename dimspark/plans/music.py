@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimspark.functions.casts import as_id
 from dimspark.functions.keys import increasing_id, md5_key
 from dimspark.functions.timefn import cut_to_second, epoch_ms_to_second, epoch_ms_to_timestamp, time_parts
 from dimspark.operators.dedupe import distinct_rows, keep_first
@@ -105,7 +106,7 @@ def build_artists(songs: DataFrame, mode: str = "distinct", order: Sequence[str]
 def _user_rows(logs: DataFrame) -> DataFrame:
     uid = F.col("userId").cast("string")
     return song_plays(logs).where(uid.isNotNull() & (F.trim(uid) != "")).select(
-        F.col("userId").cast("string").try_cast("bigint").alias("user_id"),
+        as_id(logs, "userId").alias("user_id"),
         F.col("firstName").alias("first_name"),
         F.col("lastName").alias("last_name"),
         "gender",
@@ -160,7 +161,7 @@ def _plays_with_time(logs: DataFrame, precision: str) -> DataFrame:
     return plays.withColumn("start_time", start_time(plays, "ts", precision))
 
 
-def _songplay_select(df: DataFrame, key: str) -> DataFrame:
+def _songplay_select(df: DataFrame, key: str, item: bool = False) -> DataFrame:
     if key == "md5":
         sid = md5_key("sessionId", "start_time")
     elif key == "increasing":
@@ -170,13 +171,14 @@ def _songplay_select(df: DataFrame, key: str) -> DataFrame:
     return df.select(
         sid.alias("songplay_id"),
         "start_time",
-        F.col("userId").alias("user_id"),
+        as_id(df, "userId").alias("user_id"),
         "level",
         "song_id",
         "artist_id",
         F.col("sessionId").alias("session_id"),
         "location",
         F.col("userAgent").alias("user_agent"),
+        *([as_id(df, "itemInSession").alias("item_in_session")] if item else []),
     )
 
 
@@ -188,6 +190,7 @@ def build_songplays(
     key: str = "md5",
     precision: str = "second",
     salt_buckets: int = 0,
+    item: bool = False,
 ) -> DataFrame:
     """Songplays fact.
 
@@ -199,8 +202,15 @@ def build_songplays(
       gives several rows.
     * ``inner2`` (J2): ``songs`` are raw song records; inner join on
       (title, artist name), then DISTINCT rows; misses are dropped.
+
+    ``item`` adds item_in_session, the play's number in its session: with
+    the session it tells any two plays apart (songplay_id does not).
     """
-    plays = _plays_with_time(logs, precision)
+    # Only what the fact or the match uses: the spread of NULL keys hashes
+    # whole rows, and no other column is read for it.
+    used = ["start_time", "userId", "level", "sessionId", "location", "userAgent", "song", "artist", "length"]
+    used += ["itemInSession"] if item else []
+    plays = _plays_with_time(logs, precision).select(*used)
     if match == "lookup":
         if artists is None:
             raise ValueError("lookup match needs the artists table")
@@ -209,12 +219,12 @@ def build_songplays(
             plays, lk, ["song", "artist", "length"], ["title", "name", "duration"], ["song_id", "artist_id"],
             salt_buckets=salt_buckets,
         )
-        return _songplay_select(joined, key)
+        return _songplay_select(joined, key, item)
     if match == "left3":
         joined = left_join_all(
             plays, songs, ["song", "artist", "length"], ["title", "artist_name", "duration"], ["song_id", "artist_id"]
         )
-        return _songplay_select(joined, key)
+        return _songplay_select(joined, key, item)
     if match == "inner2":
         joined = inner_join(plays, songs, ["song", "artist"], ["title", "artist_name"], ["song_id", "artist_id"])
         if key == "md5":
@@ -222,8 +232,9 @@ def build_songplays(
             # raw columns first, then hash once per distinct row. Same result,
             # narrower shuffle rows and fewer hashes than hashing the fan-out.
             cols = ["start_time", "userId", "level", "song_id", "artist_id", "sessionId", "location", "userAgent"]
-            return _songplay_select(joined.select(*cols).distinct(), key)
-        return _songplay_select(joined, key).distinct()
+            cols += ["itemInSession"] if item else []
+            return _songplay_select(joined.select(*cols).distinct(), key, item)
+        return _songplay_select(joined, key, item).distinct()
     raise ValueError(match)
 
 

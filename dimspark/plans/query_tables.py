@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimspark.functions.casts import as_id
 from dimspark.operators.dedupe import keep_last
 
 # The kept event columns, in output order, and their
@@ -61,25 +62,25 @@ def _last_wins(rows: DataFrame, keys: Sequence[str], cols: Sequence[str], order:
     return picked.select(*keys, *cols)
 
 
-def songs_sessions(events: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+def songs_sessions(events: DataFrame, order: Sequence[str]) -> DataFrame:
     """C6 table: PRIMARY KEY (session_id, item_session)."""
     rows = events.select(
-        F.col("sessionId").cast("string").try_cast("bigint").alias("session_id"),
-        F.col("itemInSession").cast("string").try_cast("bigint").alias("item_session"),
+        as_id(events, "sessionId").alias("session_id"),
+        as_id(events, "itemInSession").alias("item_session"),
         F.col("artist").alias("artist_name"),
         F.col("song").alias("song_title"),
         F.col("length").cast("string").try_cast("float").alias("duration"),
         *[F.col(c) for c in order],
     )
-    return _last_wins(rows, ["session_id", "item_session"], ["artist_name", "song_title", "duration"], order or ["artist_name"])
+    return _last_wins(rows, ["session_id", "item_session"], ["artist_name", "song_title", "duration"], order)
 
 
-def songs_users(events: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+def songs_users(events: DataFrame, order: Sequence[str]) -> DataFrame:
     """C7 table: PRIMARY KEY ((user_id, session_id), item_session)."""
     rows = events.select(
-        F.col("userId").cast("string").try_cast("bigint").alias("user_id"),
-        F.col("sessionId").cast("string").try_cast("bigint").alias("session_id"),
-        F.col("itemInSession").cast("string").try_cast("bigint").alias("item_session"),
+        as_id(events, "userId").alias("user_id"),
+        as_id(events, "sessionId").alias("session_id"),
+        as_id(events, "itemInSession").alias("item_session"),
         F.col("firstName").alias("first_name"),
         F.col("lastName").alias("last_name"),
         F.col("artist").alias("artist_name"),
@@ -90,20 +91,20 @@ def songs_users(events: DataFrame, order: Sequence[str] = ()) -> DataFrame:
         rows,
         ["user_id", "session_id", "item_session"],
         ["first_name", "last_name", "artist_name", "song_title"],
-        order or ["first_name"],
+        order,
     )
 
 
-def music_hist(events: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+def music_hist(events: DataFrame, order: Sequence[str]) -> DataFrame:
     """C8 table: PRIMARY KEY (song_title, user_id)."""
     rows = events.select(
         F.col("song").alias("song_title"),
-        F.col("userId").cast("string").try_cast("bigint").alias("user_id"),
+        as_id(events, "userId").alias("user_id"),
         F.col("firstName").alias("first_name"),
         F.col("lastName").alias("last_name"),
         *[F.col(c) for c in order],
     )
-    return _last_wins(rows, ["song_title", "user_id"], ["first_name", "last_name"], order or ["first_name"])
+    return _last_wins(rows, ["song_title", "user_id"], ["first_name", "last_name"], order)
 
 
 def session_item(table: DataFrame, session_id: int, item_session: int) -> DataFrame:

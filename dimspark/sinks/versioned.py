@@ -77,10 +77,18 @@ def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
     return read_current(spark, root)
 
 
-def latest_before(spark: SparkSession, root: str, version: int) -> str | None:
-    """Path of the newest complete full version older than ``version``."""
-    older = [i for i, k in _committed(spark, root) if k == VERSION_PREFIX and i < version]
-    return version_path(root, older[-1]) if older else None
+def batch_version(spark: SparkSession, root: str, tables, stream: str, batch: int) -> int:
+    """The load id of a stream's batch: above everything its tables hold
+    when the batch first runs, and the same one when it runs again. Kept as
+    an empty folder named by the id, under the stream and the batch."""
+    base = f"{root.rstrip('/')}/_batches/{stream}/{batch:012d}"
+    fs, p = _fs(spark, base)
+    known = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    if known:
+        return max(int(name[2:]) for name in known)
+    v = max(next_version(spark, f"{root.rstrip('/')}/{t}") for t in tables)
+    fs.mkdirs(p.suffix(f"/v={v:012d}"))
+    return v
 
 
 def next_version(spark: SparkSession, root: str) -> int:
@@ -108,10 +116,10 @@ def deltas_since_base(spark: SparkSession, root: str) -> int:
     ) else len(current_paths(spark, root))
 
 
-def compact(spark: SparkSession, root: str) -> str | None:
+def compact(spark: SparkSession, root: str, partition_by=()) -> str | None:
     """Write the current table (base + deltas) as a new full version, so
     later reads scan one folder instead of many."""
     cur = read_current(spark, root)
     if cur is None:
         return None
-    return write_version(cur, root, next_version(spark, root))
+    return write_version(cur, root, next_version(spark, root), partition_by)

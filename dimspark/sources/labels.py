@@ -30,7 +30,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimspark.functions.textfn import regex_pairs
-from dimspark.operators.broadcast import bounded_broadcast
 
 # Label-file sections as (start marker, end marker, pattern
 # of one code/label entry), as used for the four code dimensions.
@@ -41,11 +40,6 @@ LABEL_SECTIONS = {
     "country": ("/* I94CIT & I94RES", "/* I94PORT", "(\\d{3}) = *'(.*)'"),
 }
 
-# Upper bound on the number of label files for which the per-file section
-# bounds are broadcast; beyond it the bounds join is a shuffled join.
-MAX_BROADCAST_FILES = 100_000
-
-
 def read_label_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """One row per line of every label file: (file, pos, line).
 
@@ -91,14 +85,13 @@ def section_lines(lines: DataFrame, start: str, end: str) -> DataFrame:
     marks = lines.where(_starts(F.col("line"), [start, end])).select("file", "pos")
     first = marks.groupBy("file").agg(F.min("pos").alias("p0"))
     second = (
-        marks.join(bounded_broadcast(first, MAX_BROADCAST_FILES), "file")
+        marks.join(first, "file")
         .where(F.col("pos") > F.col("p0"))
         .groupBy("file")
         .agg(F.min("p0").alias("p0"), F.min("pos").alias("p1"))
     )
-    bounds = bounded_broadcast(second, MAX_BROADCAST_FILES)
     return (
-        lines.join(bounds, "file")
+        lines.join(second, "file")
         .where((F.col("pos") > F.col("p0")) & (F.col("pos") < F.col("p1")))
         .select("file", "pos", "line")
     )

@@ -10,11 +10,12 @@ the same batch builders through ``foreachBatch``:
   written, as a delta folder),
 * songplays: the batch's plays written to their own batch folder.
 
-Every table version is written to a new folder named by the batch id,
-so a batch that is re-run after a failure (same id) overwrites exactly
-its own output and reads only versions before it: the load is
-exactly-once with the stream checkpoint. Nothing is collected to the
-driver; the driver only lists version folders.
+A batch is parsed once (staged), and written under a load id that is above
+all the stored versions when it first runs and is recorded by stream and
+batch. A batch that is re-run after a failure finds its id, reads only
+versions before it and overwrites exactly its own output; a new stream, or
+one that lost its checkpoint, goes on from what is stored. Nothing is
+collected to the driver; the driver only lists version folders.
 """
 
 from __future__ import annotations
@@ -25,10 +26,22 @@ from pyspark.sql.streaming import StreamingQuery
 from dimspark.operators.upsert import new_key_rows
 from dimspark.plans import music
 from dimspark.schemas import LOG_SCHEMA
-from dimspark.sinks.versioned import committed_versions, read_current, read_latest, version_path  # noqa: F401
+from dimspark.sinks.versioned import (  # noqa: F401
+    batch_version,
+    committed_versions,
+    compact,
+    deltas_since_base,
+    read_current,
+    read_latest,
+    write_delta,
+    write_version,
+)
 from dimspark.sinks.writers import write_parquet
 
 
+COMPACT_AFTER = 24  # delta folders of the time table
+
+
 def make_batch_loader(spark: SparkSession, target_root: str, songs: DataFrame | None = None,
                       artists: DataFrame | None = None):
     """The ``foreachBatch`` function: load one micro-batch of log rows."""
@@ -36,18 +49,27 @@ def make_batch_loader(spark: SparkSession, target_root: str, songs: DataFrame |
 
     def load(batch: DataFrame, batch_id: int) -> None:
         users_root, time_root = f"{root}/users", f"{root}/time"
-        # The tables as of the batches before this one: a re-run batch never
-        # reads its own output.
-        users = music.build_users(batch, "upsert", existing=read_current(spark, users_root, before=batch_id))
-        write_parquet(users, version_path(users_root, batch_id))
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
+        v = batch_version(spark, root, ("users", "time"), stream, batch_id)
+        staged = f"{root}/_staging/{stream}"
+        write_parquet(batch, staged)
+        rows = spark.read.schema(batch.schema).parquet(staged)
+
+        users = music.build_users(rows, "upsert", existing=read_current(spark, users_root, before=v))
+        write_version(users, users_root, v)
 
-        stored_time = read_current(spark, time_root, before=batch_id)
-        new_time = new_key_rows(stored_time, music.build_time(batch, "number"), ["start_time"], ["start_time"])
-        write_parquet(new_time, version_path(time_root, batch_id, delta=stored_time is not None))
+        stored_time = read_current(spark, time_root, before=v)
+        new_time = new_key_rows(stored_time, music.build_time(rows, "number"), ["start_time"], ["start_time"])
+        if stored_time is None:
+            write_version(new_time, time_root, v)
+        else:
+            write_delta(new_time, time_root, v)
+            if deltas_since_base(spark, time_root) > COMPACT_AFTER:
+                compact(spark, time_root)
 
         if songs is not None and artists is not None:
-            plays = music.build_songplays(batch, songs, artists, match="lookup")
-            write_parquet(plays, f"{root}/songplays/batch={batch_id:012d}")
+            plays = music.build_songplays(rows, songs, artists, match="lookup")
+            write_parquet(plays, f"{root}/songplays/batch={v:012d}")
 
     return load
 

@@ -97,7 +97,7 @@ def test_flagship_scans_are_pruned(spark):
     df.write.format("noop").mode("overwrite").save()
     plan = df._jdf.queryExecution().executedPlan().toString()
     for unused in ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_suppkey", "o_totalprice", "o_orderdate",
-                   "c_acctbal", "c_nationkey"):
+                   "c_acctbal", "c_nationkey", "c_name", "c_mktsegment"):
         assert unused not in plan, unused
     # the song-play filter (page = 'NextSong' on the view) reaches the lineitem scan
     assert "PushedFilters: [EqualNullSafe(l_returnflag,N), IsNotNull(l_orderkey), IsNotNull(l_partkey)]" in plan
@@ -110,18 +110,33 @@ def test_date_filter_pushed_to_scan(spark):
     assert "GreaterThanOrEqual(o_orderdate," in plan
 
 
-def test_spread_of_single_task_scans(spark, monkeypatch):
-    """A table whose scan runs in fewer tasks than cores is spread over all
-    cores once it is large enough; rows and pushed filters are unchanged."""
-    from dimspark.plans import driver_views as dv
-
-    plain = dv.table(spark, SF, "lineitem")
-    assert plain.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism  # small: not spread
-    monkeypatch.setattr(dv, "SPREAD_MIN_BYTES", 0)
-    spread = dv.table(spark, SF, "lineitem")
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread.count() == plain.count()
-    q = spread.where("l_linenumber = 3").select("l_orderkey")
-    plan = q._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(l_linenumber,3)" in plan and "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in plan
-    assert q.count() == plain.where("l_linenumber = 3").count()
+def test_point_lookups_are_pruned(spark):
+    """The key of a point lookup reaches the scan, and a lookup in the
+    bucketed table reads one bucket."""
+    plan = _plan(entry.queries()["session_item_lookup"](spark, SF))
+    assert "EqualTo(l_orderkey,6930)" in plan
+    plan = _plan(entry.queries()["user_session_history"](spark, SF))
+    assert "EqualTo(o_custkey,681)" in plan and "EqualTo(o_orderkey,1046)" in plan
+    auto = "spark.sql.sources.bucketing.autoBucketedScan.enabled"  # shows the buckets read in the plan
+    spark.conf.set(auto, "false")
+    try:
+        plan = _plan(entry.queries()["user_history_bucketed"](spark, SF))
+    finally:
+        spark.conf.unset(auto)
+    assert "SelectedBucketsCount: 1 out of 8" in plan
+
+
+LOADING = {"parquet_roundtrip", "csv_roundtrip", "json_time_dim", "stream_users", "warehouse_incremental",
+           "session_item_stored", "user_history_bucketed", "label_sections", "label_country_dim", "staged_events_mapped",
+           "event_csv_positional", "catalog_users", "catalog_time"}
+
+
+def test_builders_are_lazy(spark):
+    """Building a query's DataFrame runs no job (but where writing and
+    reading back is what the query shows)."""
+    sc, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    for name in sorted(set(catalog.queries()) - LOADING):
+        sc.setJobGroup(f"lazy-{name}", name)
+        entry.queries()[name](spark, SF)
+        assert not tracker.getJobIdsForGroup(f"lazy-{name}"), name
+    sc.setJobGroup("tests", "tests")

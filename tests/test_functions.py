@@ -112,7 +112,7 @@ def test_cast_doubles_and_rename(spark):
     out = cast_type_columns(df, "double", "int")
     assert dict(out.dtypes) == {"a": "int", "b": "int", "c": "string", "d": "int"}
     assert tuple(out.first()) == (2, -2, "x", 5)
-    ren = select_renamed(df, ["c", "a"], {"a": "alpha"})
+    ren = select_renamed(df, {"c": "c", "a": "alpha"})
     assert ren.columns == ["c", "alpha"]
 
 

@@ -84,13 +84,13 @@ def test_event_csv_compaction_and_query_tables(spark, tmp_dir):
     back = qt.read_event_csv(spark, out)
     assert rows(back) == rows(events)
 
-    sessions = qt.songs_sessions(back)
+    sessions = qt.songs_sessions(back, ["artist"])
     hit = qt.session_item(sessions, 338, 4).collect()
     assert len(hit) == 1 and (hit[0]["artist_name"], hit[0]["song_title"]) == ("Faithless", "Music Matters")
     assert abs(hit[0]["duration"] - 495.3073) < 1e-3
-    hist = qt.user_session_history(qt.songs_users(back), 10, 182).collect()
+    hist = qt.user_session_history(qt.songs_users(back, ["firstName"]), 10, 182).collect()
     assert [r["song_title"] for r in hist] == ["Keep On Keepin' On", "Greece 2000", "Kilometer"]
-    listeners = rows(qt.song_listeners(qt.music_hist(back), "All Hands Against His Own"))
+    listeners = rows(qt.song_listeners(qt.music_hist(back, ["firstName"]), "All Hands Against His Own"))
     assert listeners == [(29, "Jacqueline", "Lynch"), (80, "Tegan", "Levine")]
 
 

@@ -202,7 +202,7 @@ def test_fact_immigration(spark):
     )
     valid = spark.createDataFrame([("ALC", "Alcan"), ("DFW", "Dallas")], "port_id string, city string")
     fact = im.build_fact_immigration(recs, valid)
-    assert fact.columns == im.FACT_COLUMNS
+    assert fact.columns == list(im.FACT_NAMES.values())
     got = {r["im_id"]: r for r in fact.collect()}
     assert set(got) == {1, 2}
     assert got[1]["arrdate"] == dt.date(2016, 4, 29) and got[1]["depdate"] is None

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from dimspark.operators.aggregates import count_by, count_report, pivot_sum, two_level_avg
-from dimspark.operators.broadcast import bounded_broadcast, has_at_most
 from dimspark.operators.dedupe import distinct_rows, keep_first, keep_last
 from dimspark.operators.lookup import full_join_using, join_chain, lookup_left
 from dimspark.operators.upsert import insert_new_keys, skip_loaded, upsert_replace, upsert_update
@@ -88,15 +87,6 @@ def test_aggregates(spark):
     assert rows(out) == [("S", 2.75)]
 
 
-def test_bounded_broadcast(spark):
-    small = spark.range(10)
-    assert has_at_most(small, 10) and not has_at_most(small, 9)
-    plan = spark.range(1000).join(bounded_broadcast(small, 100), "id")._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in plan
-    big = bounded_broadcast(spark.range(1000), 100)
-    assert rows(spark.range(5).join(big, "id")) == [(i,) for i in range(5)]
-
-
 def test_unknown_modes_raise(spark):
     from dimspark.plans import music
 
