@@ -49,6 +49,8 @@ from dimspark.llm.text import SPACED_LOWER, mix, scan, slices, text_bytes, word_
 
 DECAY, SPAN, POWER = 0.6, 5, 3
 LONGEST = 24  # words of a sentence
+LEAST = 0.03  # kernel values below are taken for zero
+WORDS_AT_ONCE = 1024
 SHAPES = [(j, k, DECAY ** (k - 2)) for k in range(2, SPAN) for j in range(1, k)]  # offsets of the 2nd and 3rd character
 
 
@@ -131,22 +133,20 @@ class Landmarks:
         i = np.minimum(np.searchsorted(self.sub, sub), max(len(self.sub) - 1, 0))
         known = self.sub[i] == sub if len(self.sub) else np.zeros(len(sub), bool)
         i, word, weight = i[known], word[known], weight[known]
-        n = self.first[i + 1] - self.first[i]
-        at = np.arange(n.sum()) + np.repeat(self.first[i] - (np.cumsum(n) - n), n)
-        m = len(self.words)
-        key = np.repeat(word, n) * m + self.mark[at]
-        product = np.repeat(weight, n) * self.value[at]
-        order = np.argsort(key)
-        key, product = key[order], product[order]
-        head = np.ones(len(key), bool)
-        head[1:] = key[1:] != key[:-1]
-        heads = np.flatnonzero(head)
-        if not len(heads):
-            return heads, heads, np.zeros(0)
-        word, value = key[heads] // m, np.add.reduceat(product, heads)
-        value = (value / norm[word]) ** POWER
-        big = value > 0.03
-        return word[big], key[heads][big] % m, value[big]
+        m, out = len(self.words), []
+        for at in range(0, len(start), WORDS_AT_ONCE):  # a dense table of so many words by all landmarks
+            lo, hi = np.searchsorted(word, [at, at + WORDS_AT_ONCE])
+            k, rows = i[lo:hi], min(WORDS_AT_ONCE, len(start) - at)
+            n = self.first[k + 1] - self.first[k]
+            entry = np.arange(n.sum()) + np.repeat(self.first[k] - (np.cumsum(n) - n), n)
+            cell = np.repeat((word[lo:hi] - at) * m, n) + self.mark[entry]
+            total = np.bincount(cell, np.repeat(weight[lo:hi], n) * self.value[entry], rows * m).reshape(rows, m)
+            value = (total / np.maximum(norm[at : at + rows, None], 1e-9)) ** POWER
+            w, mark = np.nonzero(value > LEAST)
+            out.append((w + at, mark, value[w, mark]))
+        if not out:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        return tuple(np.concatenate(x) for x in zip(*out))
 
 
 @dataclass
@@ -368,20 +368,21 @@ def _svm_steps(shared, seed: int):
         balance = min(balance, (y[used] < 0).sum() / max((y[used] > 0).sum(), 1))
         scale, bias_scale = np.full(len(weight), 1e-3), 1e-3  # AdaGrad
         mean, mean_bias, n = np.zeros(len(weight)), 0.0, 0
-        for epoch in range(3):
+        for epoch in range(2):
             order = rng.permutation(used)
-            for i in range(0, len(order), 64):
-                k = order[i : i + 64]
-                x = rows(k)
-                short = np.maximum(1 - y[k] * (x @ weight + bias), 0) * np.where(y[k] > 0, balance, 1.0) * y[k]
-                step = 1e-4 * weight - (short @ x) / len(k)
-                scale += step * step
-                weight = weight - 0.1 * step / np.sqrt(scale)
-                step = -short.mean()
-                bias_scale += step * step
-                bias -= 0.1 * step / np.sqrt(bias_scale)
-                if epoch == 2:
-                    mean, mean_bias, n = mean + weight, mean_bias + bias, n + 1
+            for block in (order[i : i + 1024] for i in range(0, len(order), 1024)):
+                features = rows(block)
+                for i in range(0, len(block), 64):
+                    x, k = features[i : i + 64], block[i : i + 64]
+                    short = np.maximum(1 - y[k] * (x @ weight + bias), 0) * np.where(y[k] > 0, balance, 1.0) * y[k]
+                    step = 1e-4 * weight - (short @ x) / len(k)
+                    scale += step * step
+                    weight = weight - 0.1 * step / np.sqrt(scale)
+                    step = -short.mean()
+                    bias_scale += step * step
+                    bias -= 0.1 * step / np.sqrt(bias_scale)
+                    if epoch:
+                        mean, mean_bias, n = mean + weight, mean_bias + bias, n + 1
         weight, bias = mean / n, mean_bias / n
         yield pa.RecordBatch.from_arrays(
             [pa.array([n], pa.int64()), pa.array([float(bias)]), pa.array([weight.tolist()], pa.list_(pa.float64()))],
@@ -398,8 +399,8 @@ def train(
     text_col: str = "text",
     label_col: str = "toxic",
     max_docs: int = 10_000,
-    toxic_words: int = 384,
-    other_words: int = 256,
+    toxic_words: int = 320,
+    other_words: int = 192,
     rounds: int = 5,
 ) -> Model:
     spark = docs.sparkSession
@@ -462,8 +463,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     schema = T.StructType([f for f in docs.schema.fields if f.name in names] + [T.StructField("toxicity", T.DoubleType())])
 
     def run(batches):
-        m, memory = shared.value, {}
-        for b in slices(batches, text_col, 2 << 20):
+        m = shared.value
+        memory = m.__dict__.setdefault("memory", {})  # later tasks of the worker go on with it
+        for b in slices(batches, text_col, 1 << 20):
             p = m.score(m.features(b.column(text_col), memory))
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(p)], names=[*names, "toxicity"])
 
