@@ -47,14 +47,13 @@ class Chunks:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate of a DataFrame (file sizes for a scan)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def width(spark: SparkSession, df: DataFrame, part_bytes: int = 16 << 20) -> int:
-    """Number of partitions for a table of this size."""
-    return int(min(20_000, max(int(spark.conf.get("spark.sql.shuffle.partitions")), input_bytes(df) // part_bytes)))
+    """Number of partitions for a table of this size: by Spark's estimate
+    (file sizes, for a scan), or as many as it has if there is none."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    known = size < 1 << 60  # Spark takes an unknown size for the largest number
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, size // part_bytes if known else df.rdd.getNumPartitions())
 
 
 def store(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:

@@ -6,13 +6,14 @@ corpus; else ``BACKOFF`` times the same with bigrams, else ``BACKOFF``
 again times its share of all words. N-grams seen once are seen in the
 document itself only, so they say nothing and are backed off from.
 
-Count tables are partitioned by n-gram hash. Each chunk of documents
-explodes to its different n-grams with their counts, one packed row per
-hash partition (:mod:`dimspark.llm.chunks`); the partition adds the counts
-of all chunks up and is joined back to the chunks that asked; scores are
-summed per document. Every n-gram of every document is counted: what is
-exchanged grows with the corpus, and a word that is in every document is
-one entry per chunk.
+Count tables are partitioned by n-gram hash, one order after the other.
+Each chunk of documents explodes to its different n-grams with their
+counts, one packed row per hash partition (:mod:`dimspark.llm.chunks`);
+the partition adds the counts of all chunks up and is joined back to the
+chunks that asked; scores are summed per document. An n-gram is exploded
+only if both parts of the order before occur ``MIN_COUNT`` times, else it
+cannot itself. What is exchanged grows with the corpus, and a word that is
+in every document is one entry per chunk.
 
 Words are runs of other than ASCII white space, with A-Z lower-cased.
 
@@ -44,26 +45,38 @@ def _unplanes(b: bytes) -> np.ndarray:
 
 
 class _Grams:
-    """A chunk's n-grams: per order the word positions they end at, the
-    different keys, and which key each position has."""
+    """A chunk's n-grams: per order a hash for the word each ends at."""
 
     def __init__(self, table: pa.Table, text_col: str):
         w = scan(table[text_col], SPACED_LOWER)
-        self.count, self.doc, h = w.count, w.doc, w.hash
-        within = np.arange(len(h)) - w.first[:-1][self.doc]
-        self.within = within
-        gram, self.end, self.keys, self.key_of, self.times = h, [], [], [], []
-        for k in range(ORDER):
-            if k:
-                gram = pair_hash(gram[: len(h) - k] if k > 1 else h[: max(len(h) - 1, 0)], h[k:])
-            end = np.flatnonzero(within >= k)
-            keys, key_of, times = np.unique(
-                mix(gram[end - k] ^ U64(k * 0x1234567)), return_inverse=True, return_counts=True
-            )
-            self.end.append(end)
-            self.keys.append(keys)
-            self.key_of.append(key_of)
-            self.times.append(times)
+        self.count, self.doc = w.count, w.doc
+        self.within = np.arange(len(w.hash)) - w.first[:-1][self.doc]
+        self.gram = [w.hash]
+        for k in range(1, ORDER):
+            longer = np.zeros(len(w.hash), np.uint64)
+            longer[1:] = pair_hash(self.gram[-1][:-1], w.hash[1:])
+            self.gram.append(longer)
+
+    def wanted(self, k: int, counts: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+        """N-grams of order k + 1 worth counting: their words' ends, the
+        different keys, the key of each end, and its times in the chunk. One
+        with a part that occurs too rarely is itself too rare."""
+        end = np.flatnonzero(self.within >= k)
+        if k:
+            end = end[(counts[-1][end] >= MIN_COUNT) & (counts[-1][end - 1] >= MIN_COUNT)]
+        return end, *np.unique(mix(self.gram[k][end] ^ U64(k * 0x1234567)), return_inverse=True, return_counts=True)
+
+    def counts(self, said: pa.Table, orders: int) -> list[np.ndarray]:
+        """Corpus counts of the n-grams that end at each word, by order."""
+        out: list[np.ndarray] = []
+        for k in range(orders):
+            end, _, key_of, _ = self.wanted(k, out)
+            got = C.answers(said, k)
+            c = np.zeros(len(self.doc), np.int64)
+            if got:
+                c[end] = np.concatenate([_unplanes(x) for x in got])[key_of]
+            out.append(c)
+        return out
 
 
 def _add_up(key, table):
@@ -82,26 +95,21 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     stored = C.write_chunks(spark, docs.select(id_col, text_col), text_col)
     n = stored.buckets * BUCKETS_PER_PART
 
-    def ask(key, table):
-        g = _Grams(table, text_col)
-        rows = []
-        for k in range(ORDER):
-            cut = C.bucket_cuts(g.keys[k], n)
+    def asking(k: int):
+        def ask(key, table, said):
+            g = _Grams(table, text_col)
+            _, keys, _, times = g.wanted(k, g.counts(said, k))
+            cut, rows = C.bucket_cuts(keys, n), []
             for b in np.flatnonzero(np.diff(cut)):
                 part = slice(cut[b], cut[b + 1])
-                rows.append((int(b), key[0].as_py(), k, C.pack_keys(g.keys[k][part]), _planes(g.times[k][part])))
-        return C.table_of(rows, C.ASK)
+                rows.append((int(b), key[0].as_py(), k, C.pack_keys(keys[part]), _planes(times[part])))
+            return C.table_of(rows, C.ASK)
+
+        return ask
 
     def add(key, table, said):
         g = _Grams(table, text_col)
-        words = len(g.doc)
-        counts = []  # of the n-gram that ends at each word, by order
-        for k in range(ORDER):
-            got = C.answers(said, k)
-            per_key = np.concatenate([_unplanes(x) for x in got]) if got else np.zeros(0, np.int64)
-            c = np.zeros(words, np.int64)
-            c[g.end[k]] = per_key[g.key_of[k]]
-            counts.append(c)
+        words, counts = len(g.doc), g.counts(said, ORDER)
         score = np.log(np.maximum(counts[0], 1))
         shares = np.ones(words, np.int64)  # scores that still lack the division by all words
         tries = np.minimum(g.within, ORDER - 1)
@@ -118,12 +126,18 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     by_chunk = stored.df.groupBy("__chunk")
     kind = docs.schema[id_col].dataType.simpleString()
-    counted = by_chunk.applyInArrow(ask, C.ASK).groupBy("bucket", "kind").applyInArrow(_add_up, C.ANSWER)
-    scored = by_chunk.cogroup(counted.groupBy("chunk")).applyInArrow(
+    said = spark.createDataFrame([], C.ANSWER)
+    tables = []
+    for k in range(ORDER):
+        asked = by_chunk.cogroup(said.groupBy("chunk")).applyInArrow(asking(k), C.ASK)
+        tables.append(C.store(spark, asked.groupBy("bucket").applyInArrow(_add_up, C.ANSWER), "counts"))
+        said = tables[0] if not k else said.unionByName(tables[-1])
+    scored = by_chunk.cogroup(said.groupBy("chunk")).applyInArrow(
         add, f"`{id_col}` {kind}, n_words long, part double, shares double"
     )
     scored = C.store(spark, scored, "lm-scores")
     stored.drop()
+    C.discard(*tables)
     words = scored.agg(F.sum("n_words")).first()[0] or 1
     score = F.col("part") - F.col("shares") * F.log(F.lit(float(words)))
     return scored.select(

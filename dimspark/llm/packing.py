@@ -6,12 +6,13 @@ at most ``capacity`` numbers, whatever the corpus. A configuration is a
 multiset of lengths that fits one sequence; the program asks for the
 fewest configurations that cover the histogram.
 
-*Multiplicative weights.* A length's price starts in proportion to the
-length and shrinks exponentially with the covered fraction of its pieces,
-so all lengths are used up at the same pace. An unbounded knapsack over
-the capacity prices configurations; one table gives the best
-configuration that contains each length, and all that come within
-``slack`` of the best are taken, each for a fraction of what is left.
+*Multiplicative weights.* A length's price starts a little more than in
+proportion to the length (long pieces are harder to place) and shrinks
+exponentially with the covered fraction of its pieces, so all lengths are
+used up at the same pace. An unbounded knapsack over the capacity prices
+configurations; one table gives the best configuration that contains each
+length. Those that fill a sequence but for ``slack`` are taken, each for a
+fraction of what is left, and the prices follow.
 
 *Rounding.* Every step takes whole multiples only; pieces left at the end
 (a few per configuration, or where nothing fills a sequence well) are
@@ -42,6 +43,8 @@ from dimspark.llm.chunks import store
 from dimspark.llm.text import slices
 from dimspark.llm.tokens import default_path, encoder
 
+BULK = 1.5  # power of the length in its first price
+
 Config = tuple[tuple[int, int], ...]  # ((length, how many), ...)
 
 
@@ -139,7 +142,7 @@ def best_fit(left: dict[int, int], capacity: int) -> list[tuple[Config, int]]:
     return list(merged.items())
 
 
-def plan(histogram: dict[int, int], capacity: int, rounds: int = 60, slack: float = 0.002, eta: float = 2.0) -> Plan:
+def plan(histogram: dict[int, int], capacity: int, rounds: int = 60, slack: float = 0.002, eta: float = 1.0) -> Plan:
     """Configurations that cover the histogram of piece lengths."""
     out = Plan(capacity)
     taken: dict[Config, int] = {}
@@ -152,15 +155,12 @@ def plan(histogram: dict[int, int], capacity: int, rounds: int = 60, slack: floa
         if not len(sizes):
             break
         covered = np.array([1 - left[s] / total[s] for s in sizes.tolist()])
-        price = sizes / capacity * np.exp(-eta * covered)
+        price = (sizes / capacity) ** BULK * np.exp(-eta * covered)
         best, last = _knapsack(sizes, price, capacity)
-        value = price + best[capacity - sizes]
         used = 0
-        for i in np.argsort(-value, kind="stable").tolist():
-            if value[i] < (1 - slack) * best[capacity]:
-                break
-            config = _config(last, int(sizes[i]), capacity)
-            if sum(s * n for s, n in config) < (1 - slack) * capacity:
+        for s in sizes[::-1].tolist():
+            config = _config(last, s, capacity)
+            if not left[s] or sum(s * n for s, n in config) < (1 - slack) * capacity:
                 continue
             most = min(left[s] // n for s, n in config)
             times = max(1, most // 4) if most else 0

@@ -38,6 +38,7 @@ from dimspark.llm.text import SPACED, U64, Words, mix, pair_hash, scan, slices,
 
 BITS, GRAM = 17, 4
 KEEP = 0.5
+SLICES = 64  # in which the weights are averaged
 SCALE = 20.0  # of the relative frequencies, so that weights stay small
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64)) | U64(1)
@@ -182,15 +183,28 @@ def _steps(shared, seed: int):
                 weight[g] -= 0.2 * step / np.sqrt(scale[g])
                 bias_scale += slope * slope
                 bias -= 0.1 * slope / np.sqrt(bias_scale)
-        packed = weight.astype("<f4").tobytes()
+        parts = [p.astype("<f4").tobytes() for p in weight.reshape(SLICES, -1)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([len(rows)], pa.int64()), pa.array([float(bias)]), pa.array([packed], pa.binary())],
-            names=["n", "bias", "weight"],
+            [
+                pa.array(range(SLICES), pa.int32()), pa.array([len(rows)] * SLICES, pa.int64()),
+                pa.array([float(bias)] * SLICES), pa.array(parts, pa.binary()),
+            ],
+            names=["slice", "n", "bias", "weight"],
         )
 
     return steps
 
 
+def _average(key, table):
+    """The mean of the partitions' weights, for one slice of them."""
+    n = table["n"].to_numpy()
+    mean = sum(np.frombuffer(w, "<f4") * np.float32(k / n.sum()) for w, k in zip(table["weight"].to_pylist(), n))
+    return pa.table(
+        [pa.array([key[0].as_py()], pa.int32()), pa.array([float(table["bias"].to_numpy() @ n / n.sum())]), pa.array([mean.tobytes()], pa.binary())],
+        names=["slice", "bias", "weight"],
+    )
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -212,10 +226,10 @@ def train(
     fit, held = sample.where(fold > 0).repartition(parts, "id"), sample.where(fold == 0)
     for seed in range(rounds):
         state = spark.sparkContext.broadcast((weight, bias, min(10.0, yes / no)))
-        got = fit.mapInArrow(_steps(state, seed), "n long, bias double, weight binary").collect()
-        total = sum(r.n for r in got)
-        weight = sum(np.frombuffer(r.weight, "<f4") * np.float32(r.n / total) for r in got)
-        bias = sum(r.bias * r.n for r in got) / total
+        steps = fit.mapInArrow(_steps(state, seed), "slice int, n long, bias double, weight binary")
+        mean = steps.groupBy("slice").applyInArrow(_average, "slice int, bias double, weight binary")
+        got = sorted(mean.collect(), key=lambda r: r.slice)  # one set of weights, however many partitions
+        weight, bias = np.concatenate([np.frombuffer(r.weight, "<f4") for r in got]), got[0].bias
         state.destroy()
     model = Model(weight, bias, np.array([1.0, 0.0]))
     shared = spark.sparkContext.broadcast(model)
