@@ -321,9 +321,8 @@ def staged_events_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log as JSON lines (ts in epoch ms) bulk-loaded into
     the staging table: fields matched through the mapping, ts read as a
     millisecond timestamp, blank text as NULL."""
-
-    files = spark.sparkContext.defaultParallelism  # every core writes; no key, so no hot file
-    src = _events_as_log_json(spark, sf_dir, files)
+    src = scratch_dir(spark, "log_json")
+    _log_json(spark, sf_dir).write.json(src)
     staged = clean_strings(read_json_mapped(spark, src, LOG_SCHEMA, STAGING_EVENTS_MAPPING, epoch_ms=["ts"]))
     return ntz(staged, "ts")
 
