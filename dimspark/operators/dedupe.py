@@ -5,8 +5,9 @@ runs. Here the winner per key is the row with the smallest (first) or
 largest (last) value of ``order``, ties broken by the remaining columns,
 so the result is one fixed row per key.
 
-Plan shape: one hash aggregate on the key with a partial (map-side)
-aggregate of a single struct per key and partition. A key that holds a
+Plan shape: one aggregate on the key (sort-based, as its buffer is a
+struct: it spills instead of failing), with a partial (map-side) aggregate
+of a single struct per key and partition. A key that holds a
 third of all rows therefore shuffles one row per map task, never the
 whole group; no window over an unbounded partition is used.
 """

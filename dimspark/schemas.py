@@ -13,6 +13,7 @@ NULLs. Values that fit in 32 bits read the same either way.
 
 from pyspark.sql import types as T
 
+# Field names and types of the raw sources and the tables.
 SONG_SCHEMA = T.StructType(
     [
         T.StructField("num_songs", T.IntegerType()),
