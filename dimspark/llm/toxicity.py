@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from dimspark.llm.chunks import store
 from dimspark.llm.labels import fit_curve, labelled_texts, sample_labels
-from dimspark.llm.text import SPACED_LOWER, mix, scan, slices, text_bytes, word_bytes
+from dimspark.llm.text import SPACED_LOWER, scan, slices, text_bytes, word_bytes
 
 DECAY, SPAN, POWER = 0.6, 5, 3
 LONGEST = 24  # words of a sentence
@@ -156,7 +156,7 @@ class Sentences:
     data: np.ndarray  # bytes of the different words
     start: np.ndarray
     end: np.ndarray
-    key: np.ndarray  # their hashes
+    key: np.ndarray  # their hashes; words joined of single letters come last and have none
     word: np.ndarray  # pairs of a word and a sentence it stands in,
     sentence: np.ndarray  # by sentence; each pair once
     text: np.ndarray  # of each sentence
@@ -189,15 +189,14 @@ def sentences(texts) -> Sentences:
         at = len(data) + np.cumsum([0] + [len(x) for x in extra])
         data = np.concatenate([data, np.frombuffer(b"".join(extra), np.uint8)])
         start, end = np.concatenate([start, at[:-1]]), np.concatenate([end, at[1:]])
-        own = mix(np.arange(len(extra), dtype=np.uint64) + np.uint64(1 << 40))  # never remembered
         back = np.concatenate([back, len(key) + np.arange(len(extra))])
-        key = np.concatenate([key, own])
         sentence_of = np.concatenate([sentence, extra_at])
     else:
         sentence_of = sentence
     # a word counts once in a sentence, however often it is repeated there
-    pair = np.unique(sentence_of * max(len(key), 1) + back)
-    return Sentences(data, start, end, key, pair % max(len(key), 1), pair // max(len(key), 1), doc[new])
+    n = max(len(start), 1)
+    pair = np.unique(sentence_of * n + back)
+    return Sentences(data, start, end, key, pair % n, pair // n, doc[new])
 
 
 def _cut_by(doc: np.ndarray, a: int, b: int) -> tuple[list[int], list[int]]:
@@ -218,10 +217,11 @@ class Model:
             memory.clear()
         known = s.key.tolist()
         new = np.array([i for i, k in enumerate(known) if k not in memory], np.int64)
-        word, mark, value = self.landmarks.kernel(s.data, s.start[new], s.end[new])
-        score = np.bincount(word, value * self.alpha[mark], len(new))
-        memory.update(zip(s.key[new].tolist(), score.tolist()))
-        return np.fromiter((memory[k] for k in known), np.float64, len(known))
+        scored = np.concatenate([new, np.arange(len(known), len(s.start))])  # words without a key anew each time
+        word, mark, value = self.landmarks.kernel(s.data, s.start[scored], s.end[scored])
+        score = np.bincount(word, value * self.alpha[mark], len(scored))
+        memory.update(zip(s.key[new].tolist(), score[: len(new)].tolist()))
+        return np.concatenate([np.fromiter((memory[k] for k in known), np.float64, len(known)), score[len(new) :]])
 
     def features(self, texts, memory: dict[int, float]) -> np.ndarray:
         """Of each text: its worst and second worst sentence's margin (the

@@ -385,6 +385,17 @@ def test_sentences_do_not_depend_on_the_batch(rows):
         assert np.isin(s.sentence, np.flatnonzero(s.text == i)).sum() == len(one.word)
 
 
+def test_spaced_words_do_not_take_scores_of_earlier_slices():
+    model = toxicity.Model(toxicity.Landmarks([b"idiot", b"zounkwit"]), np.array([2.0, 3.0]), -0.5, np.array([1.0, 0, 0, 0]))
+    slices = [["a b c", "1 2 3. x y z"], ["i d i o t", "lorem. you z o u n k w i t", "q r s"], ["d e f", "i d i o t"]]
+    memory = {}
+    for texts in slices:
+        got = model.features(pa.array(texts), memory)
+        alone = np.concatenate([model.features(pa.array([t]), {}) for t in texts])
+        assert (got == alone).all()
+    assert got[1, 0] > 0 > got[0, 0]
+
+
 # -- 7: sharding ---------------------------------------------------------------------
 
 
