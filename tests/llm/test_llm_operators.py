@@ -244,6 +244,16 @@ def test_keep_one(spark, docs, unique, nothing):
     assert near_dedup.keep_one(nothing).count() == 0
 
 
+def test_keep_one_keeps_unlike_texts_of_one_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    texts = [(7, a), (7, b), (7, a), (8, a + " tail"), (5, b + " tail"), (7, c), (9, None), (9, ""), (9, None), (10, "")]
+    more = spark.createDataFrame([(i, t, "c", 1, True, "u") for i, t in texts], SCHEMA).repartition(3)
+    got = near_dedup.keep_one(more)
+    assert got.columns == more.columns
+    want = [(5, b + " tail"), (7, a), (7, c), (9, None), (9, ""), (10, "")]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_superminhash_estimates_similarity():
     rng = np.random.default_rng(0)
     a = rng.integers(0, 2**63, 3000, dtype=np.uint64)
