@@ -184,6 +184,21 @@ def songs_artists_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return full_join_using(s, c, "nation_key").select("nation_key", "n_suppliers", "n_customers")
 
 
+@register(
+    "songs_full_artists",
+    with_ctes(SONGS_V_SQL, ARTISTS_FIRST_SQL)
+    + """SELECT COALESCE(s.artist_id, a.artist_id) AS artist_id, s.song_id, s.title, s.year, s.duration,
+       a.name, a.location, a.latitude, a.longitude
+FROM songs_v s FULL OUTER JOIN artists_t a ON s.artist_id = a.artist_id""",
+)
+def songs_full_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All songs FULL OUTER JOIN all artists USING artist_id (one row per
+    artist, so no song is repeated, D13)."""
+    songs = songs_v(spark, sf_dir)
+    artists = music.build_artists(songs, "first_wins")
+    return full_join_using(songs.select("artist_id", "song_id", "title", "year", "duration"), artists, "artist_id")
+
+
 @register(
     "hash_key",
     """SELECT event_id, md5(CAST(user_id AS VARCHAR) || CAST(date_trunc('second', ts) AS VARCHAR)) AS event_key
