@@ -2,8 +2,8 @@
 
 Equal texts are one atomic group. Groups are ordered by a digest of the
 text, cut to ``2 ** BITS`` ordered units, each a set of whole groups; that
-is 65,536 sizes at most, whatever the corpus, and fine enough for shards
-to differ by a fraction of a thousandth unless one group is large.
+is 65,536 sizes at most, whatever the corpus. The capacity is the least one
+over units, up to about one unit above the least one over groups (README).
 
 The smallest capacity for which the ordered units fit into the wanted
 number of contiguous shards is found by binary search; a capacity is
