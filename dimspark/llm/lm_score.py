@@ -1,17 +1,18 @@
 """Language-model scores by stupid backoff over the corpus's own counts.
 
 The score of a word after its two predecessors is its trigram's count over
-its history's, if the trigram occurs at least ``MIN_COUNT`` times in the
+its history's, if the trigram occurs at least ``min_count`` times in the
 corpus; else ``BACKOFF`` times the same with bigrams, else ``BACKOFF``
-again times its share of all words. N-grams seen once are seen in the
-document itself only, so they say nothing and are backed off from.
+again times its share of all words. With a ``min_count`` of 1 every n-gram
+counts. With 2, as in the registered query and its SQL, n-grams seen once,
+so in the document itself only, are backed off from.
 
 Count tables are partitioned by n-gram hash, one order after the other.
 Each chunk of documents explodes to its different n-grams with their
 counts, one packed row per hash partition (:mod:`dimspark.llm.chunks`);
 the partition adds the counts of all chunks up and is joined back to the
 chunks that asked; scores are summed per document. An n-gram is exploded
-only if both parts of the order before occur ``MIN_COUNT`` times, else it
+only if both parts of the order before occur ``min_count`` times, else it
 cannot itself. What is exchanged grows with the corpus, and a word that is
 in every document is one entry per chunk.
 
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from dimspark.llm import chunks as C
 from dimspark.llm.text import SPACED_LOWER, U64, mix, pair_hash, scan
 
-ORDER, MIN_COUNT, BACKOFF = 3, 2, 0.4
+ORDER, BACKOFF = 3, 0.4
 BUCKETS_PER_PART = 4
 
 
@@ -47,7 +48,8 @@ def _unplanes(b: bytes) -> np.ndarray:
 class _Grams:
     """A chunk's n-grams: per order a hash for the word each ends at."""
 
-    def __init__(self, table: pa.Table, text_col: str):
+    def __init__(self, table: pa.Table, text_col: str, min_count: int):
+        self.min_count = min_count
         w = scan(table[text_col], SPACED_LOWER)
         self.count, self.doc = w.count, w.doc
         self.within = np.arange(len(w.hash)) - w.first[:-1][self.doc]
@@ -63,7 +65,7 @@ class _Grams:
         with a part that occurs too rarely is itself too rare."""
         end = np.flatnonzero(self.within >= k)
         if k:
-            end = end[(counts[-1][end] >= MIN_COUNT) & (counts[-1][end - 1] >= MIN_COUNT)]
+            end = end[(counts[-1][end] >= self.min_count) & (counts[-1][end - 1] >= self.min_count)]
         return end, *np.unique(mix(self.gram[k][end] ^ U64(k * 0x1234567)), return_inverse=True, return_counts=True)
 
     def counts(self, said: pa.Table, orders: int) -> list[np.ndarray]:
@@ -89,15 +91,19 @@ def _add_up(key, table):
     return C.table_of([(r["chunk"], r["bucket"], r["kind"], _planes(n)) for r, n in zip(rows, parts)], C.ANSWER)
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_words, log_score (sum of natural logarithms) and mean_log_score."""
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_count: int = 2) -> DataFrame:
+    """id, n_words, log_score (sum of natural logarithms) and mean_log_score.
+    Bigrams and trigrams that occur less than min_count (>= 1) times are
+    backed off from."""
+    if min_count < 1:
+        raise ValueError("min_count is at least 1")
     spark = docs.sparkSession
     stored = C.write_chunks(spark, docs.select(id_col, text_col), text_col)
     n = stored.buckets * BUCKETS_PER_PART
 
     def asking(k: int):
         def ask(key, table, said):
-            g = _Grams(table, text_col)
+            g = _Grams(table, text_col, min_count)
             _, keys, _, times = g.wanted(k, g.counts(said, k))
             cut, rows = C.bucket_cuts(keys, n), []
             for b in np.flatnonzero(np.diff(cut)):
@@ -108,14 +114,14 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         return ask
 
     def add(key, table, said):
-        g = _Grams(table, text_col)
+        g = _Grams(table, text_col, min_count)
         words, counts = len(g.doc), g.counts(said, ORDER)
         score = np.log(np.maximum(counts[0], 1))
         shares = np.ones(words, np.int64)  # scores that still lack the division by all words
         tries = np.minimum(g.within, ORDER - 1)
         score += tries * np.log(BACKOFF)
         for k in range(1, ORDER):
-            seen = np.flatnonzero((counts[k] >= MIN_COUNT) & (g.within >= k))
+            seen = np.flatnonzero((counts[k] >= min_count) & (g.within >= k))
             score[seen] = np.log(counts[k][seen] / counts[k - 1][seen - 1]) + (tries[seen] - k) * np.log(BACKOFF)
             shares[seen] = 0
         total = np.bincount(g.doc, score, len(g.count))
@@ -150,7 +156,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 def query(spark, sf_dir: str) -> DataFrame:
     """op5: scores of every document under the corpus's own trigram model."""
-    found = lm_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = lm_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), min_count=2)  # as in SQL
     return found.select(
         "doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score")
     )

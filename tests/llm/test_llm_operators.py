@@ -346,6 +346,23 @@ def test_lm_scores(docs, rows, nothing):
     assert lm_score.lm_scores(nothing).count() == 0
 
 
+@pytest.mark.parametrize("floor", [1, 3])
+def test_lm_scores_with_another_floor(docs, rows, floor):
+    lists = [re.findall(WORD, (r[1] or "").translate(ASCII_LOWER)) for r in rows]
+    n = [collections.Counter(tuple(w[i : i + k]) for w in lists for i in range(len(w) - k + 1)) for k in (1, 2, 3)]
+    want = {}
+    for r, w in zip(rows, lists):
+        total = 0.0
+        for i in range(len(w)):
+            most = min(i, 2)
+            k = next(k for k in range(most, -1, -1) if not k or n[k][tuple(w[i - k : i + 1])] >= floor)
+            base = n[k - 1][tuple(w[i - k : i])] if k else sum(n[0].values())
+            total += np.log(n[k][tuple(w[i - k : i + 1])] / base) + (most - k) * np.log(0.4)
+        want[r[0]] = total
+    got = lm_score.lm_scores(docs, min_count=floor).collect()
+    assert len(got) == len(rows) and all(abs(r.log_score - want[r.doc_id]) < 1e-6 for r in got)
+
+
 # -- 6: toxicity --------------------------------------------------------------------
 
 
