@@ -33,6 +33,14 @@ def test_songs_and_artists(spark, tmp_dir):
     assert music.build_artists(songs, "distinct").count() == 4  # AR1 has two locations
 
 
+def test_songplays_increasing_key(spark, tmp_dir):
+    songs, logs = _load(spark, tmp_dir)
+    songs_t, artists_t = music.build_songs(songs, "distinct"), music.build_artists(songs, "first_wins")
+    keyed = music.build_songplays(logs, songs_t, artists_t, key="increasing")
+    ids = [r["songplay_id"] for r in keyed.collect()]
+    assert len(ids) == 7 and ids == sorted(set(ids))  # K9: unique, in row order
+
+
 def test_songplays_lookup_keeps_every_play(spark, tmp_dir):
     songs, logs = _load(spark, tmp_dir)
     songs_t = music.build_songs(songs, "distinct")
