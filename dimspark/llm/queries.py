@@ -8,11 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dimspark.llm import (
+    byte_bpe,
     chat,
     decontaminate,
     lm_score,
     near_dedup,
     packing,
+    periodic_runs,
     quality,
     sharding,
     substring_dedup,
@@ -35,6 +37,8 @@ QUERIES: dict[str, Query] = {
     "op8_decontaminate": decontaminate.query,
     "op9_chat_format": chat.query,
     "op10_packing": packing.query,
+    "op11_periodic_runs": periodic_runs.query,
+    "op13_byte_bpe": byte_bpe.query,
 }
 
 # Only what SQL can express; the others are tested against brute force.
