@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dimspark.llm import (
+    alignment,
     byte_bpe,
     chat,
     decontaminate,
@@ -38,6 +39,7 @@ QUERIES: dict[str, Query] = {
     "op9_chat_format": chat.query,
     "op10_packing": packing.query,
     "op11_periodic_runs": periodic_runs.query,
+    "op12_alignment": alignment.query,
     "op13_byte_bpe": byte_bpe.query,
 }
 

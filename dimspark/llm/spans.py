@@ -1,7 +1,7 @@
 """Spans of texts that tokenizers treat by themselves, and a memory of them.
 
 A span begins at a space that follows a character other than white space
-and reaches to the next such place. Pre-token patterns that join at most
+and is not the text's last, and reaches to the next such place. Pre-token patterns that join at most
 the spaces before a word never cross it, so what a tokenizer makes of a
 text is what it makes of its spans, in order. A worker process remembers
 the spans it has met by a 64-bit hash of their bytes; a text is then put
@@ -40,7 +40,7 @@ def cut(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     """(start, end, first) of the spans of texts data[off[i]:off[i + 1]]:
     text i has the spans first[i]:first[i + 1], none if it is empty."""
     at = np.flatnonzero(data == 0x20)
-    at = at[at > 0]
+    at = at[(at > 0) & (off[np.minimum(np.searchsorted(off, at + 1), len(off) - 1)] != at + 1)]
     at = at[~_white_end(data, at)]
     begin = off[:-1][off[1:] > off[:-1]]
     start = np.unique(np.concatenate([at, begin]))
