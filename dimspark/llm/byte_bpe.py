@@ -318,16 +318,24 @@ def _add_columns(df: DataFrame, source: str, fields: list[T.StructField], make:
     return df.select(*[F.col(f"`{f.name}`") for f in kept]).mapInArrow(run, T.StructType(kept + fields))
 
 
-def encode(docs: DataFrame, text_col: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """docs with n_tokens and ids (little-endian unsigned 32-bit numbers)."""
+def encode(
+    docs: DataFrame, text_col: str = "text", path: str | None = None, pattern: str | None = None, decoded: bool = False
+) -> DataFrame:
+    """docs with n_tokens and ids (little-endian unsigned 32-bit numbers);
+    with ``decoded`` also the bytes that the ids decode to, in the same pass."""
     path, pattern = path or default_path(), pattern or default_pattern()
 
     def make(texts):
-        ids, offsets = coder(path, pattern).encode_all(texts)
-        return pa.array(np.diff(offsets)), _binary(ids.astype("<u4").view(np.uint8), 4 * offsets)
+        bpe = coder(path, pattern)
+        ids, offsets = bpe.encode_all(texts)
+        out = [pa.array(np.diff(offsets)), _binary(ids.astype("<u4").view(np.uint8), 4 * offsets)]
+        if decoded:
+            data, ends = bpe.decode_all(ids)
+            out.append(_binary(data, ends[offsets]))
+        return out
 
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
-    return _add_columns(docs, text_col, fields, make)
+    return _add_columns(docs, text_col, fields + [T.StructField("decoded", T.BinaryType())] * decoded, make)
 
 
 def decode(coded: DataFrame, path: str | None = None, pattern: str | None = None, ids_col: str = "ids") -> DataFrame:
@@ -345,8 +353,7 @@ def decode(coded: DataFrame, path: str | None = None, pattern: str | None = None
 def query(spark, sf_dir: str) -> DataFrame:
     """op13: digests of every document's ids and of the bytes they decode to."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    back = decode(encode(docs).drop("text"))
-    return back.select(
+    return encode(docs, decoded=True).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
