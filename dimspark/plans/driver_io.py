@@ -15,9 +15,19 @@ from pyspark.sql import functions as F
 
 from dimspark.plans import immigration as im
 from dimspark.plans import music, query_tables as qt
-from dimspark.plans.driver import SONGPLAYS_LOOKUP_SQL, USERS_UPSERT_SQL, _songplays_lookup, _time_sql
+from dimspark.plans.driver import (
+    ARTISTS_FIRST_SQL,
+    LOOKUP_SQL,
+    SONGPLAYS_LOOKUP_SQL,
+    SONGS_T_SQL,
+    USERS_UPSERT_SQL,
+    _songplays_lookup,
+    _time_sql,
+)
 from dimspark.plans.driver_tables import EVENT_ROWS_SQL, SONGS_SESSIONS_SQL, SONGS_USERS_SQL, _event_rows
-from dimspark.plans.driver_views import PLAYS_V_SQL, events_log_v, plays_v, songs_v, table, with_ctes
+from dimspark.plans.driver_views import PLAYS_V_SQL, SONGS_V_SQL, events_log_v, plays_v, songs_v, table, with_ctes
+from dimspark.plans.loads import load_music_warehouse
+from dimspark.plans.quality import row_counts
 from dimspark.plans.registry import ntz, register
 from dimspark.schemas import LOG_SCHEMA, STAGING_EVENTS_MAPPING
 from dimspark.session import scratch_dir
@@ -144,10 +154,6 @@ def warehouse_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     user is stored once: also the later plays of sessions stored by load
     1, and none twice by load 3.
     """
-    from dimspark.plans.loads import load_music_warehouse
-    from dimspark.plans.quality import row_counts
-    from dimspark.sinks.versioned import read_latest
-
     logs = plays_v(spark, sf_dir)
     logs = logs.withColumn("userId", F.when(F.col("itemInSession") != 2, F.col("userId")))
     songs = songs_v(spark, sf_dir)
@@ -159,6 +165,49 @@ def warehouse_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_counts({n: read_latest(spark, f"{root}/{n}") for n in names})
 
 
+# Staged plays for the reload query. Of every order's lines: the third has
+# no item number, the fourth no session, the fifth no start time, the sixth
+# no user; the first three are staged twice in one batch. Its SQL counts
+# every valid play once, with NULL items equal.
+RELOAD_SQL = with_ctes(SONGS_V_SQL, PLAYS_V_SQL, SONGS_T_SQL, ARTISTS_FIRST_SQL, LOOKUP_SQL) + """,
+staged AS (SELECT CASE WHEN itemInSession <> 3 THEN itemInSession END AS item, sessionId, date_trunc('second', ts) AS t,
+                  userId, level, location, userAgent, song, artist, length
+           FROM plays_v WHERE page = 'NextSong' AND itemInSession NOT IN (4, 5, 6)),
+once AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY userId, sessionId, item, t
+           ORDER BY level NULLS FIRST, location NULLS FIRST, userAgent NULLS FIRST, song NULLS FIRST,
+                    artist NULLS FIRST, length NULLS FIRST) AS rn FROM staged) WHERE rn = 1)
+SELECT s.userId AS user_id, s.sessionId AS session_id, CAST(s.item AS BIGINT) AS item_in_session, s.t AS start_time,
+       s.level, lk.song_id, lk.artist_id
+FROM once s
+LEFT JOIN lk ON s.song = lk.title AND s.artist = lk.name AND s.length = lk.duration"""
+
+
+@register("warehouse_reloads", RELOAD_SQL)
+def warehouse_reloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads of overlapping, repeated and incomplete plays
+    into the fact partitioned by (year, month). Load 1 stages the log before
+    1997, load 2 all of it, load 3 all of it again."""
+    p = plays_v(spark, sf_dir)
+    line = F.col("itemInSession")
+    logs = p.withColumns(
+        {
+            "itemInSession": F.when(line != 3, line),
+            "sessionId": F.when(line != 4, F.col("sessionId")),
+            "ts": F.when(line != 5, F.col("ts")),
+            "userId": F.when(line != 6, F.col("userId")),
+            "__times": F.when(line <= 3, 2).otherwise(1),
+        }
+    )
+    logs = logs.withColumn("__times", F.explode(F.sequence(F.lit(1), "__times"))).drop("__times")
+    root, songs = scratch_dir(spark, "reloads"), songs_v(spark, sf_dir)
+    cut = F.lit("1997-01-01 00:00:00").cast("timestamp_ntz")
+    for staged in (logs.where(F.col("ts") < cut), logs, logs):
+        load_music_warehouse(spark, staged, songs, root)
+    fact = read_latest(spark, f"{root}/songplays")
+    names = ["user_id", "session_id", "item_in_session", "start_time", "level", "song_id", "artist_id"]
+    return ntz(fact.select(*names), "start_time")
+
+
 @register(
     "session_item_stored",
     "SELECT artist_name, song_title, duration FROM (" + SONGS_SESSIONS_SQL + ") WHERE session_id = 6930 AND item_session = 2",

@@ -24,8 +24,11 @@ from dimspark.plans.driver import (
     _songplays_lookup,
 )
 from dimspark.plans.driver_views import PLAYS_V_SQL, SONGS_V_SQL, plays_v, songs_v, table, with_ctes
-from dimspark.plans.quality import duplicate_keys, null_counts, row_counts
+from dimspark.plans.loads import stage_counted
+from dimspark.plans.quality import counts_frame, duplicate_keys, null_counts
 from dimspark.plans.registry import register
+from dimspark.session import scratch_dir
+from dimspark.sinks.folders import delete
 
 # ------------------------------------------------------- query-first tables
 
@@ -166,22 +169,15 @@ def skip_loaded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "songs_artists_full",
-    """SELECT COALESCE(s.nation_key, c.nation_key) AS nation_key, s.n_suppliers, c.n_customers
-FROM (SELECT s_nationkey AS nation_key, COUNT(*) AS n_suppliers FROM supplier WHERE s_acctbal > 5000 GROUP BY 1) s
-FULL OUTER JOIN (SELECT c_nationkey AS nation_key, COUNT(*) AS n_customers FROM customer WHERE c_acctbal < -900 GROUP BY 1) c
-ON s.nation_key = c.nation_key""",
+    """SELECT COALESCE(s.s_suppkey, c.c_custkey) AS key, s.s_name, c.c_name
+FROM supplier s FULL OUTER JOIN customer c ON s.s_suppkey = c.c_custkey""",
 )
 def songs_artists_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FULL OUTER JOIN USING key; the key is coalesced, misses on both sides."""
-    s = (
-        table(spark, sf_dir, "supplier").where(F.col("s_acctbal") > 5000)
-        .groupBy(F.col("s_nationkey").alias("nation_key")).agg(F.count(F.lit(1)).alias("n_suppliers"))
-    )
-    c = (
-        table(spark, sf_dir, "customer").where(F.col("c_acctbal") < -900)
-        .groupBy(F.col("c_nationkey").alias("nation_key")).agg(F.count(F.lit(1)).alias("n_customers"))
-    )
-    return full_join_using(s, c, "nation_key").select("nation_key", "n_suppliers", "n_customers")
+    """All suppliers FULL OUTER JOIN all customers USING key; the key is
+    coalesced, a miss leaves the other side's columns NULL."""
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("key"), "s_name")
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), "c_name")
+    return full_join_using(s, c, "key").select("key", "s_name", "c_name")
 
 
 @register(
@@ -237,22 +233,26 @@ UNION ALL SELECT 'songplays', COUNT(*) FROM plays p LEFT JOIN lk
 
 @register("count_report", COUNT_REPORT_SQL)
 def count_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row count of the seven tables of a full music load."""
-    logs = plays_v(spark, sf_dir)
-    songs = songs_v(spark, sf_dir)
-    songs_t = music.build_songs(songs, "distinct")
-    artists_t = music.build_artists(songs, "first_wins")
-    return row_counts(
-        {
-            "staging_events": logs,
-            "staging_songs": songs,
-            "artists": artists_t,
-            "songs": songs_t,
-            "time": music.build_time(logs, "number"),
-            "users": music.build_users(logs, "upsert"),
-            "songplays": _songplays_lookup(spark, sf_dir),
-        }
-    )
+    """Row count of the seven tables of a full music load. The
+    two sources are staged once, every table is built from what is staged,
+    and its rows are counted by the write (an ``Observation``): each source
+    is scanned once, and nothing is read to be counted."""
+    root = scratch_dir(spark, "count_report")
+    counts: dict[str, int] = {}
+    logs, counts["staging_events"] = stage_counted(plays_v(spark, sf_dir), f"{root}/staging_events")
+    songs, counts["staging_songs"] = stage_counted(songs_v(spark, sf_dir), f"{root}/staging_songs")
+
+    def written(name: str, df: DataFrame) -> DataFrame:
+        back, counts[name] = stage_counted(df, f"{root}/{name}")
+        return back
+
+    artists_t = written("artists", music.build_artists(songs, "first_wins"))
+    songs_t = written("songs", music.build_songs(songs, "distinct"))
+    written("time", music.build_time(logs, "number"))
+    written("users", music.build_users(logs, "upsert"))
+    written("songplays", music.build_songplays(logs, songs_t, artists_t, match="lookup"))
+    delete(spark, root)
+    return counts_frame(spark, counts)
 
 
 ORDERS_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]

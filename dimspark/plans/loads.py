@@ -9,8 +9,9 @@
 
 Each load writes every table once, reads the written dimensions back
 for the fact join (a lineage cut in the shared output folder, so a lost
-executor never recomputes the raw JSON parse), then runs one row-count
-job over the written tables and raises if any is empty (Q1).
+executor never recomputes the raw JSON parse). The writes count their
+rows (``Observation``), and a load raises if a table is empty (Q1): no job
+reads a table only to count it.
 """
 
 from __future__ import annotations
@@ -19,44 +20,53 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from dimspark.operators.incremental import new_rows
 from dimspark.operators.upsert import new_key_rows, skip_loaded
 from dimspark.plans import immigration as im
 from dimspark.plans import music
-from dimspark.plans.quality import check_non_empty, check_unique
+from dimspark.plans.quality import check_counts, check_unique
+from dimspark.sinks.upserted import upsert
 from dimspark.sinks.versioned import (
     compact,
     deltas_since_base,
     next_version,
     read_current,
     read_latest,
+    table_rows,
     write_delta,
     write_version,
 )
-from dimspark.sinks.writers import write_parquet
+from dimspark.sinks.writers import write_counted
 from dimspark.sources.files import read_csv_dir, read_logs, read_records, read_songs
 from dimspark.sources.labels import named_label_pairs, read_label_files
 from dimspark.sources.staging import clean_strings
 
 FACT_MODES = ("overwrite", "append", "new_plays", "skip_sessions")
 
-# What makes a stored play the same as a staged one, by fact mode.
-SAME_PLAY = {
-    "new_plays": ["user_id", "session_id", "item_in_session", "start_time"],
-    "skip_sessions": ["user_id", "session_id"],
-}
+# What makes a stored play the same as a staged one (NULL items compare
+# equal: the item is the one part of it that may be NULL).
+PLAY_IDENTITY = ["user_id", "session_id", "item_in_session", "start_time"]
+FACT_PARTITIONS = ["year", "month"]
 
 
-def stage(df: DataFrame, path: str) -> DataFrame:
-    """Clear-then-load a staging table and read it back.
+def stage_counted(df: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """Clear-then-load a staging table and read it back; the rows are
+    counted as they are written.
 
     Later steps scan the staged Parquet (columns pruned) instead of
     re-running the source parse or plan once per target table, and a lost
     executor recomputes from the staged files.
     """
-    write_parquet(df, path, mode="overwrite")
+    rows = write_counted(df, path, mode="overwrite")
     # The schema is known: reading back with it skips the inference job.
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), rows
+
+
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """K6/S5 without the count."""
+    return stage_counted(df, path)[0]
 
 
 def _with_year_month(df: DataFrame) -> DataFrame:
@@ -82,16 +92,17 @@ def load_music_lake(
     # columns it needs from there.
     songs_raw = stage(read_songs(spark, song_paths), f"{out}/_staging/songs")
     logs = stage(read_logs(spark, log_paths), f"{out}/_staging/logs")
-    write_parquet(music.build_songs(songs_raw, "first_wins"), f"{out}/songs", list(songs_partition))
-    write_parquet(music.build_artists(songs_raw, "first_wins"), f"{out}/artists")
-    write_parquet(music.build_users(logs, "upsert"), f"{out}/users")
-    write_parquet(music.build_time(logs, weekday_style), f"{out}/time", ["year", "month"])
-    songs_t = spark.read.parquet(f"{out}/songs").select(*music.SONG_COLUMNS)
-    artists_t = spark.read.parquet(f"{out}/artists")
-    plays = music.build_songplays(logs, songs_t, artists_t, match="lookup")
-    write_parquet(_with_year_month(plays), f"{out}/songplays", ["year", "month"])
-    tables = {t: spark.read.parquet(f"{out}/{t}") for t in ("songs", "artists", "users", "time", "songplays")}
-    return check_non_empty(tables)
+    built = {
+        "songs": (music.build_songs(songs_raw, "first_wins"), list(songs_partition)),
+        "artists": (music.build_artists(songs_raw, "first_wins"), []),
+        "users": (music.build_users(logs, "upsert"), []),
+        "time": (music.build_time(logs, weekday_style), ["year", "month"]),
+    }
+    counts = {name: write_counted(df, f"{out}/{name}", parts) for name, (df, parts) in built.items()}
+    songs_t, artists_t = (spark.read.schema(built[n][0].schema).parquet(f"{out}/{n}") for n in ("songs", "artists"))
+    plays = music.build_songplays(logs, songs_t.select(*music.SONG_COLUMNS), artists_t, match="lookup")
+    counts["songplays"] = write_counted(_with_year_month(plays), f"{out}/songplays", ["year", "month"])
+    return check_counts(counts)
 
 
 def load_music_warehouse(
@@ -107,21 +118,26 @@ def load_music_warehouse(
 ) -> dict[str, int]:
     """Staged tables -> versioned fact and dimension tables.
 
-    Staging text is cleaned (blank -> NULL). Plays without a user are not
-    loaded (the fact's user is NOT NULL). ``fact_mode``: ``new_plays`` adds
-    the plays that are not stored yet, by user, session, item and time;
+    Staging text is cleaned (blank -> NULL). Only valid plays are loaded:
+    user, session and start time are NOT NULL in the fact. ``fact_mode``:
+    ``new_plays`` adds the plays that are not stored yet, each once, told
+    apart by user, session, item (NULL equals NULL) and time;
     ``skip_sessions`` skips every play of a stored (user, session), so
     later plays of such a session are lost (J7); ``append`` adds every play
     (K4), ``overwrite`` replaces the fact. ``load_id`` names the load: run
     again with the same id after a failure, it reads what was stored before
     that id and rewrites its own folders only (default: a new id).
-    Dimensions are upserted into the previous version (K11/K12) unless
-    ``truncate_dims`` (K5) rebuilds them from the staged rows alone.
-    The fact is append-only: all modes but ``overwrite`` write only the
-    load's new rows (a delta folder), so a load's write grows with the new
-    rows, not with the whole fact table. A table with more than
-    ``compact_after`` deltas since its last full version is compacted after
-    the load (24: a day of hourly loads; ``None`` never compacts).
+    Dimensions are upserted (K11/K12) unless ``truncate_dims`` (K5) rebuilds
+    them from the staged rows alone. Users change in place: only the hash
+    partitions that the load touches are rewritten
+    (:mod:`dimspark.sinks.upserted`).
+    The fact is partitioned by (year, month) and append-only: all modes but
+    ``overwrite`` write only the load's new rows (a delta folder), and look
+    for stored plays in the staged months alone, so a load grows with the
+    batch and not with the fact. A table with more than ``compact_after``
+    deltas since its last full version is compacted after the load (24: a
+    day of hourly loads; ``None`` never compacts).
+    Returns the rows of each table, as counted by the writes.
     """
     if fact_mode not in FACT_MODES:
         raise ValueError(f"fact_mode must be one of {FACT_MODES}")
@@ -131,47 +147,71 @@ def load_music_warehouse(
 
     # One id for the whole load, above every table's newest folder (a
     # compaction may have given one table a higher id than the others).
-    names = ("songs", "artists", "users", "time", "songplays")
-    v = max(next_version(spark, f"{root}/{n}") for n in names) if load_id is None else load_id
-
-    def prev(name: str) -> DataFrame | None:
-        return None if truncate_dims else read_current(spark, f"{root}/{name}", before=v)
+    names = ("songs", "artists", "time", "songplays")
+    users_root, fact_root = f"{root}/users", f"{root}/songplays"
+    v = max(next_version(spark, f"{root}/{n}") for n in (*names, "users")) if load_id is None else load_id
 
     # Insert-only dimensions (K11): write just the new keys as a delta once
-    # the table exists. Users (K12) change in place: a new full version.
+    # the table exists.
     insert_only = {
         "songs": (music.build_songs(so, "distinct"), ["song_id"], music.SONG_COLUMNS),
         "artists": (music.build_artists(so, "distinct"), ["artist_id"], music.ARTIST_COLUMNS),
         "time": (music.build_time(ev, "number"), ["start_time"], music.TIME_COLUMNS),
     }
     for name, (batch, key, cols) in insert_only.items():
-        stored = prev(name)
+        batch = batch.select(*cols)
+        stored = None if truncate_dims else read_current(spark, f"{root}/{name}", before=v, schema=batch.schema)
         new = new_key_rows(stored, batch, key, [c for c in cols if c not in key]).select(*cols)
         if stored is None:
             write_version(new, f"{root}/{name}", v)
         else:
             write_delta(new, f"{root}/{name}", v)
-    write_version(music.build_users(ev, "upsert", existing=prev("users")), f"{root}/users", v)
-    songs_t = read_latest(spark, f"{root}/songs")
-    artists_t = read_latest(spark, f"{root}/artists")
+    load_users(spark, ev, users_root, v, fresh=truncate_dims)
+
+    plays = _with_year_month(music.valid_plays(ev))
+    current = read_current(spark, fact_root, before=v, schema=_fact_schema(plays, so))
+    if fact_mode in ("new_plays", "overwrite"):
+        identity = ["userId", "sessionId", "itemInSession", "start_time"]
+        stored = None
+        if current is not None and fact_mode == "new_plays":
+            stored = current.select(
+                *[F.col(c).alias(raw) for c, raw in zip(PLAY_IDENTITY, identity)], *FACT_PARTITIONS
+            )
+        plays = new_rows(plays, stored, identity, FACT_PARTITIONS)
+    elif fact_mode == "skip_sessions" and current is not None:
+        plays = skip_loaded(plays, current, ["userId", "sessionId"], ["user_id", "session_id"])
     if match == "lookup":
-        plays = music.build_songplays(ev, songs_t, artists_t, match="lookup", item=True)
+        dims = (read_latest(spark, f"{root}/{n}", insert_only[n][0].select(*insert_only[n][2]).schema) for n in ("songs", "artists"))
+        facts = music.songplays_of(plays, *dims, match="lookup", item=True, keep=FACT_PARTITIONS)
     else:
-        plays = music.build_songplays(ev, so, match=match, item=True)
-    plays = plays.where(F.col("user_id").isNotNull())
-    current = read_current(spark, f"{root}/songplays", before=v)
+        facts = music.songplays_of(plays, so, match=match, item=True, keep=FACT_PARTITIONS)
     if current is None or fact_mode == "overwrite":
-        write_version(plays, f"{root}/songplays", v)
+        write_version(facts, fact_root, v, FACT_PARTITIONS)
     else:
-        # Append-only fact: write only this load's rows as a delta.
-        if fact_mode in SAME_PLAY:
-            plays = skip_loaded(plays, current, SAME_PLAY[fact_mode], SAME_PLAY[fact_mode])
-        write_delta(plays, f"{root}/songplays", v)
+        write_delta(facts, fact_root, v, FACT_PARTITIONS)
     if compact_after is not None:
-        for name in ("songs", "artists", "time", "songplays"):
+        for name in names:
             if deltas_since_base(spark, f"{root}/{name}") > compact_after:
-                compact(spark, f"{root}/{name}")
-    return check_non_empty({n: read_latest(spark, f"{root}/{n}") for n in names})
+                fact = name == "songplays"
+                schema = facts.schema if fact else insert_only[name][0].select(*insert_only[name][2]).schema
+                compact(spark, f"{root}/{name}", FACT_PARTITIONS if fact else (), schema)
+    return check_counts({n: table_rows(spark, f"{root}/{n}") for n in ("songs", "artists", "users", "time", "songplays")})
+
+
+def load_users(spark: SparkSession, events: DataFrame, users_root: str, load: int, fresh: bool = False) -> dict:
+    """K12 on the stored users table: the hash partitions that the events'
+    users lie in are read, upserted and written; others stay as they are.
+    ``fresh`` (K5) leaves out what was stored. Returns the load's record."""
+    return upsert(
+        spark, users_root, music.user_rows(events), ["user_id"],
+        lambda stored, new: music.upsert_users(new, stored), load,
+        fresh=fresh, adopt=read_current(spark, users_root, before=load),
+    )
+
+
+def _fact_schema(plays: DataFrame, songs: DataFrame) -> T.StructType:
+    """The stored fact's columns, with the types that these sources give."""
+    return music.songplays_of(plays, songs, match="left3", item=True, keep=FACT_PARTITIONS).schema
 
 
 def load_immigration(
@@ -204,12 +244,12 @@ def load_immigration(
         "DIM_country": im.build_code_dim(named_label_pairs(labels, "country"), "country_id", "country"),
         "DIM_state": im.build_state(demo, im.temperature_per_state(demo, temps)),
     }
-    for name, df in dims.items():
-        write_parquet(df, f"{out}/{name}")
+    counts = {name: write_counted(df, f"{out}/{name}") for name, df in dims.items()}
     fact = im.build_fact_immigration(read_records(spark, records, records_format), valid)
-    write_parquet(fact, f"{out}/FACT_immigration", ["im_yr", "im_mon"])
-    tables = {n: spark.read.parquet(f"{out}/{n}") for n in [*dims, "FACT_immigration"]}
-    counts = check_non_empty(tables)
+    counts["FACT_immigration"] = write_counted(fact, f"{out}/FACT_immigration", ["im_yr", "im_mon"])
+    check_counts(counts)
+    built = dims | {"FACT_immigration": fact}
+    tables = {n: spark.read.schema(df.schema).parquet(f"{out}/{n}") for n, df in built.items()}
     keys = {"DIM_airports": "port_id", "DIM_visa": "visa_id", "DIM_mode": "mode_id", "DIM_country": "country_id",
             "DIM_state": "state_id", "FACT_immigration": "im_id"}
     for name, key in keys.items():
@@ -221,12 +261,12 @@ def load_new_logs(spark: SparkSession, log_paths: str | Sequence[str], tables_ro
     """Batch form of the incremental log load: upsert users and time from
     new log files into the next version of each table; returns the version."""
     root = tables_root.rstrip("/")
-    logs = read_logs(spark, log_paths)
-    v = max(next_version(spark, f"{root}/users"), next_version(spark, f"{root}/time"))
-    users = music.build_users(logs, "upsert", existing=read_latest(spark, f"{root}/users"))
-    stored_time = read_latest(spark, f"{root}/time")
-    new_time = new_key_rows(stored_time, music.build_time(logs), ["start_time"], ["start_time"])
-    write_version(users, f"{root}/users", v)
+    logs = stage(read_logs(spark, log_paths), f"{root}/_staging/new_logs")
+    v = max(next_version(spark, f"{root}/{n}") for n in ("users", "time"))
+    load_users(spark, logs, f"{root}/users", v)
+    new_time = music.build_time(logs)
+    stored_time = read_latest(spark, f"{root}/time", new_time.schema)
+    new_time = new_key_rows(stored_time, new_time, ["start_time"], ["start_time"])
     if stored_time is None:
         write_version(new_time, f"{root}/time", v)
     else:

@@ -125,14 +125,24 @@ def build_users(
     ``existing`` if given. ``distinct`` (A3): every distinct row, so a user
     whose level changed appears twice.
     """
-    rows = _user_rows(logs).where(F.col("user_id").isNotNull())
+    rows = user_rows(logs)
     if mode == "distinct":
         return rows.select(*USER_COLUMNS).distinct()
     if mode == "upsert":
-        return upsert_update(existing, rows, ["user_id"], list(LOG_ORDER), ["level"]).select(*USER_COLUMNS)
+        return upsert_users(rows, existing)
     raise ValueError(mode)
 
 
+def user_rows(logs: DataFrame) -> DataFrame:
+    """The users' columns of every song play with a user, and its order."""
+    return _user_rows(logs).where(F.col("user_id").isNotNull())
+
+
+def upsert_users(rows: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """K12 on rows from ``user_rows``."""
+    return upsert_update(existing, rows, ["user_id"], list(LOG_ORDER), ["level"]).select(*USER_COLUMNS)
+
+
 def build_time(
     logs: DataFrame,
     weekday_style: str = "number",
@@ -161,7 +171,17 @@ def _plays_with_time(logs: DataFrame, precision: str) -> DataFrame:
     return plays.withColumn("start_time", start_time(plays, "ts", precision))
 
 
-def _songplay_select(df: DataFrame, key: str, item: bool = False) -> DataFrame:
+def valid_plays(logs: DataFrame, precision: str = "second") -> DataFrame:
+    """The song plays the fact may hold, with what it is built from: user,
+    session and start time are NOT NULL there. ``userId`` and
+    ``itemInSession`` come as whole numbers."""
+    plays = _plays_with_time(logs, precision)
+    used = ["start_time", "userId", "level", "sessionId", "location", "userAgent", "song", "artist", "length", "itemInSession"]
+    plays = plays.withColumns({c: as_id(plays, c) for c in ("userId", "itemInSession")}).select(*used)
+    return plays.where("userId IS NOT NULL AND sessionId IS NOT NULL AND start_time IS NOT NULL")
+
+
+def _songplay_select(df: DataFrame, key: str, item: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     if key == "md5":
         sid = md5_key("sessionId", "start_time")
     elif key == "increasing":
@@ -179,6 +199,7 @@ def _songplay_select(df: DataFrame, key: str, item: bool = False) -> DataFrame:
         "location",
         F.col("userAgent").alias("user_agent"),
         *([as_id(df, "itemInSession").alias("item_in_session")] if item else []),
+        *keep,
     )
 
 
@@ -211,6 +232,21 @@ def build_songplays(
     used = ["start_time", "userId", "level", "sessionId", "location", "userAgent", "song", "artist", "length"]
     used += ["itemInSession"] if item else []
     plays = _plays_with_time(logs, precision).select(*used)
+    return songplays_of(plays, songs, artists, match, key, salt_buckets, item)
+
+
+def songplays_of(
+    plays: DataFrame,
+    songs: DataFrame,
+    artists: DataFrame | None = None,
+    match: str = "lookup",
+    key: str = "md5",
+    salt_buckets: int = 0,
+    item: bool = False,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """C5 on plays that have their start_time (as from ``valid_plays``);
+    ``keep`` names further columns of plays that stay."""
     if match == "lookup":
         if artists is None:
             raise ValueError("lookup match needs the artists table")
@@ -219,12 +255,12 @@ def build_songplays(
             plays, lk, ["song", "artist", "length"], ["title", "name", "duration"], ["song_id", "artist_id"],
             salt_buckets=salt_buckets,
         )
-        return _songplay_select(joined, key, item)
+        return _songplay_select(joined, key, item, keep)
     if match == "left3":
         joined = left_join_all(
             plays, songs, ["song", "artist", "length"], ["title", "artist_name", "duration"], ["song_id", "artist_id"]
         )
-        return _songplay_select(joined, key, item)
+        return _songplay_select(joined, key, item, keep)
     if match == "inner2":
         joined = inner_join(plays, songs, ["song", "artist"], ["title", "artist_name"], ["song_id", "artist_id"])
         if key == "md5":
@@ -233,8 +269,8 @@ def build_songplays(
             # narrower shuffle rows and fewer hashes than hashing the fan-out.
             cols = ["start_time", "userId", "level", "song_id", "artist_id", "sessionId", "location", "userAgent"]
             cols += ["itemInSession"] if item else []
-            return _songplay_select(joined.select(*cols).distinct(), key, item)
-        return _songplay_select(joined, key, item).distinct()
+            return _songplay_select(joined.select(*cols, *keep).distinct(), key, item, keep)
+        return _songplay_select(joined, key, item, keep).distinct()
     raise ValueError(match)
 
 

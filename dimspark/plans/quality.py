@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimspark.operators.aggregates import count_report
@@ -26,10 +26,20 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 def check_non_empty(tables: Mapping[str, DataFrame], raise_on_fail: bool = True) -> dict[str, int]:
     """Q1: every table must hold at least one row; raises otherwise."""
     counts = {r["table"]: r["count"] for r in row_counts(tables).collect()}
+    return check_counts(counts) if raise_on_fail else counts
+
+
+def counts_frame(spark: SparkSession, counts: Mapping[str, int], label: str = "table", name: str = "count") -> DataFrame:
+    """Q4/A11 from counts that the writes have taken: (table, count) rows."""
+    return spark.createDataFrame(list(counts.items()), f"`{label}` string, `{name}` bigint")
+
+
+def check_counts(counts: Mapping[str, int]) -> dict[str, int]:
+    """Q1 on counts that the writes have taken; runs no job."""
     empty = [t for t, n in counts.items() if n < 1]
-    if empty and raise_on_fail:
+    if empty:
         raise DataQualityError(f"Data quality check failed: {', '.join(empty)} contained 0 rows")
-    return counts
+    return dict(counts)
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

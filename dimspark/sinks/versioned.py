@@ -16,27 +16,31 @@ overwrite the path they read. A folder counts once its ``_SUCCESS``
 marker exists (Spark writes it when the job commits), so a load that
 died half-way is ignored and simply re-run with the same id, which
 rewrites exactly its own folder.
+
+A folder's row count is taken while it is written and kept beside its
+rows (``_ROWS``), so ``table_rows`` adds up a few small files and runs no
+job.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from dimspark.sinks.writers import write_parquet
+from dimspark.sinks.folders import file_system, read_text, write_text
+from dimspark.sinks.upserted import committed_loads, read_upserted, upserted_rows
+from dimspark.sinks.writers import write_counted
 
 VERSION_PREFIX = "v="
 DELTA_PREFIX = "d="
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+ROWS_FILE = "_ROWS"
 
 
 def _committed(spark: SparkSession, root: str) -> list[tuple[int, str]]:
     """(id, prefix) of the complete folders under ``root``, by id."""
-    fs, p = _fs(spark, root)
+    fs, p = file_system(spark, root)
     if not fs.exists(p):
         return []
     out = []
@@ -49,8 +53,8 @@ def _committed(spark: SparkSession, root: str) -> list[tuple[int, str]]:
 
 
 def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    """Ids of the complete loads (full versions and deltas)."""
-    return [i for i, _ in _committed(spark, root)]
+    """Ids of the complete loads (full versions, deltas, upserts)."""
+    return sorted({i for i, _ in _committed(spark, root)} | set(committed_loads(spark, root)))
 
 
 def version_path(root: str, version: int, delta: bool = False) -> str:
@@ -67,14 +71,56 @@ def current_paths(spark: SparkSession, root: str, before: int | None = None) ->
     return paths + [version_path(root, i, delta=True) for i, k in done if k == DELTA_PREFIX and i > base]
 
 
-def read_current(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
+def read_current(
+    spark: SparkSession, root: str, before: int | None = None, schema: T.StructType | None = None
+) -> DataFrame | None:
+    """The table before load ``before`` (None if it has no load yet). With a
+    schema no file is opened to infer one, and loads without rows are read
+    as such. A table kept by :mod:`dimspark.sinks.upserted` is read as that."""
+    upserted = read_upserted(spark, root, before)
+    if upserted is not None:
+        return upserted
     paths = current_paths(spark, root, before)
-    return spark.read.parquet(*paths) if paths else None
+    if not paths:
+        return None
+    return _read_folders(spark, paths, schema)
+
+
+def _read_folders(spark: SparkSession, paths: list[str], schema: T.StructType | None) -> DataFrame:
+    """One scan of all plain folders. A folder with partition folders in it
+    is a scan of its own (Spark discovers partitions under one root), which
+    a filter on them prunes; compaction bounds their number."""
+    plain, parted = [], []
+    for path in paths:
+        fs, p = file_system(spark, path)
+        names = [x.getPath().getName() for x in fs.listStatus(p)]
+        if any("=" in n for n in names):
+            parted.append([path])
+        elif any(not n.startswith(("_", ".")) for n in names):
+            plain.append(path)
+    if not plain and not parted and schema:
+        return spark.createDataFrame([], schema)
+    scans = [(spark.read.schema(schema) if schema else spark.read).parquet(*x) for x in parted + [plain] * bool(plain)]
+    return reduce(lambda a, b: a.unionByName(b), scans)
+
+
+def read_latest(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The table as of its newest complete load."""
+    return read_current(spark, root, schema=schema)
 
 
-def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
-    """The table as of its newest complete load."""
-    return read_current(spark, root)
+def folder_rows(spark: SparkSession, path: str) -> int:
+    """Rows of one load's folder: as counted by its write, else counted now."""
+    kept = read_text(spark, f"{path}/{ROWS_FILE}")
+    return int(kept) if kept else _read_folders(spark, [path], None).count()
+
+
+def table_rows(spark: SparkSession, root: str, before: int | None = None) -> int:
+    """Rows of the current table, from the counts kept with its folders."""
+    upserted = upserted_rows(spark, root, before)
+    if upserted is not None:
+        return upserted
+    return sum(folder_rows(spark, path) for path in current_paths(spark, root, before))
 
 
 def batch_version(spark: SparkSession, root: str, tables, stream: str, batch: int) -> int:
@@ -82,7 +128,7 @@ def batch_version(spark: SparkSession, root: str, tables, stream: str, batch: in
     when the batch first runs, and the same one when it runs again. Kept as
     an empty folder named by the id, under the stream and the batch."""
     base = f"{root.rstrip('/')}/_batches/{stream}/{batch:012d}"
-    fs, p = _fs(spark, base)
+    fs, p = file_system(spark, base)
     known = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
     if known:
         return max(int(name[2:]) for name in known)
@@ -96,17 +142,21 @@ def next_version(spark: SparkSession, root: str) -> int:
     return vs[-1] + 1 if vs else 0
 
 
-def write_version(df: DataFrame, root: str, version: int, partition_by=()) -> str:
-    path = version_path(root, version)
-    write_parquet(df, path, partition_by)
-    return path
+def _write(df: DataFrame, path: str, partition_by) -> int:
+    rows = write_counted(df, path, partition_by)
+    write_text(df.sparkSession, f"{path}/{ROWS_FILE}", str(rows))
+    return rows
+
+
+def write_version(df: DataFrame, root: str, version: int, partition_by=()) -> int:
+    """The whole table as of load ``version``; returns its rows."""
+    return _write(df, version_path(root, version), partition_by)
 
 
-def write_delta(df: DataFrame, root: str, version: int, partition_by=()) -> str:
-    """Rows added by load ``version``; the table before it is not rewritten."""
-    path = version_path(root, version, delta=True)
-    write_parquet(df, path, partition_by)
-    return path
+def write_delta(df: DataFrame, root: str, version: int, partition_by=()) -> int:
+    """Rows added by load ``version``; the table before it is not rewritten.
+    Returns their number."""
+    return _write(df, version_path(root, version, delta=True), partition_by)
 
 
 def deltas_since_base(spark: SparkSession, root: str) -> int:
@@ -116,10 +166,12 @@ def deltas_since_base(spark: SparkSession, root: str) -> int:
     ) else len(current_paths(spark, root))
 
 
-def compact(spark: SparkSession, root: str, partition_by=()) -> str | None:
+def compact(spark: SparkSession, root: str, partition_by=(), schema: T.StructType | None = None) -> str | None:
     """Write the current table (base + deltas) as a new full version, so
-    later reads scan one folder instead of many."""
-    cur = read_current(spark, root)
+    later reads scan one folder instead of many. Returns its folder."""
+    cur = read_current(spark, root, schema=schema)
     if cur is None:
         return None
-    return write_version(cur, root, next_version(spark, root), partition_by)
+    version = next_version(spark, root)
+    write_version(cur, root, version, partition_by)
+    return version_path(root, version)

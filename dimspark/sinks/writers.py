@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dimspark.schemas import TABLE_DDL, TABLE_PARTITIONS
@@ -30,13 +30,36 @@ def write_parquet(
     splits a folder that holds a large share of the rows over several
     tasks instead of one.
     """
-    w = df
-    if partition_by and balance:
-        w = df.hint("rebalance", *partition_by)
-    writer = w.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    _parquet_writer(_balanced(df, partition_by) if balance else df, partition_by, mode).parquet(path)
+
+
+def _balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
+def _parquet_writer(df: DataFrame, partition_by: Sequence[str], mode: str):
+    writer = df.write.mode(mode)
+    return writer.partitionBy(*partition_by) if partition_by else writer
+
+
+def write_counted(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> int:
+    """write_parquet that returns the number of rows written (Q1, A11): an
+    ``Observation`` counts them in the tasks that write them, so no second
+    job reads the table to count it."""
+    seen = Observation()
+    counted = _balanced(df, partition_by).observe(seen, F.count(F.lit(1)).alias("rows"))
+    _parquet_writer(counted, partition_by, mode).parquet(path)
+    return int(seen.get["rows"])
+
+
+def write_counted_by(df: DataFrame, path: str, column: str, values: int) -> dict[int, int]:
+    """write_counted for a table partitioned by one whole-number column of
+    at most ``values`` values: the rows of each. The histogram has a bin
+    for every value, so its counts are exact."""
+    seen = Observation()
+    counts = F.histogram_numeric(F.col(column), F.lit(max(values, 2))).alias("rows")
+    _parquet_writer(_balanced(df, [column]).observe(seen, counts), [column], "overwrite").parquet(path)
+    return {int(b["x"]): int(b["y"]) for b in seen.get["rows"] or []}
 
 
 def write_csv_quoted(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True) -> None:
@@ -53,16 +76,6 @@ def load(df: DataFrame, path: str, truncate: bool = False, partition_by: Sequenc
     write_parquet(df, path, partition_by, mode="overwrite" if truncate else "append")
 
 
-def replace_table(df: DataFrame, new_path: str, partition_by: Sequence[str] = ()) -> str:
-    """Write the next version of a table to a new path and return it.
-
-    Used for upserts, whose result is computed from the current version:
-    overwriting the path being read would lose data.
-    """
-    write_parquet(df, new_path, partition_by)
-    return new_path
-
-
 def write_clustered(
     df: DataFrame,
     path: str,

@@ -5,7 +5,8 @@ D15) or skips sessions already loaded (D12). Here new log files are
 picked up by a Structured Streaming file source; each micro-batch runs
 the same batch builders through ``foreachBatch``:
 
-* users: K12 upsert merged into the previous version of the table,
+* users: K12 upsert of the hash partitions that the batch's users lie in
+  (the others are not read or written),
 * time: K11 insert of start times not yet stored (only the new ones are
   written, as a delta folder),
 * songplays: the batch's plays written to their own batch folder.
@@ -25,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from dimspark.operators.upsert import new_key_rows
 from dimspark.plans import music
+from dimspark.plans.loads import load_users
 from dimspark.schemas import LOG_SCHEMA
 from dimspark.sinks.versioned import (  # noqa: F401
     batch_version,
@@ -55,8 +57,7 @@ def make_batch_loader(spark: SparkSession, target_root: str, songs: DataFrame |
         write_parquet(batch, staged)
         rows = spark.read.schema(batch.schema).parquet(staged)
 
-        users = music.build_users(rows, "upsert", existing=read_current(spark, users_root, before=v))
-        write_version(users, users_root, v)
+        load_users(spark, rows, users_root, v)
 
         stored_time = read_current(spark, time_root, before=v)
         new_time = new_key_rows(stored_time, music.build_time(rows, "number"), ["start_time"], ["start_time"])
