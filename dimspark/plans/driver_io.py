@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimspark.plans import immigration as im
@@ -31,6 +31,7 @@ from dimspark.plans.quality import row_counts
 from dimspark.plans.registry import ntz, register
 from dimspark.schemas import LOG_SCHEMA, STAGING_EVENTS_MAPPING
 from dimspark.session import scratch_dir
+from dimspark.sinks.folders import delete
 from dimspark.sinks.writers import (
     create_database,
     create_table,
@@ -41,7 +42,7 @@ from dimspark.sinks.writers import (
     write_parquet,
 )
 from dimspark.sources.files import read_json_mapped, read_logs, read_parquet_table, read_table
-from dimspark.sources.labels import LABEL_SECTIONS, named_label_pairs, read_label_files
+from dimspark.sources.labels import LABEL_SECTIONS, all_label_pairs, named_label_pairs, read_label_files
 from dimspark.sources.staging import clean_strings
 from dimspark.streaming.log_stream import read_latest, start_log_stream
 
@@ -239,92 +240,81 @@ def user_history_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------ label text files
 
-# Label files written from ``customer``: one file per block of 500 customer
-# keys (the key is unique, so no file grows with skew). Lines of a block, in
-# order: a header, an entry per customer *before* the first marker, the
-# start marker, the section entries (a customer with a negative balance
-# gets an entry without quotes, which the pattern skips), the end marker,
-# entries after it, the start marker once more and entries after that.
-# Only the section entries may come out.
-LABEL_BLOCK = 500
-_LABEL_CODE = "format_string('%03d', c_nationkey)"
+# Label files written from ``customer``: one file per block of 5,000 customer
+# keys (the key is unique, so no file grows with skew), with the four
+# sections in their own layouts. Before, between and after the sections
+# stand lines that look like entries of another one, and the country section
+# is opened again at the end: none of these may come out. A customer with a
+# negative balance gets an entry that the section's pattern skips.
+LABEL_BLOCK = 5000
 
 
 def _label_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-
-    start, end, _ = LABEL_SECTIONS["country"]
+    """(grp, k1, k2, line): k1 numbers the parts of a file, k2 the customers."""
     c = table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_nationkey", "c_name", "c_acctbal", (F.col("c_custkey") / LABEL_BLOCK).cast("bigint").alias("grp")
-    )
-    code = F.expr(_LABEL_CODE)
-
-    def entry(k1: int, line) -> Column:
-        return F.struct(F.lit(k1).alias("k1"), F.col("c_custkey").alias("k2"), line.alias("line"))
-
-    inside = F.when(
-        F.col("c_acctbal") >= 0, F.format_string("%s =  '%s'", code, F.col("c_name"))
-    ).otherwise(F.format_string("%s = %s", code, F.col("c_name")))
-    entries = c.select(
-        "grp",
-        F.explode(
-            F.array(
-                entry(1, F.format_string("%s =  '%s (before)'", code, F.col("c_name"))),
-                entry(3, inside),
-                entry(5, F.format_string("%s =  '%s (after)'", code, F.col("c_name"))),
-                entry(7, F.format_string("%s =  '%s (repeated)'", code, F.col("c_name"))),
-            )
-        ).alias("e"),
-    )
-
-    def marker(k1: int, text: str) -> Column:
-        return F.struct(
-            F.lit(k1).alias("k1"),
-            F.lit(0).cast("bigint").alias("k2"),
-            F.concat(F.lit(text), F.col("grp").cast("string"), F.lit(" */")).alias("line"),
-        )
-
-    markers = c.select("grp").distinct().select(
-        "grp",
-        F.explode(
-            F.array(
-                marker(0, "/* Label descriptions, block "),
-                marker(2, f"{start} - codes of block "),
-                marker(4, f"{end} - after block "),
-                marker(6, f"{start} - repeated in block "),
-            )
-        ).alias("e"),
-    )
+        "c_custkey", "c_nationkey", "c_name", "c_mktsegment", (F.col("c_acctbal") >= 0).alias("good"),
+        (F.col("c_custkey") / LABEL_BLOCK).cast("bigint").alias("grp"),
+    )
+    name, segment = F.col("c_name"), F.col("c_mktsegment")
+    code, digit = F.format_string("%03d", F.col("c_nationkey")), (F.col("c_custkey") % 10).cast("string")
+    lines = {
+        1: F.format_string("%s =  '%s (before)'", code, name),
+        3: F.when(F.col("good"), F.format_string("%s =  '%s'", code, name)).otherwise(F.format_string("%s = %s", code, name)),
+        5: F.when(F.col("good"), F.format_string("'%s'\t=\t'%s, %s   '", digit, name, code)).otherwise(
+            F.format_string("%s =  '%s (after)'", code, name)
+        ),
+        7: F.format_string("\t%s = '%s (between)'", digit, segment),
+        9: F.when(F.col("good"), F.format_string("\t%s = '%s'", digit, segment)).otherwise(
+            F.format_string("\t%s = %s", digit, segment)
+        ),
+        12: F.when(F.col("good"), F.format_string("   %s = %s", digit, segment)).otherwise(
+            F.format_string("   %s = %s ", digit, segment)
+        ),
+        14: F.format_string("   %s = %s", digit, name),
+        16: F.format_string("%s =  '%s (repeated)'", code, name),
+    }
+    entry = [F.struct(F.lit(k).alias("k1"), F.col("c_custkey").alias("k2"), line.alias("line")) for k, line in lines.items()]
+    entries = c.select("grp", F.explode(F.array(*entry)).alias("e"))
+    marker = {0: "/* Label descriptions", 15: LABEL_SECTIONS["country"][0]}
+    for k, section in ((2, "country"), (4, "port"), (8, "mode"), (11, "visa")):
+        marker[k] = LABEL_SECTIONS[section][0]
+    marker |= {6: LABEL_SECTIONS["port"][1], 10: LABEL_SECTIONS["mode"][1], 13: LABEL_SECTIONS["visa"][1]}
+    heads = [
+        F.struct(F.lit(k).alias("k1"), F.lit(0).cast("bigint").alias("k2"),
+                 F.concat(F.lit(f"{text} - block "), F.col("grp").cast("string"), F.lit(" */")).alias("line"))
+        for k, text in marker.items()
+    ]
+    markers = c.select("grp").distinct().select("grp", F.explode(F.array(*heads)).alias("e"))
     return entries.unionByName(markers).select("grp", "e.k1", "e.k2", "e.line")
 
 
 LABEL_PAIRS_SQL = f"""lab AS (
-  SELECT CAST(c_custkey // {LABEL_BLOCK} AS BIGINT) AS block, m[1] AS code, m[2] AS label FROM (
-    SELECT c_custkey, UNNEST(list_zip(regexp_extract_all(line, '(\\d{{3}}) = *''(.*)''', 1),
-                                      regexp_extract_all(line, '(\\d{{3}}) = *''(.*)''', 2))) AS m
-    FROM (SELECT c_custkey,
-                 CASE WHEN c_acctbal >= 0 THEN printf('%03d =  ''%s''', c_nationkey, c_name)
-                      ELSE printf('%03d = %s', c_nationkey, c_name) END || chr(10) AS line
-          FROM customer)))"""
-
+  SELECT c_custkey // {LABEL_BLOCK} AS block, printf('%03d', c_nationkey) AS code, c_name AS label,
+         CAST(c_custkey % 10 AS VARCHAR) AS digit, c_mktsegment AS segment,
+         c_name || ', ' || printf('%03d', c_nationkey) || '   ' AS port
+  FROM customer WHERE c_acctbal >= 0)"""
 
-def _label_pairs_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 
+def _labels_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the label files, written and read back."""
     path = scratch_dir(spark, "label_text")
-    rows = _label_text(spark, sf_dir)
     # One task per block (repartition by the block), lines in file order;
     # the partitioned writer then puts each block in a file of its own.
     (
-        rows.repartition("grp")
+        _label_text(spark, sf_dir)
+        .repartition("grp")
         .sortWithinPartitions("grp", "k1", "k2")
         .select("grp", "line")
-        .write.mode("overwrite")
-        .partitionBy("grp")
+        .write.partitionBy("grp")
         .text(path)
     )
-    pairs = named_label_pairs(read_label_files(spark, path), "country", with_file=True)
-    return pairs.select(
-        F.regexp_extract("file", r"grp=(\d+)", 1).cast("bigint").alias("block"), "code", "label"
-    )
+    lines = read_label_files(spark, path)
+    delete(spark, path)
+    return lines
+
+
+def _block(pairs: DataFrame, *columns: str) -> DataFrame:
+    return pairs.select(F.regexp_extract("file", r"grp=(\d+)", 1).cast("bigint").alias("block"), *columns)
 
 
 @register("label_sections", with_ctes(LABEL_PAIRS_SQL) + "SELECT block, code, label FROM lab")
@@ -332,22 +322,62 @@ def label_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S13 T14 T19 (H1): label text files written from the customer table,
     read back line by line; the country section of every file (between its
     first two marker lines) gives the (code, label) pairs."""
-    return _label_pairs_written(spark, sf_dir)
+    return _block(named_label_pairs(_labels_written(spark, sf_dir), "country", with_file=True), "code", "label")
 
 
 @register(
-    "label_country_dim",
+    "label_all_sections",
     with_ctes(LABEL_PAIRS_SQL)
-    + """SELECT country_id, country FROM (
-  SELECT TRY_CAST(code AS INTEGER) AS country_id, label AS country,
-         ROW_NUMBER() OVER (PARTITION BY TRY_CAST(code AS INTEGER) ORDER BY label) AS rn FROM lab)
-WHERE rn = 1""",
+    + """SELECT block, 'country' AS section, code, label FROM lab
+UNION ALL SELECT block, 'port', digit, port FROM lab
+UNION ALL SELECT block, 'mode', digit, segment FROM lab
+UNION ALL SELECT block, 'visa', digit, segment FROM lab""",
 )
+def label_all_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four sections of every file, from one parse and in
+    one pass over the numbered lines."""
+    return _block(all_label_pairs(_labels_written(spark, sf_dir)), "section", "code", "label")
+
+
+def _code_dim_sql(id_name: str, code: str, name: str, label: str) -> str:
+    return with_ctes(LABEL_PAIRS_SQL) + f"""SELECT {id_name}, {name} FROM (
+  SELECT TRY_CAST({code} AS INTEGER) AS {id_name}, {label} AS {name},
+         ROW_NUMBER() OVER (PARTITION BY TRY_CAST({code} AS INTEGER) ORDER BY {label}) AS rn FROM lab)
+WHERE rn = 1"""
+
+
+def _code_dim(spark: SparkSession, sf_dir: str, section: str) -> DataFrame:
+    pairs = named_label_pairs(_labels_written(spark, sf_dir), section)
+    return im.build_code_dim(pairs, f"{section}_id", section)
+
+
+@register("label_country_dim", _code_dim_sql("country_id", "code", "country", "label"))
 def label_country_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C10 (S13 P9 A5): DIM_country from the written label files, one row
     per integer code (first label in label order)."""
+    return _code_dim(spark, sf_dir, "country")
+
+
+@register("label_mode_dim", _code_dim_sql("mode_id", "digit", "mode", "segment"))
+def label_mode_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C10 (S13 P9 A5): DIM_mode from the mode section."""
+    return _code_dim(spark, sf_dir, "mode")
 
-    return im.build_code_dim(_label_pairs_written(spark, sf_dir), "country_id", "country")
+
+@register("label_visa_dim", _code_dim_sql("visa_id", "digit", "visa", "segment"))
+def label_visa_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C10 (S13 P9 A5): DIM_visa from the visa section."""
+    return _code_dim(spark, sf_dir, "visa")
+
+
+@register(
+    "label_port_list",
+    with_ctes(LABEL_PAIRS_SQL) + "SELECT digit AS port_id, rtrim(port) AS airport FROM lab",
+)
+def label_port_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C11 (S13 T15): the port list from the port section, labels trimmed on
+    the right."""
+    return im.port_list(named_label_pairs(_labels_written(spark, sf_dir), "port"))
 
 
 # ------------------------------------------------- staging load, raw event CSV

@@ -232,7 +232,7 @@ def load_immigration(
     partitioned by (im_yr, im_mon).
     """
     out = output.rstrip("/")
-    labels = read_label_files(spark, label_paths)
+    labels = read_label_files(spark, label_paths, staging=f"{out}/_staging/label_lines")
     ports = im.port_list(named_label_pairs(labels, "port"))
     valid = im.valid_ports_cities(ports)
     demo = read_csv_dir(spark, demographics, sep=";")

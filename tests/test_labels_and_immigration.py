@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from dimspark.plans import immigration as im
 from dimspark.sources.files import read_csv_dir
-from dimspark.sources.labels import LABEL_SECTIONS, label_pairs, named_label_pairs, read_label_files, text_lines
+from dimspark.sources.labels import LABEL_SECTIONS, all_label_pairs, label_pairs, named_label_pairs, read_label_files, text_lines
 
 LABEL_TEXT = (
     "/* I94YR - 4 digit year */\n"
@@ -92,6 +92,29 @@ def test_label_file_split_over_many_tasks(spark, tmp_dir):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_line_numbers_do_not_depend_on_the_split(spark, tmp_dir):
+    """The same numbers and pairs under three split sizes; files of one
+    line, without a line, and without a last line break."""
+    d = os.path.join(tmp_dir, "labels_sizes")
+    os.makedirs(d)
+    texts = {"a": LABEL_TEXT * 3, "b": "x", "c": "", "d": "\n\n" + LABEL_TEXT.rstrip("\n"), "e": "é\n" * 500}
+    for fname, text in texts.items():
+        with open(os.path.join(d, fname), "w") as f:
+            f.write(text)
+    want = {(f, i, x) for f, t in texts.items() for i, x in enumerate(t.splitlines())}
+    old, pairs = spark.conf.get("spark.sql.files.maxPartitionBytes"), []
+    try:
+        for size in ("64", "700", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            df = read_label_files(spark, d)
+            got = [(os.path.basename(r.file), r.pos, r.line) for r in df.collect()]
+            assert len(got) == len(want) and set(got) == want
+            pairs.append(sorted(tuple(r) for r in all_label_pairs(df).collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert pairs[0] == pairs[1] == pairs[2] and {r[0] for r in pairs[0]} == set(LABEL_SECTIONS)
+
+
 def _labels_df(spark):
     return text_lines(spark.createDataFrame([(LABEL_TEXT,)], "text string"))
 
