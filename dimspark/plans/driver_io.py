@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimspark.operators.surrogate import append_with_key
 from dimspark.plans import immigration as im
 from dimspark.plans import music, query_tables as qt
 from dimspark.plans.driver import (
@@ -209,6 +210,25 @@ def warehouse_reloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(fact.select(*names), "start_time")
 
 
+@register(
+    "increasing_key",
+    """SELECT ROW_NUMBER() OVER (ORDER BY (l_shipdate >= TIMESTAMP '1997-01-01') NULLS FIRST, l_shipdate NULLS FIRST,
+         l_orderkey NULLS FIRST, l_linenumber NULLS FIRST, l_partkey NULLS FIRST, l_suppkey NULLS FIRST) AS play_id,
+       l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM lineitem""",
+)
+def increasing_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9: all line items numbered 1 to n over two loads (before 1997, and
+    after), each in the order of its date, order and line; the second load
+    is written twice under its id, as after a failure."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    root, order = scratch_dir(spark, "keyed"), ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    late = F.coalesce(F.col("l_shipdate") >= F.lit("1997-01-01 00:00:00").cast("timestamp_ntz"), F.lit(False))
+    append_with_key(spark, rows.where(~late), root, "play_id", order, load=0)
+    for _ in range(2):
+        append_with_key(spark, rows.where(late), root, "play_id", order, load=1)
+    return read_latest(spark, root)
+
+
 @register(
     "session_item_stored",
     "SELECT artist_name, song_title, duration FROM (" + SONGS_SESSIONS_SQL + ") WHERE session_id = 6930 AND item_session = 2",

@@ -23,10 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimspark.operators.incremental import new_rows
+from dimspark.operators.surrogate import with_surrogate_key
 from dimspark.operators.upsert import new_key_rows, skip_loaded
 from dimspark.plans import immigration as im
 from dimspark.plans import music
 from dimspark.plans.quality import check_counts, check_unique
+from dimspark.session import scratch_dir
+from dimspark.sinks.folders import delete
 from dimspark.sinks.upserted import upsert
 from dimspark.sinks.versioned import (
     compact,
@@ -115,6 +118,7 @@ def load_music_warehouse(
     match: str = "lookup",
     compact_after: int | None = 24,
     load_id: int | None = None,
+    key: str = "md5",
 ) -> dict[str, int]:
     """Staged tables -> versioned fact and dimension tables.
 
@@ -137,10 +141,14 @@ def load_music_warehouse(
     batch and not with the fact. A table with more than ``compact_after``
     deltas since its last full version is compacted after the load (24: a
     day of hourly loads; ``None`` never compacts).
+    ``key="identity"`` numbers the fact's rows as an identity column does
+    (K9): 1, 2, ... without a gap over all loads, by time, session and item.
     Returns the rows of each table, as counted by the writes.
     """
     if fact_mode not in FACT_MODES:
         raise ValueError(f"fact_mode must be one of {FACT_MODES}")
+    if key not in ("md5", "identity"):
+        raise ValueError("key must be 'md5' or 'identity'")
     root = tables_root.rstrip("/")
     ev = stage(clean_strings(staging_events), f"{root}/_staging/events")
     so = stage(clean_strings(staging_songs), f"{root}/_staging/songs")
@@ -158,10 +166,10 @@ def load_music_warehouse(
         "artists": (music.build_artists(so, "distinct"), ["artist_id"], music.ARTIST_COLUMNS),
         "time": (music.build_time(ev, "number"), ["start_time"], music.TIME_COLUMNS),
     }
-    for name, (batch, key, cols) in insert_only.items():
+    for name, (batch, ids, cols) in insert_only.items():
         batch = batch.select(*cols)
         stored = None if truncate_dims else read_current(spark, f"{root}/{name}", before=v, schema=batch.schema)
-        new = new_key_rows(stored, batch, key, [c for c in cols if c not in key]).select(*cols)
+        new = new_key_rows(stored, batch, ids, [c for c in cols if c not in ids]).select(*cols)
         if stored is None:
             write_version(new, f"{root}/{name}", v)
         else:
@@ -169,7 +177,7 @@ def load_music_warehouse(
     load_users(spark, ev, users_root, v, fresh=truncate_dims)
 
     plays = _with_year_month(music.valid_plays(ev))
-    current = read_current(spark, fact_root, before=v, schema=_fact_schema(plays, so))
+    current = read_current(spark, fact_root, before=v, schema=_fact_schema(plays, so, key))
     if fact_mode in ("new_plays", "overwrite"):
         identity = ["userId", "sessionId", "itemInSession", "start_time"]
         stored = None
@@ -185,10 +193,14 @@ def load_music_warehouse(
         facts = music.songplays_of(plays, *dims, match="lookup", item=True, keep=FACT_PARTITIONS)
     else:
         facts = music.songplays_of(plays, so, match=match, item=True, keep=FACT_PARTITIONS)
-    if current is None or fact_mode == "overwrite":
-        write_version(facts, fact_root, v, FACT_PARTITIONS)
-    else:
-        write_delta(facts, fact_root, v, FACT_PARTITIONS)
+    fresh = current is None or fact_mode == "overwrite"
+    staging = scratch_dir(spark, "play_keys")
+    if key == "identity":
+        start = 1 if fresh else 1 + table_rows(spark, fact_root, before=v)
+        order = ["start_time", "session_id", "item_in_session"]
+        facts = with_surrogate_key(facts.drop("songplay_id"), "songplay_id", order, start, staging=staging)
+    (write_version if fresh else write_delta)(facts, fact_root, v, FACT_PARTITIONS)
+    delete(spark, staging)
     if compact_after is not None:
         for name in names:
             if deltas_since_base(spark, f"{root}/{name}") > compact_after:
@@ -209,9 +221,12 @@ def load_users(spark: SparkSession, events: DataFrame, users_root: str, load: in
     )
 
 
-def _fact_schema(plays: DataFrame, songs: DataFrame) -> T.StructType:
+def _fact_schema(plays: DataFrame, songs: DataFrame, key: str) -> T.StructType:
     """The stored fact's columns, with the types that these sources give."""
-    return music.songplays_of(plays, songs, match="left3", item=True, keep=FACT_PARTITIONS).schema
+    facts = music.songplays_of(plays, songs, match="left3", item=True, keep=FACT_PARTITIONS)
+    if key == "identity":
+        facts = facts.withColumn("songplay_id", F.lit(0).cast("bigint"))
+    return facts.schema
 
 
 def load_immigration(

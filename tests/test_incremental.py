@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from dimspark.operators import surrogate
 from dimspark.operators.incremental import MAX_PARTITIONS, new_rows, not_stored, partition_filter
 from dimspark.plans import loads, music
 from dimspark.schemas import LOG_SCHEMA, SONG_SCHEMA
@@ -238,3 +239,44 @@ def test_stored_users_equal_the_whole_log(spark, songs, tmp_dir):
     for k in range(3):
         loads.load_users(spark, _logs(spark, plays[20 * k : 20 * k + 20]), f"{tmp_dir}/u", k)
     assert rows(versioned.read_latest(spark, f"{tmp_dir}/u")) == rows(music.build_users(_logs(spark, plays), "upsert"))
+
+
+# -- generated keys ---------------------------------------------------------------------
+
+
+def test_keys_are_gapless_repeatable_and_go_on(spark, tmp_dir):
+    import random
+
+    rng = random.Random(2)
+    # a third of the rows share one order value; NULLs; equal rows
+    data = [(rng.choice([0, 0, None, *range(40)]), rng.choice(["a", None, "b"]), rng.randrange(50)) for _ in range(700)]
+    df = spark.createDataFrame(data, "t int, s string, v int")
+    seen = []
+    for parts, shuffled in ((1, df), (7, df.repartition(5)), (40, df.repartition(3, "v"))):
+        keyed = surrogate.with_surrogate_key(shuffled, "k", ["t"], start=10, partitions=parts)
+        assert keyed.columns == ["k", "t", "s", "v"]
+        seen.append(sorted((tuple(r) for r in keyed.collect()), key=lambda r: r[0]))
+    assert seen[0] == seen[1] == seen[2]
+    assert [r[0] for r in seen[0]] == list(range(10, 710))
+    order = [(r[1] is not None, r[1] or 0, r[2] is not None, r[2] or "", r[3]) for r in seen[0]]
+    assert order == sorted(order)
+    assert surrogate.with_surrogate_key(df.limit(0), "k", ["t"]).count() == 0
+
+    root = f"{tmp_dir}/t"
+    assert surrogate.append_with_key(spark, df, root, "k", ["t"], load=3) == 700
+    for _ in range(2):  # run again under its id
+        assert surrogate.append_with_key(spark, df.where("v < 9"), root, "k", ["t"], load=4) == sum(r[2] < 9 for r in data)
+    surrogate.append_with_key(spark, df.limit(0), root, "k", ["t"], load=5)
+    keys = sorted(r.k for r in versioned.read_latest(spark, root, spark.read.parquet(f"{root}/v=000000000003").schema).collect())
+    assert keys == list(range(1, versioned.table_rows(spark, root) + 1))
+
+
+def test_plays_numbered_over_loads(spark, songs, tmp_dir):
+    root = os.path.join(tmp_dir, "dw")
+    first = [_play(i, ts=T0 + 1000 * i) for i in (3, 1, 2)]
+    loads.load_music_warehouse(spark, _logs(spark, first), songs, root, key="identity")
+    for _ in range(2):
+        more = [*first, _play(None, ts=T0 + 500_000), _play(9, ts=T0 - 5_000_000_000)]
+        loads.load_music_warehouse(spark, _logs(spark, more), songs, root, key="identity")
+    got = {r.item_in_session: r.songplay_id for r in versioned.read_latest(spark, f"{root}/songplays").collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 9: 4, None: 5}
