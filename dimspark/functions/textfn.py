@@ -49,12 +49,34 @@ def blank_to_null(s) -> Column:
 def truncate_chars(s, width: int) -> Column:
     """TRUNCATECOLUMNS to ``width`` characters.
 
-    The warehouse counts bytes; Spark counts characters. For ASCII text
-    both agree.
+    The warehouse counts bytes (``truncate_bytes``); this counts characters.
+    For ASCII text both agree.
     """
     return F.left(as_col(s), F.lit(width))
 
 
+def truncate_bytes(s, width: int) -> Column:
+    """TRUNCATECOLUMNS as the warehouse counts: at most ``width`` bytes
+    of UTF-8, cut between characters. Built-ins only.
+
+    The cut is the last place up to ``width`` whose next byte does not go
+    on with a character (80 to BF); a character has at most four bytes, so
+    one of the last four places is it.
+    """
+    if width < 0:
+        raise ValueError("width must not be negative")
+    c = as_col(s)
+    raw = c.cast("binary")
+
+    def goes_on(k: int) -> Column:
+        return F.hex(F.substring(raw, k + 1, 1)).between("80", "BF")
+
+    cut = F.lit(max(width - 3, 0))
+    for k in range(max(width - 2, 0), width + 1):
+        cut = F.when(goes_on(k), cut).otherwise(F.lit(k))
+    return F.when(F.octet_length(c) <= width, c).otherwise(F.substring(raw, F.lit(1), cut).cast("string"))
+
+
 def regex_pairs(s, pattern: str) -> Column:
     """Every match of a two-group regex as an array of (code, label).
 

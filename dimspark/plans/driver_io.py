@@ -27,15 +27,18 @@ from dimspark.plans.driver import (
 )
 from dimspark.plans.driver_tables import EVENT_ROWS_SQL, SONGS_SESSIONS_SQL, SONGS_USERS_SQL, _event_rows
 from dimspark.plans.driver_views import PLAYS_V_SQL, SONGS_V_SQL, events_log_v, plays_v, songs_v, table, with_ctes
-from dimspark.plans.loads import load_music_warehouse
+from dimspark.plans.loads import load_music_warehouse, stage
 from dimspark.plans.quality import row_counts
 from dimspark.plans.registry import ntz, register
 from dimspark.schemas import LOG_SCHEMA, STAGING_EVENTS_MAPPING
 from dimspark.session import scratch_dir
+from dimspark.sinks.colocated import buckets_for
 from dimspark.sinks.folders import delete
 from dimspark.sinks.writers import (
     create_database,
     create_table,
+    drop_database,
+    drop_table,
     insert_into,
     save_bucketed,
     write_clustered,
@@ -250,11 +253,12 @@ def session_item_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     + ") WHERE user_id = 681 AND session_id = 1046 ORDER BY item_session",
 )
 def user_history_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C7 on a bucketed table (K14): bucketed by the user, so
-    that a lookup reads one bucket, sorted by session and item."""
+    """C7 on a bucketed table (K14): bucketed by the user, as many buckets as
+    its size asks for, so that a lookup reads one, sorted by session and item."""
     t = qt.songs_users(_event_rows(spark, sf_dir), order=["ts"])
     name = "songs_users_" + uuid.uuid4().hex[:12]
-    save_bucketed(t, name, 8, ["user_id"], ["session_id", "item_session"], path=scratch_dir(spark, name))
+    n = buckets_for(t, least=8)
+    save_bucketed(t, name, n, ["user_id"], ["session_id", "item_session"], path=scratch_dir(spark, name))
     return qt.user_session_history(spark.table(name), 681, 1046)
 
 
@@ -451,8 +455,9 @@ def _raw_event_csv(spark: SparkSession, sf_dir: str) -> str:
         "userId",
     ).select(*RAW_EVENT_FIELDS)
     root = scratch_dir(spark, "event_data")
-    raw.where(play).write.mode("overwrite").option("header", True).csv(f"{root}/plays")
-    raw.where(~play).write.mode("overwrite").option("header", True).csv(f"{root}/other")
+    kind = F.when(play, F.lit("plays")).otherwise(F.lit("other")).alias("kind")
+    raw = raw.select("*", kind).hint("rebalance", "kind")
+    raw.write.partitionBy("kind").option("header", True).csv(root)
     return root
 
 
@@ -485,30 +490,53 @@ def _new_database(spark: SparkSession) -> str:
     return name
 
 
+def _read_and_drop(spark: SparkSession, db: str, sql: str) -> DataFrame:
+    """The result of a SQL text, kept; the database is dropped."""
+    out = stage(read_table(spark, sql), scratch_dir(spark, "catalog_result"))
+    drop_database(spark, db)
+    return out
+
+
 @register("catalog_users", USERS_UPSERT_SQL)
 def catalog_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users table created from its DDL, loaded twice with
     truncate-then-insert (the second load replaces the first), read back
-    by SQL."""
+    by SQL; the database is dropped at the end."""
     db = _new_database(spark)
     create_table(spark, f"{db}.users")
     logs = events_log_v(spark, sf_dir)
     cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
     insert_into(music.build_users(logs.where(F.col("ts") < cut), "upsert"), f"{db}.users", truncate=True)
     insert_into(music.build_users(logs, "upsert"), f"{db}.users", truncate=True)
-    return read_table(spark, f"SELECT user_id, first_name, last_name, gender, level FROM {db}.users")
+    return _read_and_drop(spark, db, f"SELECT user_id, first_name, last_name, gender, level FROM {db}.users")
 
 
 @register("catalog_time", _time_sql("CAST(dayofweek(start_time) AS INTEGER)"))
 def catalog_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Time table created from its DDL (partitioned by year and
     month), loaded by two appends (log before and after a cut; their start
-    times are disjoint), read back by SQL."""
+    times are disjoint), read back by SQL; the database is dropped."""
     db = _new_database(spark)
     create_table(spark, f"{db}.time")
     logs = events_log_v(spark, sf_dir)
     cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
     insert_into(music.build_time(logs.where(F.col("ts") < cut), "number"), f"{db}.time")
     insert_into(music.build_time(logs.where(F.col("ts") >= cut), "number"), f"{db}.time")
-    t = read_table(spark, f"SELECT start_time, hour, day, week, month, year, weekday FROM {db}.time")
+    t = _read_and_drop(spark, db, f"SELECT start_time, hour, day, week, month, year, weekday FROM {db}.time")
     return ntz(t, "start_time")
+
+
+@register("catalog_recreate", USERS_UPSERT_SQL)
+def catalog_recreate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: a table that is dropped and created again from its DDL is empty:
+    what was loaded before the drop (every event's user under another id)
+    is gone. Dropping a table that is not there is no error."""
+    db = _new_database(spark)
+    logs = events_log_v(spark, sf_dir)
+    drop_table(spark, f"{db}.users")
+    create_table(spark, f"{db}.users")
+    insert_into(music.build_users(logs.withColumn("userId", F.col("userId") + 1_000_000), "upsert"), f"{db}.users")
+    drop_table(spark, f"{db}.users")
+    create_table(spark, f"{db}.users")
+    insert_into(music.build_users(logs, "upsert"), f"{db}.users")
+    return _read_and_drop(spark, db, f"SELECT user_id, first_name, last_name, gender, level FROM {db}.users")

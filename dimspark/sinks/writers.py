@@ -92,9 +92,9 @@ def write_clustered(
     range, a key holding a large share of the rows is split over several
     tasks and files instead of landing in one.
     """
-    n = int(num_partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [*partition_keys, *clustering]
-    parts = df.repartitionByRange(n, *[F.col(c) for c in cols])
+    count = [] if num_partitions is None else [num_partitions]  # without one AQE sizes the ranges by their rows
+    parts = df.repartitionByRange(*count, *[F.col(c) for c in cols])
     parts.sortWithinPartitions(*cols).write.mode("overwrite").parquet(path)
 
 

@@ -129,7 +129,9 @@ def test_point_lookups_are_pruned(spark):
 LOADING = {"parquet_roundtrip", "csv_roundtrip", "json_time_dim", "stream_users", "warehouse_incremental",
            "session_item_stored", "user_history_bucketed", "label_sections", "label_country_dim", "staged_events_mapped",
            "event_csv_positional", "catalog_users", "catalog_time", "count_report", "warehouse_reloads", "label_all_sections",
-           "label_mode_dim", "label_visa_dim", "label_port_list", "increasing_key"}
+           "label_mode_dim", "label_visa_dim", "label_port_list", "increasing_key",
+           "staged_jsonpaths", "csv_checked", "templated_load", "colocated_orders", "lake_load", "immigration_load",
+           "catalog_recreate"}
 
 
 def test_builders_are_lazy(spark):
