@@ -11,6 +11,11 @@ occurs in a third of all rows is one entry per chunk, so no bucket is hot.
 
 Buckets are ranges of the key, so the answers of a chunk's buckets in
 order line up with its sorted distinct keys.
+
+At any corpus size the counts stay within bounds: the chunk table has at
+most TABLE_BUCKETS buckets (a bucket then holds several chunks, which are
+read one by one), chunks grow with the corpus up to MOST_CHUNK_BYTES, and
+there are no more hash buckets than leave ROW_KEYS keys to a packed row.
 """
 
 from __future__ import annotations
@@ -26,34 +31,62 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimspark.llm.text import slices, text_bytes
-from dimspark.session import checkpoint_root, scratch_dir
+from dimspark.session import scratch_dir
+from dimspark.sinks.folders import delete
 
 CHUNK_BYTES = 6 << 20
+MOST_CHUNK_BYTES = 24 << 20
+CHUNKS = 1 << 17  # chunks grow once there would be more
+TABLE_BUCKETS = 1 << 16  # Spark refuses more than 100,000
+ROW_KEYS = 16  # least keys a packed row has on average
+KEY_BYTES = 6  # about one key per so many bytes of text
+
+
+CHUNK = "__dimspark_chunk"  # a name that no column of a user has
 
 
 @dataclass
 class Chunks:
-    """Documents with a column ``chunk``, stored bucketed by it."""
+    """Documents with a column CHUNK, stored bucketed by it."""
 
     spark: SparkSession
     table: str
+    path: str
     buckets: int
+    chunk_bytes: int
 
     @property
     def df(self) -> DataFrame:
         return self.spark.table(self.table)
 
+    def hash_buckets(self, times: int = 1) -> int:
+        """How many hash buckets chunks ask: ``times`` as many as the table
+        has parts, but no more than leave a packed row ROW_KEYS keys."""
+        return min(times * self.buckets, self.chunk_bytes // KEY_BYTES // ROW_KEYS)
+
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        delete(self.spark, self.path)
 
 
-def width(spark: SparkSession, df: DataFrame, part_bytes: int = 16 << 20) -> int:
-    """Number of partitions for a table of this size: by Spark's estimate
-    (file sizes, for a scan), or as many as it has if there is none."""
+def estimate(df: DataFrame) -> int | None:
+    """A table's size by Spark's estimate (file sizes, for a scan); None if
+    it has none."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    known = size < 1 << 60  # Spark takes an unknown size for the largest number
+    return size if size < 1 << 60 else None  # Spark takes an unknown size for the largest number
+
+
+def width(spark: SparkSession, df: DataFrame, part_bytes: int = 16 << 20) -> int:
+    """Number of partitions for a table of this size, or as many as it has
+    if Spark has no estimate."""
+    size = estimate(df)
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, size // part_bytes if known else df.rdd.getNumPartitions())
+    return max(least, df.rdd.getNumPartitions() if size is None else size // part_bytes)
+
+
+def chunk_size(size: int | None) -> int:
+    """Bytes of text of a chunk, for a corpus of this size."""
+    return CHUNK_BYTES if size is None else min(max(CHUNK_BYTES, size // CHUNKS), MOST_CHUNK_BYTES)
 
 
 def store(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -69,16 +102,15 @@ def store(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 def discard(*stored: DataFrame) -> None:
     """Delete tables made by store() that nothing will read again."""
     for df in stored:
-        spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(df.sparkSession, df.scratch_path)
 
 
-def write_chunks(spark: SparkSession, docs: DataFrame, text: str, chunk_bytes: int = CHUNK_BYTES) -> Chunks:
+def write_chunks(spark: SparkSession, docs: DataFrame, text: str, chunk_bytes: int | None = None) -> Chunks:
     """Store docs with a chunk number each. The scan is not shuffled: a task
-    cuts the rows it reads. All columns are kept."""
-    checkpoint_root(spark)
-    schema = T.StructType([T.StructField("__chunk", T.LongType()), *docs.schema.fields])
+    cuts the rows it reads. All columns are kept. The table's files are in
+    the shared scratch folder."""
+    chunk_bytes = chunk_bytes or chunk_size(estimate(docs))
+    schema = T.StructType([T.StructField(CHUNK, T.LongType()), *docs.schema.fields])
 
     def number(batches):
         from pyspark import TaskContext
@@ -90,13 +122,14 @@ def write_chunks(spark: SparkSession, docs: DataFrame, text: str, chunk_bytes: i
                 chunk, used = chunk + 1, 0
             used, n = used + size, n + b.num_rows
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(b.num_rows, chunk, np.int64)), *b.columns], names=["__chunk", *b.schema.names]
+                [pa.array(np.full(b.num_rows, chunk, np.int64)), *b.columns], names=[CHUNK, *b.schema.names]
             )
 
-    buckets = width(spark, docs)
-    name = f"dimspark_chunks_{uuid.uuid4().hex[:12]}"
-    docs.mapInArrow(number, schema).write.option("compression", "zstd").bucketBy(buckets, "__chunk").saveAsTable(name)
-    return Chunks(spark, name, buckets)
+    buckets = min(width(spark, docs), TABLE_BUCKETS)
+    name, path = f"dimspark_chunks_{uuid.uuid4().hex[:12]}", scratch_dir(spark, "chunks")
+    written = docs.mapInArrow(number, schema).write.option("compression", "zstd").option("path", path)
+    written.bucketBy(buckets, CHUNK).saveAsTable(name)
+    return Chunks(spark, name, path, buckets, chunk_bytes)
 
 
 # -- packed keys ---------------------------------------------------------------

@@ -3,18 +3,24 @@
 The score of a word after its two predecessors is its trigram's count over
 its history's, if the trigram occurs at least ``min_count`` times in the
 corpus; else ``BACKOFF`` times the same with bigrams, else ``BACKOFF``
-again times its share of all words. With a ``min_count`` of 1 every n-gram
-counts. With 2, as in the registered query and its SQL, n-grams seen once,
-so in the document itself only, are backed off from.
+again times its share of all words. With a ``min_count`` of 1, as in the
+registered query and its SQL, every n-gram counts.
 
 Count tables are partitioned by n-gram hash, one order after the other.
 Each chunk of documents explodes to its different n-grams with their
 counts, one packed row per hash partition (:mod:`dimspark.llm.chunks`);
 the partition adds the counts of all chunks up and is joined back to the
-chunks that asked; scores are summed per document. An n-gram is exploded
-only if both parts of the order before occur ``min_count`` times, else it
-cannot itself. What is exchanged grows with the corpus, and a word that is
-in every document is one entry per chunk.
+chunks that asked; scores are summed per document. An n-gram with a part
+that occurs once in the corpus occurs once itself: its count is known and
+it is not exchanged. (With a ``min_count`` above 1 an n-gram with a part
+that is too rare is too rare itself, and not exchanged either.) What is
+exchanged grows with the corpus, and a word that is in every document is
+one entry per chunk.
+
+A text is scored with counts that hold its own n-grams. ``leave_out`` takes
+them away first, so that only what other texts hold speaks for it: an
+n-gram is then seen if another text has it, and a word that no other text
+has counts as occurring once.
 
 Words are runs of other than ASCII white space, with A-Z lower-cased.
 
@@ -60,12 +66,13 @@ class _Grams:
             self.gram.append(longer)
 
     def wanted(self, k: int, counts: list[np.ndarray]) -> tuple[np.ndarray, ...]:
-        """N-grams of order k + 1 worth counting: their words' ends, the
-        different keys, the key of each end, and its times in the chunk. One
-        with a part that occurs too rarely is itself too rare."""
+        """N-grams of order k + 1 whose counts must be asked for: their words'
+        ends, the different keys, the key of each end, and its times in the
+        chunk. One with a part that occurs once occurs once itself."""
         end = np.flatnonzero(self.within >= k)
         if k:
-            end = end[(counts[-1][end] >= self.min_count) & (counts[-1][end - 1] >= self.min_count)]
+            least = max(self.min_count, 2)
+            end = end[(counts[-1][end] >= least) & (counts[-1][end - 1] >= least)]
         return end, *np.unique(mix(self.gram[k][end] ^ U64(k * 0x1234567)), return_inverse=True, return_counts=True)
 
     def counts(self, said: pa.Table, orders: int) -> list[np.ndarray]:
@@ -74,12 +81,22 @@ class _Grams:
         for k in range(orders):
             end, _, key_of, _ = self.wanted(k, out)
             got = C.answers(said, k)
-            c = np.zeros(len(self.doc), np.int64)
+            c = (self.within >= k).astype(np.int64)  # not asked for: once (or too rare, by min_count)
             if got:
                 c[end] = np.concatenate([_unplanes(x) for x in got])[key_of]
             out.append(c)
         return out
 
+    def own(self, k: int) -> np.ndarray:
+        """How often its text itself holds the n-gram that ends at each word."""
+        end = np.flatnonzero(self.within >= k)
+        _, back, times = np.unique(
+            np.stack([self.doc[end].astype(np.uint64), self.gram[k][end]]), axis=1, return_inverse=True, return_counts=True
+        )
+        out = np.zeros(len(self.doc), np.int64)
+        out[end] = times[back.ravel()]
+        return out
+
 
 def _add_up(key, table):
     """Counts of a hash partition, sent back to every chunk that asked."""
@@ -91,15 +108,17 @@ def _add_up(key, table):
     return C.table_of([(r["chunk"], r["bucket"], r["kind"], _planes(n)) for r, n in zip(rows, parts)], C.ANSWER)
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_count: int = 2) -> DataFrame:
+def lm_scores(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_count: int = 1, leave_out: bool = False
+) -> DataFrame:
     """id, n_words, log_score (sum of natural logarithms) and mean_log_score.
     Bigrams and trigrams that occur less than min_count (>= 1) times are
-    backed off from."""
+    backed off from; with leave_out a text's own n-grams do not count."""
     if min_count < 1:
         raise ValueError("min_count is at least 1")
     spark = docs.sparkSession
     stored = C.write_chunks(spark, docs.select(id_col, text_col), text_col)
-    n = stored.buckets * BUCKETS_PER_PART
+    n = stored.hash_buckets(BUCKETS_PER_PART)
 
     def asking(k: int):
         def ask(key, table, said):
@@ -116,6 +135,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     def add(key, table, said):
         g = _Grams(table, text_col, min_count)
         words, counts = len(g.doc), g.counts(said, ORDER)
+        if leave_out:
+            counts = [c - g.own(k) for k, c in enumerate(counts)]
         score = np.log(np.maximum(counts[0], 1))
         shares = np.ones(words, np.int64)  # scores that still lack the division by all words
         tries = np.minimum(g.within, ORDER - 1)
@@ -130,7 +151,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
             names=[id_col, "n_words", "part", "shares"],
         )
 
-    by_chunk = stored.df.groupBy("__chunk")
+    by_chunk = stored.df.groupBy(C.CHUNK)
     kind = docs.schema[id_col].dataType.simpleString()
     said = spark.createDataFrame([], C.ANSWER)
     tables = []
@@ -145,7 +166,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     stored.drop()
     C.discard(*tables)
     words = scored.agg(F.sum("n_words")).first()[0] or 1
-    score = F.col("part") - F.col("shares") * F.log(F.lit(float(words)))
+    total = F.lit(float(words)) - F.col("n_words") if leave_out else F.lit(float(words))
+    score = F.col("part") - F.col("shares") * F.log(F.greatest(total, F.lit(1.0)))
     return scored.select(
         id_col,
         "n_words",
@@ -156,7 +178,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
 
 def query(spark, sf_dir: str) -> DataFrame:
     """op5: scores of every document under the corpus's own trigram model."""
-    found = lm_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), min_count=2)  # as in SQL
+    found = lm_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.select(
         "doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score")
     )
@@ -176,8 +198,8 @@ c2 AS (SELECT b, a, count(*) AS n FROM grams WHERE b IS NOT NULL GROUP BY b, a),
 c3 AS (SELECT c, b, a, count(*) AS n FROM grams WHERE c IS NOT NULL GROUP BY c, b, a),
 scored AS (
   SELECT g.r, CASE
-      WHEN t.n >= 2 THEN ln(t.n / h.n)
-      WHEN p.n >= 2 THEN ln(p.n / q.n) + (least(g.i, 3) - 2) * ln(0.4)
+      WHEN t.n >= 1 THEN ln(t.n / h.n)
+      WHEN p.n >= 1 THEN ln(p.n / q.n) + (least(g.i, 3) - 2) * ln(0.4)
       ELSE ln(u.n / (SELECT n FROM n)) + (least(g.i, 3) - 1) * ln(0.4) END AS s
   FROM grams g JOIN c1 u ON u.a = g.a
   LEFT JOIN c1 q ON q.a = g.b

@@ -12,7 +12,9 @@ not depend on what is outside form its core. Symbols that might merge with
 the outside are popped from the two ends before each step. The popped
 symbols plus the last core are the window's fingerprint: it has a few
 entries, and two windows have equal fingerprints if and only if they have
-equal words (but for 64-bit collisions).
+equal words. A fingerprint is kept as 128 bits, half of them a polynomial
+over the window's words with another base, so that of 2 * 10**12 windows
+(some 100 TB of text) no two unlike ones are to be expected equal.
 
 1. *Reveal.* Each window elects one symbol of its deepest core, the one
    with the least hash; neighbouring windows mostly elect the same one.
@@ -126,6 +128,11 @@ def recompress(words: np.ndarray, start: np.ndarray, length: int, prints: bool)
     return at, key, done
 
 
+def _second(seq: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
+    """The other half of the windows' fingerprints."""
+    return span_hashes(mix(seq ^ U64(0x3C6EF372FE94F82A)), start, start + length)
+
+
 def _windows(w: Words, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word sequence with a separator after each text, the window starts in
     it, and the text of each window."""
@@ -149,6 +156,7 @@ class _Chunk:
         self.words = scan(self.table[text_col])
         self.seq, self.start, self.of = _windows(self.words, length)
         at, self.key, self.prints = recompress(self.seq, self.start, length, prints)
+        self.second = _second(self.seq, self.start, length) if prints else None
         # runs of windows that elect the same occurrence count once
         new = np.ones(len(at), bool)
         new[1:] = (at[1:] != at[:-1]) | (self.key[1:] != self.key[:-1])
@@ -159,6 +167,14 @@ class _Chunk:
         """Windows whose symbol occurs elsewhere too."""
         return np.flatnonzero(shared[self.symbol_of]) if len(shared) else np.zeros(0, np.int64)
 
+    def distinct(self, asked: np.ndarray) -> np.ndarray:
+        """The first of the asked windows of each fingerprint, sorted by it."""
+        order = np.lexsort((self.second[asked], self.prints[asked]))  # stable: the first start comes first
+        one, two = self.prints[asked][order], self.second[asked][order]
+        new = np.ones(len(order), bool)
+        new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+        return order[new]
+
 
 def _bits(parts: list[bytes]) -> np.ndarray:
     """Answers: a count (4 bytes), then that many bits, per bucket."""
@@ -188,11 +204,13 @@ def _first(key, table):
     """Which chunk holds the first start of each fingerprint."""
     rows = sorted(table.select(["bucket", "chunk", "keys", "extra"]).to_pylist(), key=lambda r: r["chunk"])
     keys = [C.unpack_keys(r["keys"]) for r in rows]
-    ids = [np.ascontiguousarray(np.frombuffer(r["extra"], np.uint8).reshape(8, -1).T).view(np.int64).ravel() for r in rows]
-    all_keys, all_ids = np.concatenate(keys), np.concatenate(ids)
-    order = np.lexsort((all_ids, all_keys))  # stable: ties fall to the earlier chunk
+    extra = [np.ascontiguousarray(np.frombuffer(r["extra"], np.uint8).reshape(16, -1).T) for r in rows]
+    all_keys = np.concatenate(keys)
+    all_ids = np.concatenate([np.ascontiguousarray(x[:, :8]).view(np.int64).ravel() for x in extra])
+    second = np.concatenate([np.ascontiguousarray(x[:, 8:]).view(np.uint64).ravel() for x in extra])
+    order = np.lexsort((all_ids, second, all_keys))  # stable: ties fall to the earlier chunk
     head = np.ones(len(order), bool)
-    head[1:] = all_keys[order][1:] != all_keys[order][:-1]
+    head[1:] = (all_keys[order][1:] != all_keys[order][:-1]) | (second[order][1:] != second[order][:-1])
     flag = np.zeros(len(order), bool)
     flag[order[head]] = True
     ends = np.cumsum([len(k) for k in keys])
@@ -227,7 +245,7 @@ def remove_repeats(
     spark = docs.sparkSession
     docs = docs.drop("n_words", "n_removed")
     stored = C.write_chunks(spark, docs, text_col)
-    n, columns = stored.buckets, docs.columns
+    n, columns = stored.hash_buckets(), docs.columns
 
     def ask_symbols(key, table):
         c = _Chunk(table, id_col, text_col, window, prints=False)
@@ -237,20 +255,21 @@ def remove_repeats(
     def ask_prints(key, table, said):
         c = _Chunk(table, id_col, text_col, window, prints=True)
         asked = c.asked(_bits(C.answers(said, 0)))
-        keys, first = np.unique(c.prints[asked], return_index=True)
-        ids = c.ids[c.of[asked[first]]].astype(np.int64)
+        first = asked[c.distinct(asked)]
+        keys, second = c.prints[first], c.second[first]
+        ids = c.ids[c.of[first]].astype(np.int64)
         cut = C.bucket_cuts(keys, n)
         rows = []
         for b in np.flatnonzero(np.diff(cut)):
             part = slice(cut[b], cut[b + 1])
-            planes = ids[part].view(np.uint8).reshape(-1, 8).T.tobytes()
-            rows.append((int(b), key[0].as_py(), 1, C.pack_keys(keys[part]), planes))
+            planes = [x[part].view(np.uint8).reshape(-1, 8).T.tobytes() for x in (ids, second)]
+            rows.append((int(b), key[0].as_py(), 1, C.pack_keys(keys[part]), b"".join(planes)))
         return C.table_of(rows, C.ASK)
 
     def cut_words(key, table, said):
         c = _Chunk(table, id_col, text_col, window, prints=True)
         asked = c.asked(_bits(C.answers(said, 0)))
-        _, first, back = np.unique(c.prints[asked], return_index=True, return_inverse=True)
+        first = c.distinct(asked)
         mine = _bits(C.answers(said, 1))
         repeat = np.ones(len(asked), bool)
         if len(asked):
@@ -273,7 +292,7 @@ def remove_repeats(
         out["n_removed"] = pa.array(removed.astype(np.int64))
         return pa.table(list(out.values()), names=list(out))
 
-    by_chunk = stored.df.groupBy("__chunk")
+    by_chunk = stored.df.groupBy(C.CHUNK)
     symbols = by_chunk.applyInArrow(ask_symbols, C.ASK)
     shared = C.store(spark, symbols.groupBy("bucket").applyInArrow(_shared, C.ANSWER), "recompress-shared")
     prints = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(ask_prints, C.ASK)

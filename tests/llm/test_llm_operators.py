@@ -331,7 +331,7 @@ def test_lm_scores(docs, rows, nothing):
             penalty = 0.0
             for k in range(min(i, 2), -1, -1):
                 c = n[k][tuple(w[i - k : i + 1])]
-                if k == 0 or c >= 2:
+                if k == 0 or c >= 1:
                     total += penalty + np.log(c / (n[k - 1][tuple(w[i - k : i])] if k else words))
                     break
                 penalty += np.log(0.4)
@@ -346,7 +346,7 @@ def test_lm_scores(docs, rows, nothing):
     assert lm_score.lm_scores(nothing).count() == 0
 
 
-@pytest.mark.parametrize("floor", [1, 3])
+@pytest.mark.parametrize("floor", [2, 3])
 def test_lm_scores_with_another_floor(docs, rows, floor):
     lists = [re.findall(WORD, (r[1] or "").translate(ASCII_LOWER)) for r in rows]
     n = [collections.Counter(tuple(w[i : i + k]) for w in lists for i in range(len(w) - k + 1)) for k in (1, 2, 3)]
