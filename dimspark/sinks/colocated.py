@@ -22,9 +22,13 @@ MAX_BUCKETS = 100_000  # what Spark allows (spark.sql.sources.bucketing.maxBucke
 
 
 def plan_bytes(df: DataFrame) -> int | None:
-    """Spark's estimate of a table's size (file sizes, for a scan); None if
-    it has none."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """A size for a table, from Spark's estimate: of what it is read from, if
+    that is less than of the plan (the estimate of a join is the product of
+    its sides). None if there is none."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    size = min(int(str(plan.stats().sizeInBytes())), read)
     return size if size < 1 << 60 else None
 
 

@@ -208,3 +208,5 @@ def test_bucket_count_grows_with_the_table(spark):
     assert colocated.buckets_for(df, bucket_bytes=1 << 20) == 8
     assert colocated.buckets_for(df, bucket_bytes=1) == colocated.buckets_for(df, bucket_bytes=16) == colocated.MAX_BUCKETS
     assert colocated.buckets_for(df, least=5) == 8
+    one, two = spark.range(1 << 20), spark.range(1 << 10)
+    assert colocated.plan_bytes(one.join(two, "id")) <= colocated.plan_bytes(one) + colocated.plan_bytes(two)
