@@ -91,9 +91,12 @@ def chunk_size(size: int | None) -> int:
 
 def store(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write a table into the shared scratch folder and read it back: cuts
-    the lineage, and a lost executor loses nothing."""
+    the lineage, and a lost executor loses nothing. What the write shuffled
+    is not needed again: Spark deletes those files once the driver collects
+    the plan that refers to them, which it is asked to do now."""
     path = scratch_dir(spark, name)
     df.write.parquet(path)
+    spark._jvm.System.gc()
     stored = spark.read.schema(df.schema).parquet(path)
     stored.scratch_path = path
     return stored
