@@ -272,21 +272,24 @@ def near_duplicates(
     return found.withColumn("kept", F.col("id") == F.col("component_id")).withColumnRenamed("id", id_col)
 
 
+ROW = "__dimspark_row"  # a name that no column of a user has
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """docs with one row of each group of near duplicates: that of the
     least id, then of the least text hash. Every row is a node of its own,
     so rows that share an id and are not linked all stay. Rows without
     shingles are one if id and text are equal. Rows without an id are kept."""
     spark = docs.sparkSession
-    some = docs.where(F.col(id_col).isNotNull()).withColumn("__row", F.monotonically_increasing_id())
+    some = docs.where(F.col(id_col).isNotNull()).withColumn(ROW, F.monotonically_increasing_id())
     some = store(spark, some, "numbered")  # the numbers must not change
-    found = near_duplicates(some, id_col="__row", text_col=text_col, **options).select("__row", "n_shingles", "component_id")
-    rest = F.xxhash64(*(c for c, kind in docs.dtypes if "map<" not in kind))  # of rows equal in id and text
-    order = some.select("__row", F.col(id_col).alias("id"), F.md5(F.col(text_col)).alias("text"), rest.alias("rest"))
+    found = near_duplicates(some, id_col=ROW, text_col=text_col, **options).select(ROW, "n_shingles", "component_id")
+    rest = F.xxhash64(*(f"`{c}`" for c, kind in docs.dtypes if "map<" not in kind))  # of rows equal in id and text
+    order = some.select(ROW, F.col(id_col).alias("id"), F.md5(F.col(text_col)).alias("text"), rest.alias("rest"))
     bare = F.col("n_shingles") == 0
     group = [F.when(~bare, F.col("component_id")), F.when(bare, F.col("id")), F.when(bare, F.col("text"))]
-    least = found.join(order, "__row").groupBy(*group).agg(F.min(F.struct("id", "text", "rest", "__row")).alias("least"))
-    one = some.join(least.select("least.__row"), "__row", "left_semi").drop("__row")
+    least = found.join(order, ROW).groupBy(*group).agg(F.min(F.struct("id", "text", "rest", ROW)).alias("least"))
+    one = some.join(least.select(f"least.{ROW}"), ROW, "left_semi").drop(ROW)
     return one.unionByName(docs.where(F.col(id_col).isNull()))
 
 

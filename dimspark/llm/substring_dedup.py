@@ -31,7 +31,7 @@ Defined results: a null or empty text has no words and stays as it is; a
 text of fewer than ``window`` words is never cut; repeated rows with one
 id count as different occurrences, in an order fixed by the stored chunks;
 an empty table gives an empty table; further columns are kept as they are,
-but for ``n_words`` and ``n_removed``, which are replaced.
+but for those named as the two counts, which are replaced.
 """
 
 from __future__ import annotations
@@ -233,17 +233,24 @@ def kept_texts(w: Words, keep: np.ndarray) -> pa.Array:
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, join_all: bool = False
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    window: int = 20,
+    join_all: bool = False,
+    words_col: str = "n_words",
+    removed_col: str = "n_removed",
 ) -> tuple[DataFrame, C.Chunks]:
-    """docs with repeated word windows cut from ``text_col``, plus n_words
-    and n_removed (as the last two columns).
+    """docs with repeated word windows cut from ``text_col``, plus the number
+    of its words and of those removed (as the last two columns, named
+    ``words_col`` and ``removed_col``; columns of these names are replaced).
 
     A text that loses words becomes its kept words joined by one space;
     with ``join_all`` every text does. The second value is the stored chunk
     table that the returned DataFrame still reads; drop it when done.
     """
     spark = docs.sparkSession
-    docs = docs.drop("n_words", "n_removed")
+    docs = docs.drop(words_col, removed_col)
     stored = C.write_chunks(spark, docs, text_col)
     n, columns = stored.hash_buckets(), docs.columns
 
@@ -288,8 +295,8 @@ def remove_repeats(
 
             text = pc.if_else(pa.array(removed > 0), text, old.cast(pa.string()))
         out = {k: (text if k == text_col else c.table[k]) for k in columns}
-        out["n_words"] = pa.array(c.words.count.astype(np.int64))
-        out["n_removed"] = pa.array(removed.astype(np.int64))
+        out[words_col] = pa.array(c.words.count.astype(np.int64))
+        out[removed_col] = pa.array(removed.astype(np.int64))
         return pa.table(list(out.values()), names=list(out))
 
     by_chunk = stored.df.groupBy(C.CHUNK)
@@ -299,7 +306,7 @@ def remove_repeats(
     firsts = C.store(spark, prints.groupBy("bucket").applyInArrow(_first, C.ANSWER), "recompress-firsts")
     schema = T.StructType(
         docs.schema.fields
-        + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
+        + [T.StructField(words_col, T.LongType()), T.StructField(removed_col, T.LongType())]
     )
     both = shared.unionByName(firsts)
     return by_chunk.cogroup(both.groupBy("chunk")).applyInArrow(cut_words, schema), stored

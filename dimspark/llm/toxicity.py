@@ -16,13 +16,15 @@ look most like those. A sentence's kernel values to the landmarks, times the inv
 of the landmarks' own kernel matrix, are its features.
 
 *Training.* A linear SVM (squared hinge loss) is trained on the sentences of
-labelled documents, each sentence under its document's label; after the
-first round a marked document stands for its worst sentences only.
+labelled documents, each sentence under its document's label, and of each
+also a copy with a letter put into every longer word, so that the machine
+learns words with a gap, harmless ones too; after the first round a marked
+document stands for its worst sentences only.
 Partitions run stochastic gradient steps and their weights are averaged,
 round after round. Since the machine is linear in the landmarks, a word has a fixed
 score and a sentence the sum of them. A logistic curve, fitted to labelled
-documents not used for the SVM, turns a document's two worst sentences and
-its share of bad ones into a probability.
+documents not used for the SVM, turns a document's two worst sentences, its
+share of bad ones and how many bad words it has into a probability.
 
 Labelled rows are read up to ``max_docs`` of them (by a hash of the id),
 the only bound; every document is scored, on its whole text.
@@ -36,6 +38,8 @@ table; columns other than id and text are never read.
 
 from __future__ import annotations
 
+import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -50,6 +54,7 @@ from dimspark.llm.text import SPACED_LOWER, scan, slices, text_bytes, word_bytes
 DECAY, SPAN, POWER = 0.6, 5, 3
 LONGEST = 24  # words of a sentence
 LEAST = 0.03  # kernel values below are taken for zero
+FEATURES = 5  # of a document
 WORDS_AT_ONCE = 1024
 SHAPES = [(j, k, DECAY ** (k - 2)) for k in range(2, SPAN) for j in range(1, k)]  # offsets of the 2nd and 3rd character
 
@@ -128,13 +133,28 @@ class Landmarks:
     def kernel(self, data, start, end) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(word, landmark, value) of the words data[start:end], where the
         value is not negligible."""
+        out = []
+        for at, value in self._tables(data, start, end):
+            w, mark = np.nonzero(value)
+            out.append((w + at, mark, value[w, mark]))
+        if not out:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+    def scores(self, data, start, end, alpha: np.ndarray) -> np.ndarray:
+        """The words' kernel values times alpha."""
+        out = [value @ alpha for _, value in self._tables(data, start, end)]
+        return np.concatenate(out) if out else np.zeros(0)
+
+    def _tables(self, data, start, end):
+        """(first word, words by landmarks) of so many words at a time."""
         word, sub, weight = subsequences(*_plain_all(data, start, end))
         norm = np.sqrt(np.bincount(word, weight.astype(np.float64) ** 2, len(start)))
         i = np.minimum(np.searchsorted(self.sub, sub), max(len(self.sub) - 1, 0))
         known = self.sub[i] == sub if len(self.sub) else np.zeros(len(sub), bool)
         i, word, weight = i[known], word[known], weight[known]
-        m, out = len(self.words), []
-        for at in range(0, len(start), WORDS_AT_ONCE):  # a dense table of so many words by all landmarks
+        m = len(self.words)
+        for at in range(0, len(start), WORDS_AT_ONCE):
             lo, hi = np.searchsorted(word, [at, at + WORDS_AT_ONCE])
             k, rows = i[lo:hi], min(WORDS_AT_ONCE, len(start) - at)
             n = self.first[k + 1] - self.first[k]
@@ -142,11 +162,8 @@ class Landmarks:
             cell = np.repeat((word[lo:hi] - at) * m, n) + self.mark[entry]
             total = np.bincount(cell, np.repeat(weight[lo:hi], n) * self.value[entry], rows * m).reshape(rows, m)
             value = (total / np.maximum(norm[at : at + rows, None], 1e-9)) ** POWER
-            w, mark = np.nonzero(value > LEAST)
-            out.append((w + at, mark, value[w, mark]))
-        if not out:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        return tuple(np.concatenate(x) for x in zip(*out))
+            value[value <= LEAST] = 0
+            yield at, value
 
 
 @dataclass
@@ -218,20 +235,24 @@ class Model:
         known = s.key.tolist()
         new = np.array([i for i, k in enumerate(known) if k not in memory], np.int64)
         scored = np.concatenate([new, np.arange(len(known), len(s.start))])  # words without a key anew each time
-        word, mark, value = self.landmarks.kernel(s.data, s.start[scored], s.end[scored])
-        score = np.bincount(word, value * self.alpha[mark], len(scored))
+        score = self.landmarks.scores(s.data, s.start[scored], s.end[scored], self.alpha)
         memory.update(zip(s.key[new].tolist(), score[: len(new)].tolist()))
         return np.concatenate([np.fromiter((memory[k] for k in known), np.float64, len(known)), score[len(new) :]])
 
     def features(self, texts, memory: dict[int, float]) -> np.ndarray:
         """Of each text: its worst and second worst sentence's margin (the
-        bias, if there is none), and the share of bad sentences."""
+        bias, if there is none), the share of bad sentences, and how much bad
+        words there are, by number (as a logarithm) and by share."""
         s = sentences(texts)
         n = len(texts)
-        out = np.full((n, 3), self.bias)
-        out[:, 2] = 0
+        out = np.full((n, FEATURES), self.bias)
+        out[:, 2:] = 0
         if len(s.word):
-            margin = np.bincount(s.sentence, self.word_scores(s, memory)[s.word], len(s.text)) + self.bias
+            score = self.word_scores(s, memory)[s.word]
+            margin = np.bincount(s.sentence, score, len(s.text)) + self.bias
+            worse = np.bincount(s.text[s.sentence], np.clip(score, 0, 1), n)
+            out[:, 3] = np.log1p(worse)
+            out[:, 4] = 10 * worse / np.maximum(np.bincount(s.text[s.sentence], minlength=n), 1)
             order = np.lexsort((-margin, s.text))
             first = np.searchsorted(s.text[order], np.arange(n + 1))
             some, two = np.diff(first) > 0, np.diff(first) > 1
@@ -300,6 +321,29 @@ def choose_landmarks(sample: DataFrame, n_yes: int, n_no: int, toxic: int, other
     return sorted(found | {bytes(r[0]) for r in rest.collect()})
 
 
+def altered(text: str | None) -> str:
+    """The text with a letter put into every word of three letters or more:
+    place and letter follow from the word."""
+
+    def insert(m: re.Match) -> str:
+        word = m[0]
+        h = zlib.crc32(word.encode())
+        at = 1 + h % (len(word) - 1)
+        return word[:at] + "abcdefghijklmnopqrstuvwxyz"[h // 64 % 26] + word[at:]
+
+    return re.sub(r"[^\W\d_]{3,}", insert, text or "")
+
+
+def _with_altered(batches):
+    """Labelled texts, each also with a letter put into its words: the
+    machine then learns what a word with a gap is like, of both classes."""
+    for b in slices(batches, "text", 1 << 20):
+        yield b
+        texts = pa.array([altered(t) for t in b.column("text").to_pylist()], pa.string())
+        ids = pa.array([f"{i}~" for i in b.column("id").to_pylist()], pa.string())
+        yield pa.RecordBatch.from_arrays([ids, texts, b.column("label")], names=["id", "text", "label"])
+
+
 def _svm_rows(shared):
     """Sentences as landmark kernel values, with their text's label."""
 
@@ -404,18 +448,17 @@ def train(
     rounds: int = 5,
 ) -> Model:
     spark = docs.sparkSession
-    kind = docs.schema[id_col].dataType.simpleString()
     sample = labelled_texts(docs, sample_labels(labels, id_col, label_col, max_docs), id_col, text_col)
     n = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
     n_yes, n_no = n.get(1, 0), n.get(0, 0)
     if not n_yes or not n_no:
-        return Model(Landmarks([]), np.zeros(0), 0.0, np.zeros(4), (n_yes + 0.5) / (n_yes + n_no + 1))
+        return Model(Landmarks([]), np.zeros(0), 0.0, np.zeros(FEATURES + 1), (n_yes + 0.5) / (n_yes + n_no + 1))
     parts = 6
     fold = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(4))  # a quarter of the rows is for the curve
     fit, curve = sample.where(fold > 0), sample.where(fold == 0)
     marks = Landmarks(choose_landmarks(fit, n_yes, n_no, toxic_words, other_words))
     if not marks.words:
-        return Model(marks, np.zeros(0), 0.0, np.zeros(4), n_yes / (n_yes + n_no))
+        return Model(marks, np.zeros(0), 0.0, np.zeros(FEATURES + 1), n_yes / (n_yes + n_no))
     m = len(marks.words)
     data = np.frombuffer(b"".join(marks.words), np.uint8)
     end = np.cumsum([len(w) for w in marks.words])
@@ -427,7 +470,11 @@ def train(
     good = root > 1e-2
     whiten = (vectors[:, good] / np.sqrt(root[good])).astype(np.float32)
     shared_marks = spark.sparkContext.broadcast(marks)
-    rows = fit.mapInArrow(_svm_rows(shared_marks), f"id {kind}, y int, mark array<int>, value array<float>")
+    both = "id string, text string, label int"
+    fit, curve = (
+        x.select(F.col("id").cast("string"), "text", "label").mapInArrow(_with_altered, both) for x in (fit, curve)
+    )
+    rows = fit.mapInArrow(_svm_rows(shared_marks), "id string, y int, mark array<int>, value array<float>")
     rows = store(spark, rows, "toxic-sentences").repartition(parts, "id")
     share = rows.agg(F.avg("y")).first()[0] or 0.5
     weight, bias = np.zeros(whiten.shape[1]), -0.5
@@ -438,36 +485,38 @@ def train(
         weight = sum(np.array(r.weight) * r.n for r in got) / total
         bias = sum(r.bias * r.n for r in got) / total
         state.destroy()
-    model = Model(marks, whiten @ weight, float(bias), np.array([1.0, 0, 0, 0]))
+    model = Model(marks, whiten @ weight, float(bias), np.array([1.0] + [0.0] * FEATURES))
     shared = spark.sparkContext.broadcast(model)
 
     def features(batches):
         for b in slices(batches, "text", 1 << 20):
             x = shared.value.features(b.column("text"), {})
-            yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in x.T), b.column("label")], names=["a", "b", "c", "label"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in x.T), b.column("label")], names=[*names, "label"])
 
-    found = curve.mapInArrow(features, "a double, b double, c double, label int").collect()  # bounded by max_docs
+    names = [f"f{k}" for k in range(FEATURES)]
+    found = curve.mapInArrow(features, ", ".join(f"{k} double" for k in names) + ", label int").collect()  # 2 max_docs rows
     if found:
         found = np.array(found, float)
-        if 0 < found[:, 3].sum() < len(found):
-            model.curve = fit_curve(found[:, :3], found[:, 3])
+        if 0 < found[:, -1].sum() < len(found):
+            model.curve = fit_curve(found[:, :-1], found[:, -1])
     return model
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with a column ``toxicity``, the probability of the class."""
+def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "toxicity") -> DataFrame:
+    """docs with a column ``score_col``, the probability of the class (a
+    column of that name is replaced)."""
     from pyspark.sql import types as T
 
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [f.name for f in docs.schema.fields if f.name != "toxicity"]
-    schema = T.StructType([f for f in docs.schema.fields if f.name in names] + [T.StructField("toxicity", T.DoubleType())])
+    names = [f.name for f in docs.schema.fields if f.name != score_col]
+    schema = T.StructType([f for f in docs.schema.fields if f.name in names] + [T.StructField(score_col, T.DoubleType())])
 
     def run(batches):
         m = shared.value
         memory = m.__dict__.setdefault("memory", {})  # later tasks of the worker go on with it
         for b in slices(batches, text_col, 1 << 20):
             p = m.score(m.features(b.column(text_col), memory))
-            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(p)], names=[*names, "toxicity"])
+            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(p)], names=[*names, score_col])
 
     return docs.mapInArrow(run, schema)
 

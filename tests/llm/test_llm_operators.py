@@ -390,7 +390,49 @@ def test_toxicity_learns_and_tolerates_gaps(spark, toxic):
     tricky = ["you zo-un*kwit", "you z o u n k w i t", "ZOUNKWIT!", "lorem dolor sitam", "", None, "lorem zounnkwit", "zounxkwit"]
     scores = model.score(model.features(pa.array(tricky), {}))
     assert (scores[:3] > 0.5).all() and (scores[3:6] < 0.5).all()
-    assert (scores[6:] > scores[3:6].max()).all()  # an inserted letter costs likeness, but not all of it
+    assert (scores[6:] > 0.5).all()  # an inserted letter is a gap
+
+
+def test_kernel_against_brute_force():
+    """All triples of characters at gaps, word by word."""
+    import itertools
+
+    def weights(word):
+        c = bytes([2]) + toxicity.plain(word) + bytes([3])
+        out = collections.Counter()
+        for i, j, k in itertools.combinations(range(len(c)), 3):
+            if k - i < toxicity.SPAN:
+                out[c[i], c[j], c[k]] += toxicity.DECAY ** (k - i - 2)
+        return out
+
+    def like(a, b):
+        x, y = weights(a), weights(b)
+        dot = sum(v * y[t] for t, v in x.items())
+        value = (dot / max(np.sqrt(sum(v * v for v in x.values()) * sum(v * v for v in y.values())), 1e-9)) ** toxicity.POWER
+        return value if value > toxicity.LEAST else 0.0
+
+    words = [b"idiot", b"idxiot", b"i-d-iot", b"stupid", b"stuupid", b"a", b"", "é".encode(), b"Moron!", b"moronic", b"norom"]
+    marks = toxicity.Landmarks([w for w in words if len(toxicity.plain(w)) >= 3])
+    data = np.frombuffer(b"".join(words), np.uint8)
+    end = np.cumsum([len(w) for w in words])
+    start = end - [len(w) for w in words]
+    table = np.zeros((len(words), len(marks.words)))
+    word, mark, value = marks.kernel(data, start, end)
+    table[word, mark] = value
+    want = np.array([[like(w, m) for m in marks.words] for w in words])
+    assert np.allclose(table, want, atol=1e-5)
+    alpha = np.arange(len(marks.words)) - 2.5
+    assert np.allclose(marks.scores(data, start, end, alpha), want @ alpha, atol=1e-4)
+
+
+def test_a_letter_is_put_into_long_words_only():
+    assert toxicity.altered(None) == "" and toxicity.altered("a ab 1234 _____") == "a ab 1234 _____"
+    text = "Some wörds, abcd; und längere"
+    out = toxicity.altered(text)
+    assert out == toxicity.altered(text)
+    for a, b in zip(re.findall(r"\w+", text), re.findall(r"\w+", out)):
+        assert len(b) == len(a) + (len(a) >= 3) and a[0] == b[0] and a[-1] == b[-1]
+        assert any(b[:i] + b[i + 1 :] == a for i in range(len(b))) or a == b
 
 
 def test_toxicity_edges(spark, docs, rows, nothing, toxic):
@@ -441,6 +483,36 @@ def test_minimax_capacity_is_least():
         assert max(sum(sizes[a:b]) for a, b in zip(cut, cut[1:])) <= table[-1][-1]
 
 
+@pytest.mark.parametrize("bits, most", [(4, 3), (4, 10**6), (8, 20), (16, 10**6)])
+def test_capacity_is_that_of_all_groups(spark, monkeypatch, bits, most):
+    """The search over few prefixes gives the capacity over all groups; one
+    group holds a third of all bytes, one digest prefix most groups."""
+    monkeypatch.setattr(sharding, "BITS", bits)
+    monkeypatch.setattr(sharding, "MOST_GROUPS", most)
+    rng = random.Random(bits + most)
+    for hot in (0, 4000):
+        digests = {hashlib.md5(str(i).encode()).hexdigest() for i in range(400)} | {f"ab{i:030x}" for i in range(80)}
+        sizes = {d: rng.randint(8, 60) for d in digests} | {"7" * 32: 8 + hot}
+        groups = spark.createDataFrame(list(sizes.items()), "digest string, size long")
+        every = [sizes[d] for d in sorted(sizes)]
+        for shards in (1, 2, 7, 24):
+            capacity, starts = sharding.plan(groups, shards)
+            assert capacity == sharding.smallest_capacity(every, shards)
+            filled = collections.Counter()
+            for d, n in sizes.items():
+                filled[sum(d >= s for s in starts)] += n
+            assert max(filled.values()) <= capacity and starts == sorted(starts) and len(starts) == shards - 1
+
+
+def test_copies_are_numbered_over_salts(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "CELL_ROWS", 10)
+    docs = spark.createDataFrame([(i, "copy" if i % 3 else f"text {i}") for i in range(300)], "doc_id long, text string")
+    slots = collections.defaultdict(list)
+    for r in sharding.shard(docs, shards=4).collect():
+        slots[r.shard].append(r.slot)
+    assert sum(map(len, slots.values())) == 300 and all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
 def test_sharding(docs, rows, nothing):
     got = sharding.shard(docs, shards=6).collect()
     before = {r[0]: r[1] or "" for r in rows}

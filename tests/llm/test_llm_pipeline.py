@@ -35,8 +35,11 @@ def folder(spark, tmp_path_factory):
     near = prose(120)
     texts += [near, near, near + " extra", None, "", passage + " " + prose(40), prose(30) + " " + passage, prose(9) + " " + item]
     path = str(tmp_path_factory.mktemp("corpus"))
-    d = [(i, t, "en", f"s{i % 2}", len(t or "")) for i, t in enumerate(texts)]
-    spark.createDataFrame(d, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{path}/documents.parquet")
+    # columns named as the operators' own, or as their inner ones
+    more = "toxicity string, n_words int, n_removed long, kept boolean, __row string, __chunk int"
+    d = [(i, t, "en", f"s{i % 2}", len(t or ""), f"tox{i}", 7 * i, -i, i % 2 == 0, f"row{i}", 5) for i, t in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + more
+    spark.createDataFrame(d, schema).write.parquet(f"{path}/documents.parquet")
     lab = [(i, 1, int(i % 4 == 0)) for i in range(160)]
     spark.createDataFrame(lab, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
@@ -49,6 +52,9 @@ def test_stages(spark, folder, tmp_path):
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
         out = stage(spark, tables[-1], folder)
         assert k == 4 or out.columns == columns
+        if k < 4:  # no column of the user's is touched but the text and its length
+            bad = "toxicity <> concat('tox', doc_id) OR n_words <> 7 * doc_id OR n_removed <> -doc_id OR __chunk <> 5"
+            assert out.where(f"{bad} OR __row <> concat('row', doc_id) OR kept <> (doc_id % 2 = 0)").count() == 0
         out.write.parquet(str(tmp_path / name))
         tables.append(spark.read.parquet(str(tmp_path / name)))
     start, clean, near, cut, safe, packed = tables
