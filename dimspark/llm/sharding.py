@@ -1,27 +1,34 @@
 """Sharding by a minimax contiguous partition (DataFrame operations only).
 
-Equal texts are one atomic group. Groups are ordered by a digest of the
-text, cut to ``2 ** BITS`` ordered units, each a set of whole groups; that
-is 65,536 sizes at most, whatever the corpus. The capacity is the least one
-over units, up to about one unit above the least one over groups (README).
-
-The smallest capacity for which the ordered units fit into the wanted
-number of contiguous shards is found by binary search; a capacity is
-checked greedily, filling each shard as far as it goes. The cuts are then
-placed as near to equal shares as that capacity and the units left allow.
-
-A document's slot is its unit's offset in the shard, its cell's offset in
-the unit and its place in the cell. A cell is a unit and a salt, so that a
-group of which there are very many copies is numbered in many tasks.
+Equal texts are one atomic group, and groups are ordered by the digest of
+their text. The capacity is the least one for which the groups, in order,
+fit into the wanted number of contiguous shards: found by binary search,
+each capacity checked greedily, filling every shard as far as it goes.
+
+The search is exact over the groups, but needs few of their sizes on the
+driver. It begins with the sizes of all groups with a common digest prefix
+(``2 ** BITS`` of them at most). Any capacity that fits at that level
+bounds the least one from above, the total and the largest group bound it
+from below, and between these bounds a greedy cut can only fall into some
+of the prefixes, a few per cut. Those alone are split by further digits,
+or into their groups once there are at most ``MOST_GROUPS`` of these, and
+searched again, until every prefix that a cut can fall into is split. The
+others never hold a cut, so their sums are as good as their groups.
+
+The cuts are then placed as near to equal shares as that capacity allows.
+A document's slot is its cell's offset in the shard and its place in the
+cell. A cell is a prefix in a shard; one with very many documents (copies
+of a text) is dealt over salts, so that it is numbered in many tasks.
 
 Defined results: a null text has no bytes and is grouped with empty texts;
 repeated rows take a slot each; an empty table gives an empty table; with
-fewer units than shards the rest stay empty; further columns are not read.
+fewer groups than shards the rest stay empty; further columns are not read.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
+from dataclasses import dataclass
 from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
@@ -30,6 +37,9 @@ from pyspark.sql import functions as F
 from dimspark.llm.chunks import store
 
 BITS = 16
+DIGEST = 32  # hexadecimal digits of a digest
+MOST_GROUPS = 400_000  # groups of cut prefixes that the driver takes one by one
+CELL_ROWS = 50_000
 
 
 def fits(ends: list[int], capacity: int, shards: int) -> bool:
@@ -78,6 +88,62 @@ def cuts(sizes: list[int], shards: int) -> list[int]:
     return out
 
 
+def possible_cuts(sizes: list[int], shards: int, low: int, high: int) -> list[int]:
+    """Indexes of the elements that a greedy cut may fall into, for any
+    capacity from low to high: the k-th cut lies between the element ends
+    that filling k shards to low reaches at least, and k shards to high at
+    most."""
+    ends = [0, *accumulate(sizes)]
+    out: set[int] = set()
+    first, last = 0, 0  # bounds of the place of the cut before
+    for _ in range(shards - 1):
+        first = ends[bisect_right(ends, first + low) - 1]
+        last = min(last + high, ends[-1])
+        out.update(range(bisect_right(ends, first) - 1, min(bisect_left(ends, last), len(sizes))))
+    return sorted(out)
+
+
+@dataclass(frozen=True, order=True)
+class Part:
+    """All groups whose digest begins so (a whole digest: one group)."""
+
+    digest: str
+    size: int
+    n: int  # groups
+
+
+def _digits(groups: DataFrame, parts: list[Part], digits: int) -> list[Part]:
+    """The parts split by so many digits of the digest."""
+    prefix = F.substring("digest", 1, len(parts[0].digest))
+    inside = groups.where(prefix.isin([p.digest for p in parts]))  # a few prefixes per cut
+    rows = inside.groupBy(F.substring("digest", 1, digits).alias("digest")).agg(F.sum("size"), F.count("*")).collect()
+    return [Part(*r) for r in rows]
+
+
+def plan(groups: DataFrame, shards: int) -> tuple[int, list[str]]:
+    """(least capacity, first digest of each shard but the first) for groups
+    (digest, size). A digest above all others marks an empty shard."""
+    first = groups.groupBy(F.substring("digest", 1, BITS // 4).alias("digest")).agg(F.sum("size"), F.count("*"))
+    parts = sorted(Part(*r) for r in first.collect())  # 2 ** BITS rows at most
+    if not parts:
+        return 0, ["g"] * (shards - 1)
+    largest = groups.agg(F.max("size")).first()[0]
+    while True:
+        sizes = [p.size for p in parts]
+        high = smallest_capacity(sizes, shards)
+        low = max(largest, -(-sum(sizes) // shards))
+        open_ = [i for i in possible_cuts(sizes, shards, low, high) if parts[i].n > 1]
+        if not open_:
+            break
+        level = min(len(parts[i].digest) for i in open_)
+        chosen = [parts[i] for i in open_ if len(parts[i].digest) == level]
+        whole = sum(p.n for p in chosen) <= MOST_GROUPS
+        split = _digits(groups, chosen, DIGEST if whole else level + 2)
+        parts = sorted({*parts} - {*chosen} | {*split})
+    starts = [parts[i].digest if i < len(parts) else "g" for i in cuts([p.size for p in parts], shards)]
+    return high, starts
+
+
 def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, size, text_crc32, shard and slot of every row of docs."""
     spark = docs.sparkSession
@@ -88,30 +154,35 @@ def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: s
             F.col(id_col).alias("id"),
             (F.octet_length(text) + 8).cast("long").alias("size"),
             F.crc32(text).alias("text_crc32"),
-            F.conv(F.substring(F.md5(text), 1, BITS // 4), 16, 10).cast("int").alias("unit"),
+            F.md5(text).alias("digest"),
         ),
         "shard-rows",
     )
-    units = store(spark, rows.groupBy("unit").agg(F.sum("size").alias("size"), F.count("*").alias("n")), "shard-units")
-    ordered = units.select("unit", "size", "n").orderBy("unit").collect()  # 2 ** BITS rows at most
-    bounds = [ordered[i].unit if i < len(ordered) else 1 << BITS for i in cuts([u.size for u in ordered], shards)]
-    of_unit = sum((F.col("unit") >= b).cast("int") for b in bounds) if bounds else F.lit(0)
-
-    before = F.sum("n").over(Window.partitionBy("shard").orderBy("unit")) - F.col("n")
-    place = units.withColumn("shard", of_unit).select("unit", "shard", before.alias("unit_base"))
-    salts = max(64, sum(u.n for u in ordered) // 50_000)
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
-    cells = salted.groupBy("unit", "salt").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("unit").orderBy("salt")) - F.col("n")
-    cells = cells.select("unit", "salt", before.alias("base")).join(F.broadcast(place), "unit")  # 2 ** BITS rows
-    inside = F.row_number().over(Window.partitionBy("unit", "salt").orderBy("id", "text_crc32"))
-    numbered = salted.withColumn("inside", inside).join(cells, ["unit", "salt"])
+    groups = store(spark, rows.groupBy("digest").agg(F.sum("size").alias("size"), F.count("*").alias("n")), "shard-groups")
+    _, starts = plan(groups.select("digest", "size"), shards)
+    prefix = F.substring("digest", 1, BITS // 4)
+
+    def of_shard(digest):  # bounded: one comparison per shard
+        return sum((digest >= s).cast("int") for s in starts) if starts else F.lit(0)
+
+    cell = groups.groupBy(prefix.alias("prefix"), of_shard(F.col("digest")).alias("shard")).agg(F.sum("n").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("shard").orderBy("prefix")) - F.col("n")
+    cell = cell.select("prefix", "shard", before.alias("cell_base"), (F.col("n") / CELL_ROWS).cast("int").alias("salts"))
+    cell = F.broadcast(cell)  # 2 ** BITS prefixes and 23 cuts through them
+
+    placed = rows.withColumns({"prefix": prefix, "shard": of_shard(F.col("digest"))}).join(cell, ["prefix", "shard"])
+    placed = placed.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts") + 1)).drop("digest")
+    full = placed.where("salts > 0").groupBy("prefix", "shard", "salt").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("prefix", "shard").orderBy("salt")) - F.col("n")
+    full = full.select("prefix", "shard", "salt", before.alias("salt_base"))  # CELL_ROWS documents a row
+    inside = F.row_number().over(Window.partitionBy("prefix", "shard", "salt").orderBy("id", "text_crc32"))
+    numbered = placed.withColumn("inside", inside).join(full, ["prefix", "shard", "salt"], "left")
     return numbered.select(
         F.col("id").alias(id_col),
         "size",
         "text_crc32",
         "shard",
-        (F.col("unit_base") + F.col("base") + F.col("inside") - 1).alias("slot"),
+        (F.col("cell_base") + F.coalesce("salt_base", F.lit(0)) + F.col("inside") - 1).alias("slot"),
     )
 
 
