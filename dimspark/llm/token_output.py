@@ -1,9 +1,9 @@
 """Token ids in Huffman-coded block files.
 
-A store is a folder with two tables: ``codebook`` (id, length), from which
-the canonical code follows, and ``blocks``, one row per block: its place
+A store is a folder with three tables: ``codebook`` (id, length), from which
+the canonical code follows, ``blocks``, one row per block: its place
 (part and ids before it there), its documents' ids and id counts, and the coded ids
-(:mod:`dimspark.llm.huffman`). Parts are ranges of document ids and blocks
+(:mod:`dimspark.llm.huffman`), and ``parts``, the ids before each part. Parts are ranges of document ids and blocks
 follow each other inside a part, so the ids stand in ascending order of
 the document id. Any block can be decoded by itself.
 
@@ -22,7 +22,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dimspark.llm import huffman
@@ -30,6 +30,7 @@ from dimspark.llm.chunks import width
 from dimspark.llm.text import slices
 from dimspark.llm.tokens import default_path, encoder
 from dimspark.session import scratch_dir
+from dimspark.sinks.folders import delete
 
 BLOCK_IDS = 1 << 18
 
@@ -144,6 +145,10 @@ def write(
     blocks = f"part int, at long, n_ids long, doc_ids array<{doc_type}>, sizes array<long>, payload binary"
     coded = plain.mapInArrow(_code(shared, kind), blocks)
     coded.write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    delete(spark, path_ids)
+    parts = spark.read.parquet(f"{path}/blocks").groupBy("part").agg(F.sum("n_ids").alias("n"))
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # one row per part
+    parts.select("part", F.coalesce(before, F.lit(0)).alias("base")).write.parquet(f"{path}/parts")
 
 
 def read(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
@@ -155,20 +160,17 @@ def read(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
     for r in book:
         lengths[r.id] = r.length
     blocks = spark.read.parquet(f"{path}/blocks")
-    base, before = {}, 0
-    for r in blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect():  # one row per part
-        base[r.part], before = before, before + r.n
-    shared = spark.sparkContext.broadcast((lengths, base))
+    parts = spark.read.schema("part int, base long").parquet(f"{path}/parts")
+    shared = spark.sparkContext.broadcast(lengths)
 
     def run(batches):
-        lengths, base = shared.value
-        code = huffman.canonical(lengths)
+        code = huffman.canonical(shared.value)
         for b in batches:
             for i in range(b.num_rows):
                 ids = huffman.decode(b.column("payload")[i].as_buffer().to_pybytes(), code)
                 docs, sizes = b.column("doc_ids").slice(i, 1).flatten(), b.column("sizes").slice(i, 1).flatten().to_numpy()
                 ends = np.cumsum(sizes)
-                start = base[b.column("part")[i].as_py()] + b.column("at")[i].as_py() + ends - sizes
+                start = b.column("base")[i].as_py() + b.column("at")[i].as_py() + ends - sizes
                 if digest:
                     raw = memoryview(ids.astype("<u4").view(np.uint8))
                     crc = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), sizes.tolist())]
@@ -180,7 +182,7 @@ def read(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
     names = ["doc_id", "start", "n_tokens", "ids_crc32" if digest else "ids"]
     doc_type = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     what = "ids_crc32 long" if digest else "ids array<int>"
-    return blocks.mapInArrow(run, f"doc_id {doc_type}, start long, n_tokens long, {what}")
+    return blocks.join(parts, "part").mapInArrow(run, f"doc_id {doc_type}, start long, n_tokens long, {what}")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
