@@ -10,9 +10,13 @@ them side by side; the entries between its bounds are the places where the
 window occurs. Neighbouring places on one diagonal join to the longest
 verbatim matches with their locations.
 
+Equal windows of several items are searched once, and found places are
+spelled out to items a few texts at a time: a passage that thousands of
+items share costs no more memory than its matches in one text.
+
 The benchmark is read in blocks of at most ``block_words`` words; a block
-is what is broadcast, so its size does not depend on the benchmark's.
-Each further block is one more pass over the documents.
+is what is broadcast, one at a time, so its size does not depend on the
+benchmark's. Each further block is one more pass over the documents.
 
 Defined results: null or empty documents have no words and no hits; items
 without words have no windows; an item shorter than a window is one
@@ -31,10 +35,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimspark.llm.chunks import store
+from dimspark.llm.chunks import discard, store
 from dimspark.llm.text import ALNUM_LOWER, U64, scan, slices
 
 BITS, PER_KEY = 21, 3  # word ranks packed into a sort key
+AT_ONCE = 1 << 20  # places of items spelled out together, one text's at least
 
 
 @dataclass
@@ -44,9 +49,10 @@ class Block:
     items: list[str]
     vocabulary: np.ndarray  # sorted word hashes; rank i + 1
     maybe: np.ndarray  # by the low 16 bits of a hash: may be in the vocabulary
-    item: np.ndarray  # of each window
-    at: np.ndarray  # its position in the item
-    length: np.ndarray
+    item: np.ndarray  # where window w stands: in item[owner[w]:owner[w + 1]],
+    at: np.ndarray  # at these positions
+    owner: np.ndarray
+    length: np.ndarray  # of each window
     low: np.ndarray  # its packed words, least and greatest continuation
     high: np.ndarray
     window: int
@@ -84,7 +90,14 @@ def make_block(ids: list[str], texts: list[str | None], window: int) -> Block:
     for k in range(-(-window // PER_KEY) * PER_KEY):
         fill = U64(((1 << BITS) - 1) << (BITS * (PER_KEY - 1 - k % PER_KEY)))
         high[k // PER_KEY] |= np.where(length <= k, fill, U64(0))
-    return Block(ids, vocabulary, maybe, item, at, length, low, high, window)
+    # equal windows are one (a short item's own length tells it apart)
+    order = np.lexsort((item, length, *low[::-1]))
+    head = np.ones(len(order), bool)
+    same = (length[order][1:] == length[order][:-1]) & (low[:, order[1:]] == low[:, order[:-1]]).all(axis=0)
+    head[1:] = ~same
+    one = order[head]
+    owner = np.append(np.flatnonzero(head), len(order))
+    return Block(ids, vocabulary, maybe, item[order], at[order], owner, length[one], low[:, one], high[:, one], window)
 
 
 def _search(keys: np.ndarray, sought: np.ndarray, right: bool) -> np.ndarray:
@@ -147,10 +160,27 @@ def find(texts, block: Block) -> tuple[np.ndarray, ...]:
 
 def longest(text: np.ndarray, word: np.ndarray, number: np.ndarray, block: Block) -> tuple[np.ndarray, ...]:
     """Window occurrences joined along diagonals to (text, item, position in
-    the item, position in the text, length)."""
-    item, at = block.item[number], block.at[number]
+    the item, position in the text, length), a few texts at a time."""
+    order = np.argsort(text, kind="stable")
+    text, word, number = text[order], word[order], number[order]
+    share = block.owner[number + 1] - block.owner[number]  # items that hold the window
+    total, out, i = np.cumsum(share), [], 0
+    while i < len(text):
+        j = max(int(np.searchsorted(total, (total[i - 1] if i else 0) + AT_ONCE, "right")), i + 1)
+        j = int(np.searchsorted(text, text[j - 1], "right")) if text[j - 1] == text[i] else int(np.searchsorted(text, text[j - 1]))
+        n = share[i:j]
+        entry = np.arange(n.sum()) + np.repeat(block.owner[number[i:j]] - (np.cumsum(n) - n), n)
+        size = np.repeat(block.length[number[i:j]], n)
+        out.append(_diagonals(np.repeat(text[i:j], n), np.repeat(word[i:j], n), block.item[entry], block.at[entry], size))
+        i = j
+    if not out:
+        return tuple(np.zeros(0, np.int64) for _ in range(5))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _diagonals(text, word, item, at, size) -> tuple[np.ndarray, ...]:
     order = np.lexsort((word, word - at, item, text))
-    text, word, item, at, size = text[order], word[order], item[order], at[order], block.length[number][order]
+    text, word, item, at, size = text[order], word[order], item[order], at[order], size[order]
     head = np.ones(len(text), bool)
     head[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (np.diff(word - at) != 0) | (np.diff(word) != 1)
     heads = np.flatnonzero(head)
@@ -283,10 +313,20 @@ def remove(
     window: int = 10,
     block_words: int = 1 << 20,
 ) -> DataFrame:
-    """docs without those that hold a window of an item: a filter per block."""
-    for block in _blocks(items, item_id_col, item_text_col, window, block_words):
-        docs = docs.mapInArrow(_clean(docs.sparkSession.sparkContext.broadcast(block), text_col), docs.schema)
-    return docs
+    """docs without those that hold a window of an item. One block is a
+    filter in the plan; of several, each but the last is a pass of its own,
+    so that one block at a time is held by the executors."""
+    spark = docs.sparkSession
+    blocks = _blocks(items, item_id_col, item_text_col, window, block_words)
+    block, before = next(blocks), None
+    while (more := next(blocks, None)) is not None:
+        shared = spark.sparkContext.broadcast(block)
+        docs = store(spark, docs.mapInArrow(_clean(shared, text_col), docs.schema), "decontaminated")
+        shared.destroy()
+        if before is not None:
+            discard(before)
+        block, before = more, docs
+    return docs.mapInArrow(_clean(spark.sparkContext.broadcast(block), text_col), docs.schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

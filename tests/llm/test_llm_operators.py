@@ -535,6 +535,38 @@ def test_sharding(docs, rows, nothing):
 # -- 8: decontamination ----------------------------------------------------------------
 
 
+def test_items_that_share_a_passage(spark, monkeypatch):
+    """Hundreds of items on one passage: equal windows are one, and places
+    are spelled out in small lots, with the same result."""
+    rng = random.Random(3)
+    passage = " ".join(f"w{rng.randrange(10**6)}" for _ in range(40))
+    items = [(f"q{i}", f"{passage} question {i} number {i * i}") for i in range(300)]
+    texts = [f"before {passage} after", passage, "nothing here " * 9, passage[40:] + " x", f"{passage} question 7 number 49"]
+    block = decontaminate.make_block(*map(list, zip(*items)), 10)
+    assert len(block.length) < 31 + 300 * 10 and len(block.item) == sum(len(t.split()) - 9 for _, t in items)
+    seen = []
+    for most in (1, 5000, 1 << 20):
+        monkeypatch.setattr(decontaminate, "AT_ONCE", most)
+        _, _, text, word, number = decontaminate.find(pa.array(texts), block)
+        seen.append(sorted(zip(*(x.tolist() for x in decontaminate.longest(text, word, number, block)))))
+    assert seen[0] == seen[1] == seen[2]
+    docs = [(i, t) for i, t in enumerate(texts)]
+    want = brute_hits(docs, items, 10)
+    got = decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string"))
+    for r in got.collect():
+        n_words, n_hit, ids = want[r.doc_id]
+        assert (r.n_words, r.n_hit, sorted({m.item_id for m in r.matches})) == (n_words, n_hit, sorted(ids))
+
+
+def test_removal_block_by_block(spark, docs, nothing):
+    items = spark.createDataFrame([(i, r[1]) for i, r in enumerate(corpus()[20:26])], "item_id int, text string")
+    one = decontaminate.remove(docs, items)
+    many = decontaminate.remove(docs, items, block_words=1)
+    assert one.columns == many.columns == docs.columns
+    assert sorted(map(str, one.collect())) == sorted(map(str, many.collect())) and 0 < one.count() < docs.count()
+    assert decontaminate.remove(nothing, items, block_words=1).count() == 0
+
+
 ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
