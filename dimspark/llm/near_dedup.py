@@ -43,6 +43,9 @@ from dimspark.llm.components import UnionFind, components
 from dimspark.llm.text import SPACED_LOWER, U64, Words, mix, pair_hash, scan, slices
 
 
+ELEMENTS = 1 << 16  # elements whose permutations are held at a time
+
+
 def shingle_sets(w: Words, size: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     h = w.hash
@@ -66,26 +69,27 @@ def shingle_sets(w: Words, size: int) -> list[np.ndarray]:
 
 
 def superminhash(sets: list[np.ndarray], m: int) -> np.ndarray:
-    """Signatures, one row of m 64-bit values per set. All sets advance
-    step by step together; sets whose components are filled drop out."""
+    """Signatures, one row of m 64-bit values per set. Sets advance together,
+    step by step, about ELEMENTS elements at a time; a set with more is cut
+    into pieces, whose offers meet in its row."""
     sig = np.full((len(sets), m), np.iinfo(np.uint64).max, np.uint64)
-    group, size = [], 0
+    group, pieces, size = [], [], 0
     for i, s in enumerate(sets):
-        if len(s):
+        for at in range(0, len(s), ELEMENTS):
             group.append(i)
-            size += len(s)
-        if size and (size >= 1 << 16 or i == len(sets) - 1):
-            _fill(sig, np.array(group), [sets[g] for g in group], m)
-            group, size = [], 0
+            pieces.append(s[at : at + ELEMENTS])
+            size += len(pieces[-1])
+            if size >= ELEMENTS:
+                _fill(sig, np.array(group), pieces, m)
+                group, pieces, size = [], [], 0
     if group:
-        _fill(sig, np.array(group), [sets[g] for g in group], m)
+        _fill(sig, np.array(group), pieces, m)
     return sig
 
 
 def _fill(sig: np.ndarray, rows: np.ndarray, sets: list[np.ndarray], m: int) -> None:
     element = np.concatenate(sets)
     row = np.repeat(rows, [len(s) for s in sets])
-    empty = np.iinfo(np.uint64).max
     flat = sig.reshape(-1)
     order = None
     for step in range(m):
@@ -98,7 +102,7 @@ def _fill(sig: np.ndarray, rows: np.ndarray, sets: list[np.ndarray], m: int) ->
         order[n, k] = order[:, step]
         offer = (U64(step) << U64(32)) | (r >> U64(32))
         np.minimum.at(flat, row * m + to, offer)
-        open_rows = (sig[rows] == empty).any(axis=1)
+        open_rows = (sig[rows] >> U64(32) > U64(step)).any(axis=1)  # a later step may still offer less
         if not open_rows.any():
             return
         if not open_rows.all():

@@ -10,7 +10,7 @@ import re
 import numpy as np
 import pytest
 
-from dimspark.llm import chunks, lm_score, substring_dedup
+from dimspark.llm import chunks, lm_score, near_dedup, substring_dedup
 from dimspark.session import checkpoint_root
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -75,3 +75,28 @@ def test_lm_scores_without_a_text_s_own_words(spark, leave_out):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     got = {r.doc_id: r.log_score for r in lm_score.lm_scores(docs, leave_out=leave_out).collect()}
     assert got.keys() == want.keys() and all(abs(got[d] - want[d]) < 1e-6 for d in want)
+
+
+def test_signatures_do_not_depend_on_the_pieces(monkeypatch):
+    """Long sets cut into pieces, alone and among short ones, sign as whole
+    ones; the values are the least offers of all elements."""
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64)) for n in (1, 3, 700, 0, 5000, 40, 2500, 2)]
+    seen = []
+    for elements in (1 << 16, 64, 1000):
+        monkeypatch.setattr(near_dedup, "ELEMENTS", elements)
+        seen.append(near_dedup.superminhash(sets, 20))
+    assert (seen[0] == seen[1]).all() and (seen[0] == seen[2]).all()
+    alone = np.concatenate([near_dedup.superminhash([s], 20) for s in sets])
+    assert (alone == seen[0]).all()
+
+
+def test_signing_a_text_of_millions_of_shingles_is_bounded():
+    import tracemalloc
+
+    big = np.arange(3_000_000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    tracemalloc.start()
+    near_dedup.superminhash([big], 125)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20  # 375 MB of permutations at once before
