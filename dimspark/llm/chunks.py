@@ -42,6 +42,7 @@ ROW_KEYS = 16  # least keys a packed row has on average
 KEY_BYTES = 6  # about one key per so many bytes of text
 
 
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 CHUNK = "__dimspark_chunk"  # a name that no column of a user has
 
 
@@ -92,11 +93,13 @@ def chunk_size(size: int | None) -> int:
 def store(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write a table into the shared scratch folder and read it back: cuts
     the lineage, and a lost executor loses nothing. What the write shuffled
-    is not needed again: Spark deletes those files once the driver collects
-    the plan that refers to them, which it is asked to do now."""
-    path = scratch_dir(spark, name)
-    df.write.parquet(path)
-    spark._jvm.System.gc()
+    is not needed again, so Spark deletes those files when it is done."""
+    path, before = scratch_dir(spark, name), spark.conf.get(CLEAN, None)
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEAN) if before is None else spark.conf.set(CLEAN, before)
     stored = spark.read.schema(df.schema).parquet(path)
     stored.scratch_path = path
     return stored
