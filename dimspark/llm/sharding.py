@@ -39,7 +39,7 @@ from dimspark.llm.chunks import store
 BITS = 16
 DIGEST = 32  # hexadecimal digits of a digest
 MOST_GROUPS = 400_000  # groups of cut prefixes that the driver takes one by one
-CELL_ROWS = 50_000
+CELL_ROWS = 500  # least rows of a cell before it is dealt over salts
 
 
 def fits(ends: list[int], capacity: int, shards: int) -> bool:
@@ -166,15 +166,16 @@ def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: s
         return sum((digest >= s).cast("int") for s in starts) if starts else F.lit(0)
 
     cell = groups.groupBy(prefix.alias("prefix"), of_shard(F.col("digest")).alias("shard")).agg(F.sum("n").alias("n"))
+    most = max(CELL_ROWS, 2 * (groups.agg(F.sum("n")).first()[0] or 0) >> BITS)  # twice an even share
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("prefix")) - F.col("n")
-    cell = cell.select("prefix", "shard", before.alias("cell_base"), (F.col("n") / CELL_ROWS).cast("int").alias("salts"))
+    cell = cell.select("prefix", "shard", before.alias("cell_base"), (F.col("n") / most).cast("int").alias("salts"))
     cell = F.broadcast(cell)  # 2 ** BITS prefixes and 23 cuts through them
 
     placed = rows.withColumns({"prefix": prefix, "shard": of_shard(F.col("digest"))}).join(cell, ["prefix", "shard"])
     placed = placed.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts") + 1)).drop("digest")
     full = placed.where("salts > 0").groupBy("prefix", "shard", "salt").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("prefix", "shard").orderBy("salt")) - F.col("n")
-    full = full.select("prefix", "shard", "salt", before.alias("salt_base"))  # CELL_ROWS documents a row
+    full = full.select("prefix", "shard", "salt", before.alias("salt_base"))  # a row for so many documents
     inside = F.row_number().over(Window.partitionBy("prefix", "shard", "salt").orderBy("id", "text_crc32"))
     numbered = placed.withColumn("inside", inside).join(full, ["prefix", "shard", "salt"], "left")
     return numbered.select(
