@@ -27,7 +27,9 @@ from dimspark.functions.textfn import py_title, regex_pairs
 from dimspark.functions.timefn import SAS_EPOCH, sas_days_to_date
 from dimspark.plans import immigration as im
 from dimspark.plans.driver_views import table, with_ctes
+from dimspark.plans.loads import stage
 from dimspark.plans.registry import register
+from dimspark.session import scratch_dir
 from dimspark.sources.staging import clean_strings
 
 SEGMENTS = {
@@ -248,8 +250,9 @@ def state_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM sm JOIN pv ON sm."State Code" = pv."State Code" JOIN tps ON sm."State Code" = tps."State Code\"""",
 )
 def state_join_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """State dimension = summary JOIN pivot JOIN temperature."""
-    d = demo_v(spark, sf_dir)
+    """State dimension = summary JOIN pivot JOIN temperature. The
+    demographics, which three branches read, are staged once."""
+    d = stage(demo_v(spark, sf_dir), scratch_dir(spark, "demographics"))
     return im.build_state(d, im.temperature_per_state(d, _clean_temp(spark, sf_dir)), SEGMENTS)
 
 

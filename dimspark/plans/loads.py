@@ -250,7 +250,7 @@ def load_immigration(
     labels = read_label_files(spark, label_paths, staging=f"{out}/_staging/label_lines")
     ports = im.port_list(named_label_pairs(labels, "port"))
     valid = im.valid_ports_cities(ports)
-    demo = read_csv_dir(spark, demographics, sep=";")
+    demo = stage(read_csv_dir(spark, demographics, sep=";"), f"{out}/_staging/demographics")  # read three times
     temps = im.clean_temperatures(read_csv_dir(spark, temperatures), from_year, valid)
     dims = {
         "DIM_airports": im.build_airports(ports, read_csv_dir(spark, airport_codes)),

@@ -131,7 +131,7 @@ LOADING = {"parquet_roundtrip", "csv_roundtrip", "json_time_dim", "stream_users"
            "event_csv_positional", "catalog_users", "catalog_time", "count_report", "warehouse_reloads", "label_all_sections",
            "label_mode_dim", "label_visa_dim", "label_port_list", "increasing_key",
            "staged_jsonpaths", "csv_checked", "templated_load", "colocated_orders", "lake_load", "immigration_load",
-           "catalog_recreate"}
+           "catalog_recreate", "state_join_chain"}
 
 
 def test_builders_are_lazy(spark):
