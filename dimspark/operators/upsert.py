@@ -1,9 +1,9 @@
 """Keyed upserts and incremental loads.
 
 Parquet tables have no MERGE, so each upsert is expressed as
-aggregate + join on the key and written out as a whole new table
-(see ``dimspark.sinks.writers.replace_table``); never overwrite the path
-being read.
+aggregate + join on the key. ``dimspark.sinks.upserted`` stores the result
+by hash partitions, of which a load rewrites those it touches; the path
+being read is never overwritten.
 
 Each function takes the stored table (``existing``, may be ``None`` on
 the first load) and a new batch (``incoming``), and returns the table as

@@ -8,7 +8,6 @@ ANSI mode left on (text-to-number casts go through ``try_cast``).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -95,12 +94,3 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so the path can be used by os functions."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def exists(path: str) -> bool:
-    return os.path.exists(local_path(path))
