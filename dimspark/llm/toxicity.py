@@ -55,6 +55,7 @@ DECAY, SPAN, POWER = 0.6, 5, 3
 LONGEST = 24  # words of a sentence
 LEAST = 0.03  # kernel values below are taken for zero
 FEATURES = 5  # of a document
+MAX_WORDS = 400_000  # remembered words of a worker; the memory starts anew beyond
 WORDS_AT_ONCE = 1024
 SHAPES = [(j, k, DECAY ** (k - 2)) for k in range(2, SPAN) for j in range(1, k)]  # offsets of the 2nd and 3rd character
 
@@ -229,17 +230,28 @@ class Model:
     curve: np.ndarray  # logistic weights of a document's features, last the constant
     prior: float | None = None  # the score of everything, without two classes
 
-    def word_scores(self, s: Sentences, memory: dict[int, float]) -> np.ndarray:
-        if len(memory) > 400_000:
-            memory.clear()
-        known = s.key.tolist()
-        new = np.array([i for i, k in enumerate(known) if k not in memory], np.int64)
-        scored = np.concatenate([new, np.arange(len(known), len(s.start))])  # words without a key anew each time
-        score = self.landmarks.scores(s.data, s.start[scored], s.end[scored], self.alpha)
-        memory.update(zip(s.key[new].tolist(), score[: len(new)].tolist()))
-        return np.concatenate([np.fromiter((memory[k] for k in known), np.float64, len(known)), score[len(new) :]])
-
-    def features(self, texts, memory: dict[int, float]) -> np.ndarray:
+    def word_scores(self, s: Sentences, memory: dict[str, np.ndarray]) -> np.ndarray:
+        """Scores of the different words. ``memory`` holds those met before, as
+        sorted word hashes and their scores (16 bytes a word); words without
+        a hash are scored anew each time."""
+        keys, scores = memory.get("keys", np.zeros(0, np.uint64)), memory.get("scores", np.zeros(0))
+        if len(keys) > MAX_WORDS:
+            keys, scores = keys[:0], scores[:0]
+        at = np.searchsorted(keys, s.key)
+        known = np.zeros(len(s.key), bool)
+        inside = at < len(keys)
+        known[inside] = keys[at[inside]] == s.key[inside]
+        new = np.flatnonzero(~known)
+        scored = np.concatenate([new, np.arange(len(s.key), len(s.start))])
+        found = self.landmarks.scores(s.data, s.start[scored], s.end[scored], self.alpha)
+        out = np.empty(len(s.start))
+        out[: len(s.key)][known] = scores[at[known]]
+        out[scored] = found
+        memory["keys"] = np.insert(keys, at[new], s.key[new])
+        memory["scores"] = np.insert(scores, at[new], found[: len(new)])
+        return out
+
+    def features(self, texts, memory: dict[str, np.ndarray]) -> np.ndarray:
         """Of each text: its worst and second worst sentence's margin (the
         bias, if there is none), the share of bad sentences, and how much bad
         words there are, by number (as a logarithm) and by share."""
