@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -90,16 +91,24 @@ def chunk_size(size: int | None) -> int:
     return CHUNK_BYTES if size is None else min(max(CHUNK_BYTES, size // CHUNKS), MOST_CHUNK_BYTES)
 
 
+@contextmanager
+def cleaning(spark: SparkSession) -> Iterator[None]:
+    """Actions inside leave no shuffle files behind."""
+    before = spark.conf.get(CLEAN, None)
+    spark.conf.set(CLEAN, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEAN) if before is None else spark.conf.set(CLEAN, before)
+
+
 def store(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write a table into the shared scratch folder and read it back: cuts
     the lineage, and a lost executor loses nothing. What the write shuffled
     is not needed again, so Spark deletes those files when it is done."""
-    path, before = scratch_dir(spark, name), spark.conf.get(CLEAN, None)
-    spark.conf.set(CLEAN, "true")
-    try:
+    path = scratch_dir(spark, name)
+    with cleaning(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.unset(CLEAN) if before is None else spark.conf.set(CLEAN, before)
     stored = spark.read.schema(df.schema).parquet(path)
     stored.scratch_path = path
     return stored

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimspark.llm.chunks import store
+from dimspark.llm.chunks import cleaning, store
 from dimspark.llm.labels import fit_curve, labelled_texts, sample_labels
 from dimspark.llm.text import SPACED_LOWER, scan, slices, text_bytes, word_bytes
 
@@ -492,7 +492,8 @@ def train(
     weight, bias = np.zeros(whiten.shape[1]), -0.5
     for seed in range(rounds):
         state = spark.sparkContext.broadcast((whiten, weight, bias, min(10.0, (1 - share) / max(share, 1e-6))))
-        got = rows.mapInArrow(_svm_steps(state, seed), "n long, bias double, weight array<double>").where("n > 0").collect()
+        with cleaning(spark):  # each round deals the sentences anew
+            got = rows.mapInArrow(_svm_steps(state, seed), "n long, bias double, weight array<double>").where("n > 0").collect()
         total = sum(r.n for r in got)
         weight = sum(np.array(r.weight) * r.n for r in got) / total
         bias = sum(r.bias * r.n for r in got) / total
