@@ -1,10 +1,11 @@
 """Tables bucketed alike, so that joins on their key do not shuffle.
 
 Tables that are joined or grouped on one key again and again are written
-with the same buckets of it. The bucket count comes from the size of the
-largest table, so a bucket stays a task's size as the data grow; a join or
-a group-by on the key then reads each bucket in one task, without an
-exchange. A key that holds a large share of the rows makes one bucket
+with the same buckets of it. The bucket count comes from the rows of the
+largest table and their width in memory (files are compressed, by how much
+depends on the data), so a bucket stays a task's size as the data grow; a
+join or a group-by on the key then reads each bucket in one task, without
+an exchange. A key that holds a large share of the rows makes one bucket
 large: for such keys ``write_clustered`` splits the rows by ranges.
 """
 
@@ -17,7 +18,9 @@ from pyspark.sql import functions as F
 
 from dimspark.sinks.writers import save_bucketed
 
-BUCKET_BYTES = 128 << 20
+# Of rows by their schema: a task that sorts, joins and aggregates a bucket of
+# narrow rows needs some twenty times as much.
+BUCKET_BYTES = 16 << 20
 MAX_BUCKETS = 100_000  # what Spark allows (spark.sql.sources.bucketing.maxBuckets)
 
 
@@ -32,11 +35,20 @@ def plan_bytes(df: DataFrame) -> int | None:
     return size if size < 1 << 60 else None
 
 
-def buckets_for(*tables: DataFrame, bucket_bytes: int = BUCKET_BYTES, least: int = 1) -> int:
+def row_bytes(df: DataFrame, rows: int | None = None) -> int:
+    """The size of a table's rows in memory, by its schema. They are counted
+    unless ``rows`` gives their number: for a scan that reads file footers
+    only; a derived table should be staged, or come with a bound."""
+    return (df.count() if rows is None else rows) * int(df._jdf.schema().defaultSize())
+
+
+def buckets_for(
+    *tables: DataFrame, bucket_bytes: int = BUCKET_BYTES, least: int = 1, rows: int | None = None
+) -> int:
     """A bucket count for tables that shall be joined: a power of two, so
-    that tables sized at different times still divide each other."""
-    known = [plan_bytes(t) for t in tables]
-    need = max((b for b in known if b is not None), default=0) // bucket_bytes
+    that tables sized at different times still divide each other. ``rows``
+    bounds the rows of each."""
+    need = -(-max((row_bytes(t, rows) for t in tables), default=0) // bucket_bytes)
     n = 1
     while n < max(need, least):
         n *= 2
