@@ -82,13 +82,17 @@ SONGS_V_SQL = f"""songs_v AS (
   FROM part)"""
 
 
-def plays_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+def plays_v(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
+    """``parts`` sets the number of parts in which lines and orders are joined
+    (without it AQE sizes them, by their compressed bytes)."""
     l = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"
     )
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_retailprice")
+    if parts is not None:
+        l, o = l.repartition(parts, "l_orderkey"), o.repartition(parts, "o_orderkey")
     j = (
         l.join(o, l["l_orderkey"] == o["o_orderkey"])
         .join(c, o["o_custkey"] == c["c_custkey"])

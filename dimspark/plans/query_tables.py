@@ -75,8 +75,10 @@ def songs_sessions(events: DataFrame, order: Sequence[str]) -> DataFrame:
     return _last_wins(rows, ["session_id", "item_session"], ["artist_name", "song_title", "duration"], order)
 
 
-def songs_users(events: DataFrame, order: Sequence[str]) -> DataFrame:
-    """C7 table: PRIMARY KEY ((user_id, session_id), item_session)."""
+def songs_users(events: DataFrame, order: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """C7 table: PRIMARY KEY ((user_id, session_id), item_session). With
+    ``buckets`` the rows are dealt by user into that many parts first: the
+    parts of a table that is stored in as many buckets of the user."""
     rows = events.select(
         as_id(events, "userId").alias("user_id"),
         as_id(events, "sessionId").alias("session_id"),
@@ -87,6 +89,8 @@ def songs_users(events: DataFrame, order: Sequence[str]) -> DataFrame:
         F.col("song").alias("song_title"),
         *[F.col(c) for c in order],
     )
+    if buckets is not None:
+        rows = rows.repartition(buckets, "user_id")
     return _last_wins(
         rows,
         ["user_id", "session_id", "item_session"],

@@ -181,3 +181,15 @@ def test_log_stream_matches_batch(spark, tmp_dir):
     batch_logs = spark.createDataFrame(LOGS_NOV + LOGS_DEC, read_logs(spark, src).schema)
     assert rows(read_latest(spark, f"{target}/users")) == rows(music.build_users(batch_logs, "upsert"))
     assert rows(read_latest(spark, f"{target}/time")) == rows(music.build_time(batch_logs, "number"))
+
+
+def test_songs_users_dealt_into_buckets(spark):
+    """Every user's rows are in one of the parts asked for; the rows are the same."""
+    cols = "userId bigint, sessionId bigint, itemInSession bigint, firstName string, lastName string, artist string, song string, ts bigint"
+    data = [(u, s, 1, f"f{u}", "l", "a", f"s{t}", t) for u in range(20) for s in range(3) for t in (1, 2)]
+    events = spark.createDataFrame(data, cols)
+    dealt = qt.songs_users(events, ["ts"], buckets=16)
+    assert rows(dealt) == rows(qt.songs_users(events, ["ts"]))
+    assert dealt.rdd.getNumPartitions() == 16
+    parts = dealt.select("user_id", F.spark_partition_id().alias("p")).distinct()
+    assert parts.count() == 20
