@@ -159,10 +159,10 @@ def warehouse_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     user is stored once: also the later plays of sessions stored by load
     1, and none twice by load 3.
     """
-    logs = plays_v(spark, sf_dir)
+    root = scratch_dir(spark, "warehouse")
+    logs = stage(plays_v(spark, sf_dir), f"{root}/_log")  # joined once for the three loads
     logs = logs.withColumn("userId", F.when(F.col("itemInSession") != 2, F.col("userId")))
     songs = songs_v(spark, sf_dir)
-    root = scratch_dir(spark, "warehouse")
     cut = F.lit("1997-01-01 00:00:00").cast("timestamp_ntz")
     for staged in (logs.where(F.col("ts") < cut), logs, logs):
         load_music_warehouse(spark, staged, songs, root)
@@ -192,7 +192,8 @@ def warehouse_reloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three loads of overlapping, repeated and incomplete plays
     into the fact partitioned by (year, month). Load 1 stages the log before
     1997, load 2 all of it, load 3 all of it again."""
-    p = plays_v(spark, sf_dir)
+    root, songs = scratch_dir(spark, "reloads"), songs_v(spark, sf_dir)
+    p = stage(plays_v(spark, sf_dir), f"{root}/_log")  # joined once for the three loads
     line = F.col("itemInSession")
     logs = p.withColumns(
         {
@@ -204,7 +205,6 @@ def warehouse_reloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     logs = logs.withColumn("__times", F.explode(F.sequence(F.lit(1), "__times"))).drop("__times")
-    root, songs = scratch_dir(spark, "reloads"), songs_v(spark, sf_dir)
     cut = F.lit("1997-01-01 00:00:00").cast("timestamp_ntz")
     for staged in (logs.where(F.col("ts") < cut), logs, logs):
         load_music_warehouse(spark, staged, songs, root)
@@ -254,10 +254,14 @@ def session_item_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def user_history_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C7 on a bucketed table (K14): bucketed by the user, as many buckets as
-    its size asks for, so that a lookup reads one, sorted by session and item."""
-    t = qt.songs_users(_event_rows(spark, sf_dir), order=["ts"])
+    its size asks for, so that a lookup reads one, sorted by session and item.
+    Lines are joined in as many parts, and dealt by the user before the rows
+    of a key are reduced: a task joins, reduces or writes one part, whose
+    size the number of buckets bounds."""
+    lines = table(spark, sf_dir, "lineitem").count()
+    n = buckets_for(qt.songs_users(_event_rows(spark, sf_dir), order=["ts"]), bucket_bytes=64 << 20, least=8, rows=lines)
+    t = qt.songs_users(_event_rows(spark, sf_dir, parts=n), order=["ts"], buckets=n)
     name = "songs_users_" + uuid.uuid4().hex[:12]
-    n = buckets_for(t, least=8)
     save_bucketed(t, name, n, ["user_id"], ["session_id", "item_session"], path=scratch_dir(spark, name))
     return qt.user_session_history(spark.table(name), 681, 1046)
 
