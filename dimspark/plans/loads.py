@@ -83,9 +83,12 @@ def load_music_lake(
     output: str,
     songs_partition: Sequence[str] = ("year",),
     weekday_style: str = "short",
+    glob: str = "*.json",
 ) -> dict[str, int]:
     """Raw JSON -> songs, artists, users, time, songplays under ``output``.
 
+    ``glob`` names the source files; a compressed one ends in ``.gz``.
+
     Songs are partitioned by year only by default: partitioning by
     (year, artist_id) makes one folder per artist (many tiny files); pass
     ``songs_partition=("year", "artist_id")`` for the original layout.
@@ -93,8 +96,8 @@ def load_music_lake(
     out = output.rstrip("/")
     # Parse the JSON once: staged as Parquet (K6), every table reads the
     # columns it needs from there.
-    songs_raw = stage(read_songs(spark, song_paths), f"{out}/_staging/songs")
-    logs = stage(read_logs(spark, log_paths), f"{out}/_staging/logs")
+    songs_raw = stage(read_songs(spark, song_paths, glob), f"{out}/_staging/songs")
+    logs = stage(read_logs(spark, log_paths, glob), f"{out}/_staging/logs")
     built = {
         "songs": (music.build_songs(songs_raw, "first_wins"), list(songs_partition)),
         "artists": (music.build_artists(songs_raw, "first_wins"), []),

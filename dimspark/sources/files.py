@@ -32,14 +32,14 @@ def read_json_dir(spark: SparkSession, paths: Paths, schema: T.StructType | None
     return r.json(_paths(paths))
 
 
-def read_songs(spark: SparkSession, paths: Paths) -> DataFrame:
+def read_songs(spark: SparkSession, paths: Paths, glob: str = "*.json") -> DataFrame:
     """Song records with the declared schema."""
-    return read_json_dir(spark, paths, SONG_SCHEMA)
+    return read_json_dir(spark, paths, SONG_SCHEMA, glob)
 
 
-def read_logs(spark: SparkSession, paths: Paths) -> DataFrame:
+def read_logs(spark: SparkSession, paths: Paths, glob: str = "*.json") -> DataFrame:
     """Activity log records with the declared 18-column schema."""
-    return read_json_dir(spark, paths, LOG_SCHEMA)
+    return read_json_dir(spark, paths, LOG_SCHEMA, glob)
 
 
 def read_json_mapped(
