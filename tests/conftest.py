@@ -19,7 +19,9 @@ def spark():
         "local[4]",
         app_name="dimspark-tests",
         shuffle_partitions=8,
-        extra_conf={"spark.checkpoint.dir": ckpt, "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="dimspark-wh-")},
+        # Tests list the plans of their executions; by default the session forgets all but the last 1000.
+        extra_conf={"spark.checkpoint.dir": ckpt, "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="dimspark-wh-"),
+                    "spark.sql.ui.retainedExecutions": "100000"},
     )
     yield s
     s.stop()
