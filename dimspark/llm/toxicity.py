@@ -56,8 +56,9 @@ LONGEST = 24  # words of a sentence
 LEAST = 0.03  # kernel values below are taken for zero
 FEATURES = 5  # of a document
 MAX_WORDS = 400_000  # remembered words of a worker; the memory starts anew beyond
-WORDS_AT_ONCE = 1024
+WORDS_AT_ONCE, BYTES_AT_ONCE = 256, 4096  # a block of words that the kernel is found for
 SHAPES = [(j, k, DECAY ** (k - 2)) for k in range(2, SPAN) for j in range(1, k)]  # offsets of the 2nd and 3rd character
+_WEIGHTS = np.array([w for _, _, w in SHAPES], np.float32)
 
 
 def plain(word: bytes) -> bytes:
@@ -99,16 +100,16 @@ def _plain_all(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
 
 def subsequences(chars: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word, subsequence, weight), sorted by the first two, each once."""
-    keys, weights = [], []
+    keys = []
     c = chars.astype(np.int64)
-    for j, k, w in SHAPES:
+    for shape, (j, k, _) in enumerate(SHAPES):
         n = max(len(c) - k, 0)
         i = np.flatnonzero(word[:n] == word[k:]) if n else np.zeros(0, np.int64)
-        keys.append((word[i] << 24) | (c[i] << 16) | (c[i + j] << 8) | c[i + k])
-        weights.append(np.full(len(i), w, np.float32))
-    key, weight = np.concatenate(keys), np.concatenate(weights)
-    order = np.argsort(key)
-    key, weight = key[order], weight[order]
+        keys.append((word[i] << 27) | (c[i] << 19) | (c[i + j] << 11) | (c[i + k] << 3) | shape)
+    key = np.concatenate(keys)
+    key.sort()
+    weight = _WEIGHTS[key & 7]
+    key >>= 3
     head = np.ones(len(key), bool)
     head[1:] = key[1:] != key[:-1]
     heads = np.flatnonzero(head)
@@ -130,41 +131,61 @@ class Landmarks:
         self.mark, self.value = mark[order], (weight / np.maximum(norm, 1e-9)[mark])[order]
         self.sub, self.first = np.unique(sub[order], return_index=True)
         self.first = np.append(self.first, len(sub))
+        # a subsequence's place in self.sub plus one, by its characters' numbers among
+        # those of the landmarks; 0: not there
+        used = np.unique(np.concatenate([self.sub >> 16, self.sub >> 8 & 255, self.sub & 255]))
+        self.n_chars = len(used) + 1
+        self.number = np.zeros(256, np.int64)
+        self.number[used] = np.arange(1, self.n_chars)
+        self.place = np.zeros(self.n_chars**3, np.int32)
+        self.place[self._cells(self.sub)] = np.arange(1, len(self.sub) + 1)
+
+    def _cells(self, sub: np.ndarray) -> np.ndarray:
+        a, b, c = (self.number[sub >> k & 255] for k in (16, 8, 0))
+        return (a * self.n_chars + b) * self.n_chars + c
 
     def kernel(self, data, start, end) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(word, landmark, value) of the words data[start:end], where the
-        value is not negligible."""
-        out = []
-        for at, value in self._tables(data, start, end):
-            w, mark = np.nonzero(value)
-            out.append((w + at, mark, value[w, mark]))
+        value is not negligible, by word."""
+        out = [(word + at, mark, value) for at, word, mark, value in self._blocks(data, start, end)]
         if not out:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         return tuple(np.concatenate(x) for x in zip(*out))
 
     def scores(self, data, start, end, alpha: np.ndarray) -> np.ndarray:
         """The words' kernel values times alpha."""
-        out = [value @ alpha for _, value in self._tables(data, start, end)]
-        return np.concatenate(out) if out else np.zeros(0)
-
-    def _tables(self, data, start, end):
-        """(first word, words by landmarks) of so many words at a time."""
-        word, sub, weight = subsequences(*_plain_all(data, start, end))
-        norm = np.sqrt(np.bincount(word, weight.astype(np.float64) ** 2, len(start)))
-        i = np.minimum(np.searchsorted(self.sub, sub), max(len(self.sub) - 1, 0))
-        known = self.sub[i] == sub if len(self.sub) else np.zeros(len(sub), bool)
-        i, word, weight = i[known], word[known], weight[known]
+        out = np.zeros(len(start))
+        for at, word, mark, value in self._blocks(data, start, end):
+            part = np.bincount(word, value * alpha[mark])
+            out[at : at + len(part)] = part
+        return out
+
+    def _blocks(self, data, start, end):
+        """(first word, word counted from it, landmark, value) of a block of
+        words at a time: what is held follows from the block, not from the
+        number of words."""
         m = len(self.words)
-        for at in range(0, len(start), WORDS_AT_ONCE):
-            lo, hi = np.searchsorted(word, [at, at + WORDS_AT_ONCE])
-            k, rows = i[lo:hi], min(WORDS_AT_ONCE, len(start) - at)
-            n = self.first[k + 1] - self.first[k]
-            entry = np.arange(n.sum()) + np.repeat(self.first[k] - (np.cumsum(n) - n), n)
-            cell = np.repeat((word[lo:hi] - at) * m, n) + self.mark[entry]
-            total = np.bincount(cell, np.repeat(weight[lo:hi], n) * self.value[entry], rows * m).reshape(rows, m)
-            value = (total / np.maximum(norm[at : at + rows, None], 1e-9)) ** POWER
-            value[value <= LEAST] = 0
-            yield at, value
+        size, at = np.concatenate([[0], np.cumsum(end - start)]), 0
+        while at < len(start) and m:
+            stop = int(np.searchsorted(size, size[at] + BYTES_AT_ONCE, "right")) - 1
+            stop = min(max(stop, at + 1), at + WORDS_AT_ONCE, len(start))
+            rows = stop - at
+            word, sub, weight = subsequences(*_plain_all(data, start[at:stop], end[at:stop]))
+            norm = np.maximum(np.sqrt(np.bincount(word, weight.astype(np.float64) ** 2, rows)), 1e-9)
+            i = self.place[self._cells(sub)] - 1
+            known = np.flatnonzero(i >= 0)
+            i, word, weight = i[known], word[known], weight[known]
+            n = self.first[i + 1] - self.first[i]
+            entry = np.arange(n.sum()) + np.repeat(self.first[i] - (np.cumsum(n) - n), n)
+            cell = np.repeat(word * m, n) + self.mark[entry]
+            total = np.bincount(cell, np.repeat(weight, n) * self.value[entry], rows * m)
+            # only cells that may be above LEAST are worked out
+            cell = np.flatnonzero(total.reshape(rows, m) > 0.99 * LEAST ** (1 / POWER) * norm[:, None])
+            word, mark = cell // m, cell % m
+            value = (total[cell] / norm[word]) ** POWER
+            good = value > LEAST
+            yield at, word[good], mark[good], value[good]
+            at = stop
 
 
 @dataclass
@@ -201,7 +222,14 @@ def sentences(texts) -> Sentences:
                 if j - i >= 3:
                     extra.append(w.data[w.start[i:j]].tobytes())
                     extra_at.append(sentence[i])
-    key, first, back = np.unique(w.hash, return_index=True, return_inverse=True)
+    order = np.argsort(w.hash)
+    key = w.hash[order]
+    head = np.ones(len(key), bool)
+    head[1:] = key[1:] != key[:-1]
+    first = order[head]  # any place of the word
+    back = np.empty(len(key), np.int64)
+    back[order] = np.cumsum(head) - 1
+    key = key[head]
     data, start, end = w.data, w.start[first], w.end[first]
     if extra:
         at = len(data) + np.cumsum([0] + [len(x) for x in extra])
@@ -213,7 +241,8 @@ def sentences(texts) -> Sentences:
         sentence_of = sentence
     # a word counts once in a sentence, however often it is repeated there
     n = max(len(start), 1)
-    pair = np.unique(sentence_of * n + back)
+    pair = np.sort(sentence_of * n + back)
+    pair = pair[np.concatenate([[True], pair[1:] != pair[:-1]])] if len(pair) else pair
     return Sentences(data, start, end, key, pair % n, pair // n, doc[new])
 
 
@@ -365,20 +394,17 @@ def _svm_rows(shared):
             s = sentences(b.column("text"))
             label = np.asarray(b.column("label").to_numpy(zero_copy_only=False), bool)
             word, mark, value = marks.kernel(s.data, s.start, s.end)
-            by = np.argsort(word, kind="stable")
-            word, mark, value = word[by], mark[by], value[by]
-            lo, hi = np.searchsorted(word, s.word), np.searchsorted(word, s.word, "right")
-            n = hi - lo
+            first = np.searchsorted(word, np.arange(len(s.start) + 1))
+            lo = first[s.word]
+            n = first[s.word + 1] - lo
             at = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
-            row = np.repeat(s.sentence, n)
-            by = np.argsort(row, kind="stable")
-            ends = np.searchsorted(row[by], np.arange(len(s.text) + 1)).astype(np.int32)
+            ends = np.searchsorted(np.repeat(s.sentence, n), np.arange(len(s.text) + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column("id").take(pa.array(s.text)),
                     pa.array(label[s.text].astype(np.int32)),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(mark[at][by].astype(np.int32))),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(value[at][by].astype(np.float32))),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(mark[at].astype(np.int32))),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(value[at].astype(np.float32))),
                 ],
                 names=["id", "y", "mark", "value"],
             )
@@ -399,8 +425,9 @@ def _svm_steps(shared, seed: int):
         if not batches:
             return
         t = pa.Table.from_batches(batches).combine_chunks()  # max_docs / partitions documents at most
+        del batches
         y = t["y"].to_numpy() * 2.0 - 1
-        _, doc = np.unique(t["id"].to_numpy(), return_inverse=True)
+        doc = t["id"].chunk(0).dictionary_encode().indices.to_numpy()
         lists = t["mark"].chunk(0)
         mark, value = lists.flatten().to_numpy(), t["value"].chunk(0).flatten().to_numpy()
         first = lists.offsets.to_numpy() - lists.offsets.to_numpy()[0]
@@ -415,7 +442,11 @@ def _svm_steps(shared, seed: int):
         use = np.ones(len(y), bool)
         if seed:
             alpha = whiten @ weight
-            margin = np.bincount(np.repeat(np.arange(len(y)), np.diff(first)), value * alpha[mark], len(y)) + bias
+            margin = np.full(len(y), float(bias))
+            for i in range(0, len(y), 8192):
+                n = np.diff(first[i : i + 8193])
+                at = slice(first[i], first[i] + n.sum())
+                margin[i : i + 8192] += np.bincount(np.repeat(np.arange(len(n)), n), value[at] * alpha[mark[at]], len(n))
             worst = np.full(doc.max() + 1, -np.inf)
             np.maximum.at(worst, doc, margin)
             use = (y < 0) | (margin > 0) | (margin == worst[doc])

@@ -425,6 +425,59 @@ def test_kernel_against_brute_force():
     assert np.allclose(marks.scores(data, start, end, alpha), want @ alpha, atol=1e-4)
 
 
+def _made_words(n):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abdeiklmnorstuwz") for _ in range(rng.randint(4, 14))).encode() for _ in range(n)]
+    end = np.cumsum([len(w) for w in words])
+    return words, np.frombuffer(b"".join(words), np.uint8), end - [len(w) for w in words], end
+
+
+def test_a_word_scores_the_same_beside_any_others():
+    words, data, start, end = _made_words(3000)
+    marks = toxicity.Landmarks(sorted(set(words[:200])))
+    alpha = np.linspace(-1, 1, len(marks.words))
+    got = marks.scores(data, start, end, alpha)
+    back = marks.scores(data, start[::-1], end[::-1], alpha)[::-1]
+    alone = np.concatenate([marks.scores(data, start[i : i + 1], end[i : i + 1], alpha) for i in range(0, 3000, 7)])
+    assert (got == back).all() and (got[::7] == alone).all()
+
+
+def test_only_cells_that_may_count_are_raised_to_the_power(monkeypatch):
+    cells = []
+
+    class Power:
+        __array_ufunc__ = None
+
+        def __rpow__(self, x):
+            cells.append(np.size(x))
+            return x**3
+
+        def __rtruediv__(self, x):
+            return x / 3
+
+    words, data, start, end = _made_words(2000)
+    marks = toxicity.Landmarks(sorted(set(words[:200])))
+    want = marks.kernel(data, start, end)
+    monkeypatch.setattr(toxicity, "POWER", Power())
+    got = marks.kernel(data, start, end)
+    assert all((a == b).all() for a, b in zip(got, want))
+    assert len(want[0]) <= sum(cells) < 0.1 * len(words) * len(marks.words)
+
+
+def test_kernel_memory_does_not_grow_with_the_words():
+    import tracemalloc
+
+    words, data, start, end = _made_words(60_000)
+    marks = toxicity.Landmarks(sorted(set(words[:300])))
+    peaks = []
+    for n in (20_000, 60_000):
+        tracemalloc.start()
+        marks.scores(data, start[:n], end[:n], np.ones(len(marks.words)))
+        peaks.append(tracemalloc.get_traced_memory()[1] / 1e6)
+        tracemalloc.stop()
+    assert peaks[1] < 25 and peaks[1] < 1.2 * peaks[0] + 2
+
+
 def test_a_letter_is_put_into_long_words_only():
     assert toxicity.altered(None) == "" and toxicity.altered("a ab 1234 _____") == "a ab 1234 _____"
     text = "Some wörds, abcd; und längere"
