@@ -56,9 +56,8 @@ LONGEST = 24  # words of a sentence
 LEAST = 0.03  # kernel values below are taken for zero
 FEATURES = 5  # of a document
 MAX_WORDS = 400_000  # remembered words of a worker; the memory starts anew beyond
-WORDS_AT_ONCE, BYTES_AT_ONCE = 256, 4096  # a block of words that the kernel is found for
+WORDS_AT_ONCE, BYTES_AT_ONCE = 1024, 16384  # a block of words that the kernel is found for
 SHAPES = [(j, k, DECAY ** (k - 2)) for k in range(2, SPAN) for j in range(1, k)]  # offsets of the 2nd and 3rd character
-_WEIGHTS = np.array([w for _, _, w in SHAPES], np.float32)
 
 
 def plain(word: bytes) -> bytes:
@@ -100,16 +99,16 @@ def _plain_all(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
 
 def subsequences(chars: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word, subsequence, weight), sorted by the first two, each once."""
-    keys = []
+    keys, weights = [], []
     c = chars.astype(np.int64)
-    for shape, (j, k, _) in enumerate(SHAPES):
+    for j, k, w in SHAPES:
         n = max(len(c) - k, 0)
         i = np.flatnonzero(word[:n] == word[k:]) if n else np.zeros(0, np.int64)
-        keys.append((word[i] << 27) | (c[i] << 19) | (c[i + j] << 11) | (c[i + k] << 3) | shape)
-    key = np.concatenate(keys)
-    key.sort()
-    weight = _WEIGHTS[key & 7]
-    key >>= 3
+        keys.append((word[i] << 24) | (c[i] << 16) | (c[i + j] << 8) | c[i + k])
+        weights.append(np.full(len(i), w, np.float32))
+    key, weight = np.concatenate(keys), np.concatenate(weights)
+    order = np.argsort(key)
+    key, weight = key[order], weight[order]
     head = np.ones(len(key), bool)
     head[1:] = key[1:] != key[:-1]
     heads = np.flatnonzero(head)
@@ -377,7 +376,9 @@ def altered(text: str | None) -> str:
 
 def _with_altered(batches):
     """Labelled texts, each also with a letter put into its words: the
-    machine then learns what a word with a gap is like, of both classes."""
+    machine then learns what a word with a gap is like, of both classes.
+    Called within the steps that use them: a step of its own would take
+    another Python worker beside each of theirs."""
     for b in slices(batches, "text", 1 << 20):
         yield b
         texts = pa.array([altered(t) for t in b.column("text").to_pylist()], pa.string())
@@ -386,11 +387,12 @@ def _with_altered(batches):
 
 
 def _svm_rows(shared):
-    """Sentences as landmark kernel values, with their text's label."""
+    """Sentences as landmark kernel values, with their text's label, of
+    labelled texts and their altered copies."""
 
     def rows(batches):
         marks = shared.value
-        for b in slices(batches, "text", 1 << 20):
+        for b in slices(_with_altered(batches), "text", 1 << 20):
             s = sentences(b.column("text"))
             label = np.asarray(b.column("label").to_numpy(zero_copy_only=False), bool)
             word, mark, value = marks.kernel(s.data, s.start, s.end)
@@ -513,10 +515,7 @@ def train(
     good = root > 1e-2
     whiten = (vectors[:, good] / np.sqrt(root[good])).astype(np.float32)
     shared_marks = spark.sparkContext.broadcast(marks)
-    both = "id string, text string, label int"
-    fit, curve = (
-        x.select(F.col("id").cast("string"), "text", "label").mapInArrow(_with_altered, both) for x in (fit, curve)
-    )
+    fit, curve = (x.select(F.col("id").cast("string"), "text", "label") for x in (fit, curve))
     rows = fit.mapInArrow(_svm_rows(shared_marks), "id string, y int, mark array<int>, value array<float>")
     rows = store(spark, rows, "toxic-sentences").repartition(parts, "id")
     share = rows.agg(F.avg("y")).first()[0] or 0.5
@@ -533,7 +532,7 @@ def train(
     shared = spark.sparkContext.broadcast(model)
 
     def features(batches):
-        for b in slices(batches, "text", 1 << 20):
+        for b in slices(_with_altered(batches), "text", 1 << 20):
             x = shared.value.features(b.column("text"), {})
             yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in x.T), b.column("label")], names=[*names, "label"])
 

@@ -498,6 +498,19 @@ def test_toxicity_edges(spark, docs, rows, nothing, toxic):
     assert toxicity.score(nothing, toxicity.train(nothing, toxic)).count() == 0
 
 
+def test_training_chains_no_python_steps(spark, toxic, monkeypatch):
+    """Two in one stage are two Python workers a task, and both stay."""
+    plans, real = {}, toxicity.store
+
+    def store(spark, df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(spark, df, name)
+
+    monkeypatch.setattr(toxicity, "store", store)
+    toxicity.train(toxic, toxic, rounds=1)
+    assert plans and {k: p.count("MapInArrow") for k, p in plans.items()} == dict.fromkeys(plans, 1)
+
+
 def test_sentences_do_not_depend_on_the_batch(rows):
     texts = [r[1] for r in rows]
     s = toxicity.sentences(pa.array(texts, pa.string()))
